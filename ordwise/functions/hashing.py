@@ -3,8 +3,8 @@
 A draw depends only on (key, salt), never on partitioning or task order, so a
 generated or adapted row is the same under 1 or 1000 partitions and on any
 retry. The arithmetic stays inside 64-bit integers (key < 2**32 keeps
-``key * A`` below 2**63) and uses only operators every SQL engine has, so an
-independent engine can recompute the same values.
+``key * A`` below 2**63) and uses only operators that Spark SQL and DuckDB
+share, so the same text gives the same value in both engines.
 """
 
 from __future__ import annotations
@@ -12,21 +12,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed hash parameters (shared with the SQL oracle text).
+# Fixed hash parameters.
 MODULUS = 2147483647  # 2**31 - 1
 MULTIPLIER = 48271
 SALT_STEP = 104729
 
 
-def draw(key: Column, salt: int, m: int) -> Column:
-    """Integer in ``[0, m)`` for ``key`` under ``salt`` (key >= 0)."""
-    x = (key * MULTIPLIER + (salt * SALT_STEP + 1)) % MODULUS
-    y = ((x * x) % MODULUS) * MULTIPLIER % MODULUS
-    return F.shiftright(y, 10) % m
+def _x_sql(key: str, salt: int) -> str:
+    return f"((({key}) * {MULTIPLIER} + {salt * SALT_STEP + 1}) % {MODULUS})"
 
 
-def draw_sql(key: str, salt: int, m: int) -> str:
-    """The same draw as SQL text (used by the oracle queries)."""
-    x = f"(({key}) * {MULTIPLIER} + {salt * SALT_STEP + 1}) % {MODULUS}"
-    y = f"((({x}) * ({x})) % {MODULUS}) * {MULTIPLIER} % {MODULUS}"
-    return f"((({y}) >> 10) % {m})"
+def _u_sql(x: str, m: int, dialect: str) -> str:
+    y = f"((({x} * {x}) % {MODULUS}) * {MULTIPLIER} % {MODULUS})"
+    shifted = f"shiftright({y}, 10)" if dialect == "spark" else f"({y} >> 10)"
+    return f"({shifted} % {m})"
+
+
+def draw_sql(key: str, salt: int, m: int, dialect: str = "spark") -> str:
+    """Integer in ``[0, m)`` for ``key`` under ``salt`` (key >= 0), as SQL text.
+
+    ``dialect`` only changes the spelling of the right shift (Spark's parser
+    does not take ``>>`` inside every expression context).
+    """
+    return _u_sql(_x_sql(key, salt), m, dialect)
+
+
+def draw_stages(key: str, draws: dict[str, tuple[int, int]], keep: list[str],
+                dialect: str = "spark") -> tuple[list[str], list[str]]:
+    """Two projections that add one column ``_u_<name>`` per draw.
+
+    The first computes each draw's linear step once, the second finishes it
+    from that column, so the squared term reads a column instead of
+    repeating its whole expression. This keeps the generated code of wide
+    generators small. ``keep`` columns pass through both projections.
+    """
+    first = keep + [f"{_x_sql(key, salt)} AS _x_{n}" for n, (salt, _) in draws.items()]
+    second = keep + [f"{_u_sql('_x_' + n, m, dialect)} AS _u_{n}" for n, (_, m) in draws.items()]
+    return first, second
+
+
+def draw(key: str, salt: int, m: int) -> Column:
+    """Column form of :func:`draw_sql`; ``key`` is a column name or SQL expression."""
+    return F.expr(draw_sql(key, salt, m))

@@ -143,7 +143,7 @@ def sample_rows(df: DataFrame, k: int = 5, seed: int = 42, key: str = "order_id"
 
     Planned as TakeOrderedAndProject: each task keeps its k best rows, no full sort.
     """
-    h = draw(F.col(key).cast("bigint"), seed, MODULUS)
+    h = draw(f"CAST(`{key}` AS BIGINT)", seed, MODULUS)
     return df.orderBy(h.asc(), F.col(key).asc()).limit(k)
 
 

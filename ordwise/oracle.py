@@ -213,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
             f"FROM (SELECT product_category, order_total, COALESCE(rating, 0.0) AS rating_safe FROM o) "
             f"GROUP BY product_category ORDER BY orders DESC, product_category LIMIT 10"),
         "sample_rows": _cte(
-            f"SELECT * FROM o ORDER BY {draw_sql('CAST(order_id AS BIGINT)', 42, MODULUS)}, order_id LIMIT 5"),
+            f"SELECT * FROM o ORDER BY {draw_sql('CAST(order_id AS BIGINT)', 42, MODULUS, dialect='duckdb')}, order_id LIMIT 5"),
         "head_rows": _cte("SELECT * FROM o ORDER BY order_id LIMIT 5"),
         "qc_report": _cte(_check_report(GATE_PREDICATES, min_rows=model.MIN_ROWS), corrupted=True),
         "qc_gate": _cte(TRANSFORM_DF_SQL),

@@ -25,6 +25,10 @@ def build_session(master: str | None = None, app_name: str = "ordwise",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Fall back from whole-stage codegen when a fused method grows past the
+        # HotSpot JIT limit (8000 bytes): wide generated projections otherwise
+        # run as interpreted bytecode, several times slower.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

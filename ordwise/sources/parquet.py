@@ -46,3 +46,16 @@ def write_partitioned(df: DataFrame, path: str, *, partition_by: str = model.PAR
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Read a written dataset; the partition column comes back last, from the path."""
     return spark.read.parquet(path)
+
+
+def spread_small_scan(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than there are task slots.
+
+    A small file written as one row group is read by a single task, so every
+    CPU-heavy narrow step after it runs on one core. Below the slot count the
+    rows are dealt round-robin over all slots (one small shuffle). A large
+    input already has more splits than slots and is returned untouched, so at
+    scale this adds no exchange.
+    """
+    slots = slots or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -20,14 +20,11 @@ referral with null keys left out; no address for cancelled orders.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ordwise import model
-from ordwise.functions.hashing import draw, draw_sql
-from ordwise.functions.picks import pick_by_bounds, pick_by_bounds_sql, pick_from, pick_from_sql
+from ordwise.functions.hashing import draw_stages
+from ordwise.functions.picks import DUCKDB, SPARK, Dialect, nest_selects
 from ordwise.sources.fixture import RATING_BOUNDS, STATUS_BOUNDS
 
 DEFAULT_AS_OF = "2025-01-01 00:00:00"
@@ -40,68 +37,82 @@ STREET_TYPES = ["St", "Rd", "Ave", "Lane", "Pde"]
 SUBURBS = ["Newtown", "Fitzroy", "Paddington", "Carlton", "Subiaco", "Glenelg", "Manly", "Toowong"]
 STATES = ["NSW", "VIC", "QLD", "WA", "SA", "TAS", "ACT", "NT"]
 
-# Draw slots: (slot, modulus). The salt of a slot is seed * 100 + slot.
-D_STATUS, D_DAYS, D_HOURS, D_MINUTES, D_DELIVERY = (1, 100), (2, 731), (3, 24), (4, 60), (5, 14)
-D_ITEMS, D_UNIT_CENTS, D_DISCOUNT, D_LOYALTY, D_RATED, D_RATING = (
-    (6, 20), (7, 49501), (8, 15001), (9, 100), (10, 100), (11, 100))
-D_DEVICE, D_COUPON, D_COUNTRY, D_REFERRAL = (12, 5), (13, 7), (14, len(COUNTRIES)), (15, 5)
-D_CATEGORY, D_NUMBER, D_STREET, D_STREET_TYPE, D_SUBURB, D_STATE, D_POSTCODE = (
-    (16, 10), (17, 250), (18, len(STREETS)), (19, len(STREET_TYPES)), (20, len(SUBURBS)),
-    (21, len(STATES)), (22, 9000))
-D_HEX = [(30 + i, 1 << 20) for i in range(6)]   # 6 x 5 hex digits for the UUID
-
-
-def _salt(seed: int, slot: tuple[int, int]) -> tuple[int, int]:
-    return seed * 100 + slot[0], slot[1]
+# Draw slots: name -> (slot, modulus). The salt of a slot is seed * 100 + slot.
+SLOTS = {
+    "status": (1, 100), "days": (2, 731), "hours": (3, 24), "minutes": (4, 60), "delivery": (5, 14),
+    "items": (6, 20), "unit_cents": (7, 49501), "discount": (8, 15001), "loyalty": (9, 100),
+    "rated": (10, 100), "rating": (11, 100), "device": (12, 5), "coupon": (13, 7),
+    "country": (14, len(COUNTRIES)), "referral": (15, 5), "category": (16, 10), "number": (17, 250),
+    "street": (18, len(STREETS)), "street_type": (19, len(STREET_TYPES)), "suburb": (20, len(SUBURBS)),
+    "state": (21, len(STATES)), "postcode": (22, 9000),
+    **{f"hex{i}": (30 + i, 1 << 20) for i in range(6)},   # 6 x 5 hex digits for the UUID
+}
+
+
+def _draws(seed: int) -> dict[str, tuple[int, int]]:
+    return {n: (seed * 100 + slot, m) for n, (slot, m) in SLOTS.items()}
+
+
+def _stages(d: Dialect, seed: int, as_of: str, key: str) -> list[list[str]]:
+    draw_x, draw_u = draw_stages(f"CAST({key} AS BIGINT)", _draws(seed), [key], d.name)
+    hexes = " || ".join(f"lpad(lower(hex(_u_hex{i})), 5, '0')" for i in range(6))   # 30 hex digits
+    cents = d.idiv("(_u_unit_cents + 500) * (_u_items + 1) * (_u_discount + 85000) + 50000", "100000")
+    rating = d.pick_by_bounds("_u_rating", RATING_BOUNDS, lambda v: f"CAST({v} AS DECIMAL(3,1))")
+    address = " || ".join([
+        "CAST(_u_number + 1 AS STRING)", "' '", d.pick_from(STREETS, "_u_street"), "' '",
+        d.pick_from(STREET_TYPES, "_u_street_type"), "', '", d.pick_from(SUBURBS, "_u_suburb"), "' '",
+        d.pick_from(STATES, "_u_state"), "' '", "CAST(_u_postcode + 1000 AS STRING)"])
+    base = [
+        f"CAST({key} AS INT) AS order_id",
+        f"{hexes} AS _h",
+        f"{d.pick_from(['8', '9', 'a', 'b'], '_u_hex0 % 4')} AS _variant",
+        f"{d.pick_by_bounds('_u_status', STATUS_BOUNDS)} AS order_status",
+        f"CAST(CAST({cents} AS DECIMAL(14,0)) * 0.01 AS DECIMAL(12,2)) AS order_total",
+        "CAST(_u_items + 1 AS INT) AS item_count",
+        f"{d.pick_from(model.PRODUCT_CATEGORIES, '_u_category')} AS product_category",
+        f"{d.shift_ts(d.ts_literal(as_of), '-', '_u_days', '_u_hours', '_u_minutes')} AS created_at",
+        "_u_delivery + 1 AS _lead",
+        "_u_loyalty < 35 AS is_loyalty_member",
+        "_u_rated AS _rated",
+        f"{rating} AS _rating",
+        f"{d.pick_from(model.DEVICES, '_u_device')} AS _device",
+        f"{d.pick_from(model.COUPONS, '_u_coupon')} AS _coupon",
+        f"{d.pick_from(COUNTRIES, '_u_country')} AS _country",
+        f"{d.pick_from(model.REFERRALS, '_u_referral')} AS _referral",
+        f"{address} AS _address",
+    ]
+    return [draw_x, draw_u, base, _stage2(d)]
+
+
+def _stage2(d: Dialect) -> list[str]:
+    ships = ", ".join(f"'{s}'" for s in model.DELIVERY_STATUSES)
+    if d.name == "spark":   # to_json leaves out null fields
+        metadata = ("to_json(named_struct('device', _device, 'coupon_code', _coupon, "
+                    "'ip_country', _country, 'referral', _referral))")
+    else:
+        jp = lambda k, v: f"""'"{k}":"' || {v} || '"'"""
+        metadata = ("'{' || concat_ws(',', " + ", ".join([
+            jp("device", "_device"), jp("coupon_code", "_coupon"), jp("ip_country", "_country"),
+            jp("referral", "_referral")]) + ") || '}'")
+    return [
+        "order_id",
+        "substring(_h, 1, 8) || '-' || substring(_h, 9, 4) || '-4' || substring(_h, 13, 3) || '-' "
+        "|| _variant || substring(_h, 16, 3) || '-' || substring(_h, 19, 12) AS customer_id",
+        "order_status", "order_total", "item_count", "product_category", "created_at",
+        f"CASE WHEN order_status IN ({ships}) THEN {d.date_plus('created_at', '_lead')} END AS delivery_date",
+        "is_loyalty_member",
+        f"CASE WHEN order_status = '{model.RATED_STATUS}' AND _rated < 80 THEN _rating END AS rating",
+        f"{metadata} AS metadata",
+        f"CASE WHEN order_status <> '{model.NO_ADDRESS_STATUS}' THEN _address END AS shipping_address",
+    ]
 
 
 def synth_from_keys(keys: DataFrame, seed: int = 42, as_of: str = DEFAULT_AS_OF,
                     key: str = "order_id") -> DataFrame:
     """12-column orders for each key of ``keys`` (created_at as timestamp_ntz)."""
-    k = F.col(key).cast("bigint")
-    u = lambda slot: draw(k, *_salt(seed, slot))
-    hexes = [F.lpad(F.lower(F.hex(u(s))), 5, "0") for s in D_HEX]
-    h = F.concat(*hexes)  # 30 hex digits
-    uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4),
-                       F.concat(F.lit("4"), F.substring(h, 13, 3)),
-                       F.concat(pick_from(["8", "9", "a", "b"], u(D_HEX[0]) % 4), F.substring(h, 16, 3)),
-                       F.substring(h, 19, 12))
-    created = (F.to_timestamp_ntz(F.lit(as_of))
-               - F.make_dt_interval(u(D_DAYS).cast("int"), u(D_HOURS).cast("int"), u(D_MINUTES).cast("int")))
-    cents = F.floor(((u(D_UNIT_CENTS) + 500) * (u(D_ITEMS) + 1) * (u(D_DISCOUNT) + 85000) + 50000) / 100000)
-    base = keys.select(
-        F.col(key).cast("int").alias("order_id"),
-        uuid.alias("customer_id"),
-        pick_by_bounds(u(D_STATUS), STATUS_BOUNDS).alias("order_status"),
-        (cents.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast(model.TOTAL_TYPE).alias("order_total"),
-        (u(D_ITEMS) + 1).cast("int").alias("item_count"),
-        pick_from(model.PRODUCT_CATEGORIES, u(D_CATEGORY)).alias("product_category"),
-        created.alias("created_at"),
-        (u(D_DELIVERY) + 1).cast("int").alias("_lead"),
-        (u(D_LOYALTY) < 35).alias("is_loyalty_member"),
-        u(D_RATED).alias("_rated"),
-        pick_by_bounds(u(D_RATING), RATING_BOUNDS, cast=model.RATING_TYPE).alias("_rating"),
-        F.to_json(F.struct(
-            pick_from(model.DEVICES, u(D_DEVICE)).alias("device"),
-            pick_from(model.COUPONS, u(D_COUPON)).alias("coupon_code"),
-            pick_from(COUNTRIES, u(D_COUNTRY)).alias("ip_country"),
-            pick_from(model.REFERRALS, u(D_REFERRAL)).alias("referral"))).alias("metadata"),
-        F.concat((u(D_NUMBER) + 1).cast("string"), F.lit(" "), pick_from(STREETS, u(D_STREET)), F.lit(" "),
-                 pick_from(STREET_TYPES, u(D_STREET_TYPE)), F.lit(", "), pick_from(SUBURBS, u(D_SUBURB)),
-                 F.lit(" "), pick_from(STATES, u(D_STATE)), F.lit(" "),
-                 (u(D_POSTCODE) + 1000).cast("string")).alias("_address"),
-    )
-    status = F.col("order_status")
-    return base.select(
-        "order_id", "customer_id", "order_status", "order_total", "item_count", "product_category",
-        "created_at",
-        F.when(status.isin(*model.DELIVERY_STATUSES),
-               F.date_add(F.to_date("created_at"), F.col("_lead"))).alias("delivery_date"),
-        "is_loyalty_member",
-        F.when((status == model.RATED_STATUS) & (F.col("_rated") < 80), F.col("_rating")).alias("rating"),
-        "metadata",
-        F.when(status != model.NO_ADDRESS_STATUS, F.col("_address")).alias("shipping_address"),
-    )
+    for exprs in _stages(SPARK, seed, as_of, key):
+        keys = keys.selectExpr(*exprs)
+    return keys
 
 
 def synth_orders(spark: SparkSession, n: int, seed: int = 42, as_of: str = DEFAULT_AS_OF,
@@ -111,50 +122,6 @@ def synth_orders(spark: SparkSession, n: int, seed: int = 42, as_of: str = DEFAU
     return synth_from_keys(keys, seed, as_of)
 
 
-# ---------------------------------------------------------------------------
-# Same rules as SQL text (DuckDB), over a relation ``keys(order_id)``.
-# ---------------------------------------------------------------------------
-
 def synth_sql(keys_sql: str, seed: int = 42, as_of: str = DEFAULT_AS_OF) -> str:
-    k = "CAST(order_id AS BIGINT)"
-    u = lambda slot: draw_sql(k, *_salt(seed, slot))
-    hexes = " || ".join(f"lpad(lower(hex({u(s)})), 5, '0')" for s in D_HEX)
-    jp = lambda key, v: f"""'"{key}":"' || {v} || '"'"""
-    inner = f"""
-    SELECT
-        CAST(order_id AS INTEGER) AS order_id,
-        {hexes} AS _h,
-        {pick_from_sql(["8", "9", "a", "b"], u(D_HEX[0]) + " % 4")} AS _variant,
-        {pick_by_bounds_sql(u(D_STATUS), STATUS_BOUNDS, lambda v: f"'{v}'")} AS order_status,
-        CAST(CAST((({u(D_UNIT_CENTS)} + 500) * ({u(D_ITEMS)} + 1) * ({u(D_DISCOUNT)} + 85000) + 50000) // 100000
-             AS DECIMAL(14,0)) * 0.01 AS DECIMAL(12,2)) AS order_total,
-        CAST({u(D_ITEMS)} + 1 AS INTEGER) AS item_count,
-        {pick_from_sql(model.PRODUCT_CATEGORIES, u(D_CATEGORY))} AS product_category,
-        TIMESTAMP '{as_of}' - to_days(CAST({u(D_DAYS)} AS INTEGER)) - to_hours(CAST({u(D_HOURS)} AS INTEGER))
-            - to_minutes(CAST({u(D_MINUTES)} AS INTEGER)) AS created_at,
-        CAST({u(D_DELIVERY)} + 1 AS INTEGER) AS _lead,
-        {u(D_LOYALTY)} < 35 AS is_loyalty_member,
-        {u(D_RATED)} AS _rated,
-        {pick_by_bounds_sql(u(D_RATING), RATING_BOUNDS, lambda v: f"CAST({v} AS DECIMAL(3,1))")} AS _rating,
-        {pick_from_sql(model.DEVICES, u(D_DEVICE))} AS _device,
-        {pick_from_sql(model.COUPONS, u(D_COUPON))} AS _coupon,
-        {pick_from_sql(COUNTRIES, u(D_COUNTRY))} AS _country,
-        {pick_from_sql(model.REFERRALS, u(D_REFERRAL))} AS _referral,
-        CAST({u(D_NUMBER)} + 1 AS VARCHAR) || ' ' || {pick_from_sql(STREETS, u(D_STREET))} || ' '
-            || {pick_from_sql(STREET_TYPES, u(D_STREET_TYPE))} || ', ' || {pick_from_sql(SUBURBS, u(D_SUBURB))} || ' '
-            || {pick_from_sql(STATES, u(D_STATE))} || ' ' || CAST({u(D_POSTCODE)} + 1000 AS VARCHAR) AS _address
-    FROM ({keys_sql}) AS keys"""
-    statuses = ", ".join(f"'{s}'" for s in model.DELIVERY_STATUSES)
-    return f"""
-    SELECT
-        order_id,
-        substring(_h, 1, 8) || '-' || substring(_h, 9, 4) || '-4' || substring(_h, 13, 3) || '-'
-            || _variant || substring(_h, 16, 3) || '-' || substring(_h, 19, 12) AS customer_id,
-        order_status, order_total, item_count, product_category, created_at,
-        CASE WHEN order_status IN ({statuses}) THEN CAST(created_at AS DATE) + _lead END AS delivery_date,
-        is_loyalty_member,
-        CASE WHEN order_status = '{model.RATED_STATUS}' AND _rated < 80 THEN _rating END AS rating,
-        '{{' || concat_ws(',', {jp('device', '_device')}, {jp('coupon_code', '_coupon')},
-                          {jp('ip_country', '_country')}, {jp('referral', '_referral')}) || '}}' AS metadata,
-        CASE WHEN order_status <> '{model.NO_ADDRESS_STATUS}' THEN _address END AS shipping_address
-    FROM ({inner}) AS s"""
+    """The same rules as DuckDB text over a relation ``keys(order_id)``."""
+    return nest_selects(_stages(DUCKDB, seed, as_of, "order_id"), f"({keys_sql}) AS k")
