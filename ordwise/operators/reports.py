@@ -199,6 +199,7 @@ def schema_profile(df: DataFrame) -> DataFrame:
         args += [F.lit(name), F.lit(ordinal), F.lit(pg), F.lit(max_len).cast("int"),
                  F.lit(prec).cast("int"), F.lit(scale).cast("int"), F.lit(nullable),
                  F.col(f"_n{ordinal}"), F.col(f"_l{ordinal}")]
-    return df.agg(*aggs).select(F.stack(F.lit(len(cat)), *args).alias(
+    return (df.agg(*aggs).select(F.stack(F.lit(len(cat)), *args).alias(
         "column_name", "ordinal_position", "data_type", "character_maximum_length",
         "numeric_precision", "numeric_scale", "is_nullable", "null_count", "max_length"))
+        .orderBy("ordinal_position"))

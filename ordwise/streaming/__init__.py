@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The surveyed job is batch only: it has no stream source, trigger, watermark
+or stateful operator, so this package intentionally holds no operators (see
+README, "What is not built").
+"""
