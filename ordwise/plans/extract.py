@@ -22,6 +22,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordwise import model
 from ordwise.functions.derive import TRANSFORM_SQL, transform_df
 from ordwise.operators import quality, reports
-from ordwise.session import new_output_path
+from ordwise.session import new_output_path, remove_path
 from ordwise.sources import jdbc
 from ordwise.sources.parquet import read_dataset, write_partitioned
 
@@ -44,15 +45,23 @@ class ExtractResult:
         return read_dataset(spark, self.output_path)
 
 
-def stage_source(spark: SparkSession, source: DataFrame, name: str = "staged-source") -> DataFrame:
+@contextmanager
+def staged(spark: SparkSession, source: DataFrame, enabled: bool = True, name: str = "staged-source"):
     """Copy the source once into Parquet under the shared folder and read it back.
 
     Cuts the lineage to the source: later passes (gate, write, retries after a
-    lost executor) read the staged files, never the database again.
+    lost executor) read the staged files, never the database again. The copy
+    is removed when the block ends, whether the job succeeded or not.
     """
+    if not enabled:
+        yield source
+        return
     path = new_output_path(spark, name)
-    source.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    try:
+        source.write.mode("error").parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        remove_path(spark, path)
 
 
 def _gate(report: DataFrame) -> list[dict]:
@@ -67,11 +76,10 @@ def run_extract_df(spark: SparkSession, source: DataFrame, output_path: str, *,
                    min_rows: int = model.MIN_ROWS, overwrite_mode: str = "dynamic",
                    stage: bool = False) -> ExtractResult:
     """M1: derive (decimal flavour) -> gate -> write -> reports."""
-    if stage:
-        source = stage_source(spark, source)
-    derived = transform_df(source)
-    checks = _gate(quality.qc_report(derived, min_rows=min_rows))
-    write_partitioned(derived, output_path, overwrite_mode=overwrite_mode)
+    with staged(spark, source, stage) as src:
+        derived = transform_df(src)
+        checks = _gate(quality.qc_report(derived, min_rows=min_rows))
+        write_partitioned(derived, output_path, overwrite_mode=overwrite_mode)
     out = read_dataset(spark, output_path)
     return ExtractResult(output_path, checks, {
         "status_counts": reports.status_counts(out),
@@ -129,12 +137,12 @@ def run_extract_sql(spark: SparkSession, source: DataFrame, output_path: str, *,
                     min_rows: int = model.MIN_ROWS, overwrite_mode: str = "static",
                     stage: bool = False) -> ExtractResult:
     """M2: the same job through temp views and SQL text (double flavour)."""
-    if stage:
-        source = stage_source(spark, source)
-    source.createOrReplaceTempView("orders_raw")
-    spark.sql(TRANSFORM_SQL.format(view="orders_raw")).createOrReplaceTempView("orders_transformed")
-    checks = _gate(spark.sql(QC_SQL.format(min_rows=int(min_rows))))
-    write_partitioned(spark.sql("SELECT * FROM orders_transformed"), output_path, overwrite_mode=overwrite_mode)
+    with staged(spark, source, stage) as src:
+        src.createOrReplaceTempView("orders_raw")
+        spark.sql(TRANSFORM_SQL.format(view="orders_raw")).createOrReplaceTempView("orders_transformed")
+        checks = _gate(spark.sql(QC_SQL.format(min_rows=int(min_rows))))
+        write_partitioned(spark.sql("SELECT * FROM orders_transformed"), output_path,
+                          overwrite_mode=overwrite_mode)
     read_dataset(spark, output_path).createOrReplaceTempView("orders_out")
     return ExtractResult(output_path, checks, {k: spark.sql(q) for k, q in REPORT_SQL.items()})
 
@@ -173,6 +181,9 @@ def main(argv: list[str] | None = None) -> int:
     except quality.QualityGateError as e:
         print(f"QC FAIL: {e}", file=sys.stderr)
         return 1
+    out = result.output(spark)
+    out.printSchema()
+    print(f"rows written: {out.count()}")
     for name, df in result.reports.items():
         print(name)
         df.show(truncate=False)

@@ -77,3 +77,14 @@ def test_one_pass_gate_reads_only_checked_columns(spark):
     plan = plan_text(quality.qc_report(df), "simple")
     read_schema = plan[plan.index("ReadSchema:"):].splitlines()[0]
     assert "o_orderdate" not in read_schema and "o_custkey" not in read_schema
+
+
+def test_staged_copy_removed_after_success_and_failure(spark):
+    from ordwise.session import shared_dir
+    staged_dirs = lambda: set(glob.glob(f"{shared_dir(spark)}/out/staged-source-*"))
+    before = staged_dirs()
+    run_extract_df(spark, load_orders(spark, SF_SMALL), new_output_path(spark, "t-stage-ok"), stage=True)
+    with pytest.raises(quality.QualityGateError):
+        run_extract_df(spark, load_orders(spark, SF_SMALL, corrupted=True),
+                       new_output_path(spark, "t-stage-fail"), stage=True)
+    assert staged_dirs() == before
