@@ -15,6 +15,8 @@ decimal flavour.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,7 +115,7 @@ def status_distribution(df: DataFrame) -> DataFrame:
     total = F.sum("cnt").over(Window.partitionBy())
     return (grouped.select(
         "order_status", "cnt",
-        F.round(F.col("cnt") * F.lit(100.0) / total, 1).cast("double").alias("pct"))
+        F.round(F.col("cnt") * F.lit(Decimal("100.0")) / total, 1).cast("double").alias("pct"))
         .orderBy(F.desc("cnt"), F.asc_nulls_last("order_status")))
 
 
