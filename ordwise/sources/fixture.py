@@ -125,7 +125,8 @@ def as_model(adapted: DataFrame) -> DataFrame:
 
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's orders table, only the columns the adapter needs."""
-    return spread_small_scan(spark.read.schema(SOURCE_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/orders.parquet"))
+    return spread_small_scan(spark.read.schema(SOURCE_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/orders.parquet"),
+                             key="o_orderkey")
 
 
 _PLANS: dict[tuple, DataFrame] = {}
