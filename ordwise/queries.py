@@ -9,8 +9,6 @@ values in place, so they report non-zero counts.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ from ordwise.plans.extract import run_extract_df, run_extract_sql
 from ordwise.session import new_output_path
 from ordwise.sources import fixture, parquet, partitions, synth
 
-DEFAULTS_AS_OF = datetime(2024, 1, 1, 0, 0, 0)
+DEFAULTS_AS_OF = "2024-01-01 00:00:00"
 SAMPLE_SEED = 42
 SYNTH_SEED = 7
 
@@ -107,7 +105,9 @@ def q_transform_sql(spark, sf_dir):
 def q_apply_defaults(spark, sf_dir):
     """A source that omits created_at and is_loyalty_member gets the DDL defaults."""
     partial = _orders(spark, sf_dir).drop("created_at", "is_loyalty_member")
-    return derive.apply_defaults(partial, {"created_at": F.lit(DEFAULTS_AS_OF).cast("timestamp_ntz")})
+    # A typed literal, not a Python datetime: the value must not depend on the
+    # driver process's time zone.
+    return derive.apply_defaults(partial, {"created_at": F.expr(f"TIMESTAMP_NTZ '{DEFAULTS_AS_OF}'")})
 
 
 def q_filter_bad_total(spark, sf_dir):
