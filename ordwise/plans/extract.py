@@ -74,12 +74,12 @@ def _gate(report: DataFrame) -> list[dict]:
 
 def run_extract_df(spark: SparkSession, source: DataFrame, output_path: str, *,
                    min_rows: int = model.MIN_ROWS, overwrite_mode: str = "dynamic",
-                   stage: bool = False) -> ExtractResult:
+                   stage: bool = False, placement: str | int = "rebalance") -> ExtractResult:
     """M1: derive (decimal flavour) -> gate -> write -> reports."""
     with staged(spark, source, stage) as src:
         derived = transform_df(src)
         checks = _gate(quality.qc_report(derived, min_rows=min_rows))
-        write_partitioned(derived, output_path, overwrite_mode=overwrite_mode)
+        write_partitioned(derived, output_path, overwrite_mode=overwrite_mode, placement=placement)
     out = read_dataset(spark, output_path)
     return ExtractResult(output_path, checks, {
         "status_counts": reports.status_counts(out),
@@ -135,14 +135,14 @@ REPORT_SQL = {
 
 def run_extract_sql(spark: SparkSession, source: DataFrame, output_path: str, *,
                     min_rows: int = model.MIN_ROWS, overwrite_mode: str = "static",
-                    stage: bool = False) -> ExtractResult:
+                    stage: bool = False, placement: str | int = "rebalance") -> ExtractResult:
     """M2: the same job through temp views and SQL text (double flavour)."""
     with staged(spark, source, stage) as src:
         src.createOrReplaceTempView("orders_raw")
         spark.sql(TRANSFORM_SQL.format(view="orders_raw")).createOrReplaceTempView("orders_transformed")
         checks = _gate(spark.sql(QC_SQL.format(min_rows=int(min_rows))))
         write_partitioned(spark.sql("SELECT * FROM orders_transformed"), output_path,
-                          overwrite_mode=overwrite_mode)
+                          overwrite_mode=overwrite_mode, placement=placement)
     read_dataset(spark, output_path).createOrReplaceTempView("orders_out")
     return ExtractResult(output_path, checks, {k: spark.sql(q) for k, q in REPORT_SQL.items()})
 
@@ -162,7 +162,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--flavour", choices=("df", "sql"), default="df")
     p.add_argument("--min-rows", type=int, default=model.MIN_ROWS)
     p.add_argument("--overwrite-mode", choices=("static", "dynamic"), default=None)
+    p.add_argument("--placement", default="rebalance",
+                   help="rebalance (one shuffle, sized files), local (no shuffle) or a writer count")
     args = p.parse_args(argv)
+    placement = int(args.placement) if args.placement.isdigit() else args.placement
 
     from ordwise.session import build_session
     spark = build_session(app_name=f"ordwise-extract-{args.flavour}")
@@ -177,7 +180,8 @@ def main(argv: list[str] | None = None) -> int:
     run = run_extract_df if args.flavour == "df" else run_extract_sql
     mode = args.overwrite_mode or ("dynamic" if args.flavour == "df" else "static")
     try:
-        result = run(spark, source, args.output_path, min_rows=args.min_rows, overwrite_mode=mode, stage=stage)
+        result = run(spark, source, args.output_path, min_rows=args.min_rows, overwrite_mode=mode, stage=stage,
+                     placement=placement)
     except quality.QualityGateError as e:
         print(f"QC FAIL: {e}", file=sys.stderr)
         return 1

@@ -95,3 +95,23 @@ def test_synth_shares_and_invariants(spark):
     assert 0.33 < loyal < 0.37
     r = df.agg(F.min("order_total"), F.max("order_total"), F.min("item_count"), F.max("item_count")).first()
     assert r[0] >= 4.25 and r[1] <= 10000 and (r[2], r[3]) == (1, 20)
+
+
+def test_placement_choices(spark):
+    from tests.conftest import plan_text
+    df = transform_df(load_orders(spark, SF_SMALL))
+    assert "Exchange" not in plan_text(parquet._place(transform_df(synth.synth_orders(spark, 100)),
+                                                      "order_status", "local"), "simple")
+    n = df.count()
+    counts = {}
+    for placement in ("rebalance", "local", 4):
+        path = new_output_path(spark, f"t-place-{placement}")
+        parquet.write_partitioned(df, path, placement=placement)
+        counts[placement] = len(glob.glob(f"{path}/order_status=*/*.parquet"))
+        assert parquet.read_dataset(spark, path).count() == n
+    assert counts["rebalance"] == 6
+    assert 6 <= counts[4] <= 4 * 6
+    assert 6 <= counts["local"] <= df.rdd.getNumPartitions() * 6
+    import pytest
+    with pytest.raises(ValueError):
+        parquet.write_partitioned(df, new_output_path(spark, "t-place-bad"), placement="everywhere")
