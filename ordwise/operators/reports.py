@@ -140,18 +140,37 @@ def category_performance(df: DataFrame, k: int = 10) -> DataFrame:
 
 # -- G3, G4 -------------------------------------------------------------------
 
-def sample_rows(df: DataFrame, k: int = 5, seed: int = 42, key: str = "order_id") -> DataFrame:
-    """k rows in a repeatable random order: top-k on a hash of the key.
+def top_k_rows(df: DataFrame, order: list[Column], k: int, key: str = "order_id") -> DataFrame:
+    """The first ``k`` rows of ``df`` under ``order``, an order on ``key`` alone.
+
+    Two phases, so whole rows are built and read only for the winners:
+
+    1. rank on the key column only: a pruned scan planned as
+       TakeOrderedAndProject (each task keeps k keys); k keys reach the driver;
+    2. read the rows of those keys: ``key IN (...)`` is pushed into the
+       Parquet reader, which skips row groups by their min/max statistics; on
+       a derived frame the filter is placed under every costly projection.
 
-    Planned as TakeOrderedAndProject: each task keeps its k best rows, no full sort.
+    Ranking again after phase 2 keeps the answer exact when a key repeats.
     """
+    keys = [r[0] for r in df.select(key).orderBy(*order).limit(k).collect()]
+    if not keys:
+        return df.filter(F.lit(False))
+    hit = F.col(key).isin([v for v in keys if v is not None])
+    if None in keys:
+        hit = hit | F.col(key).isNull()
+    return df.filter(hit).orderBy(*order).limit(k)
+
+
+def sample_rows(df: DataFrame, k: int = 5, seed: int = 42, key: str = "order_id") -> DataFrame:
+    """k rows in a repeatable random order: top-k on a hash of the key."""
     h = draw(f"CAST(`{key}` AS BIGINT)", seed, MODULUS)
-    return df.orderBy(h.asc(), F.col(key).asc()).limit(k)
+    return top_k_rows(df, [h.asc_nulls_last(), F.col(key).asc_nulls_last()], k, key)
 
 
 def head_rows(df: DataFrame, k: int = 5, key: str = "order_id") -> DataFrame:
     """First k rows by key (an explicit order, so the result is defined)."""
-    return df.orderBy(F.col(key).asc_nulls_last()).limit(k)
+    return top_k_rows(df, [F.col(key).asc_nulls_last()], k, key)
 
 
 # -- A9 -----------------------------------------------------------------------

@@ -88,3 +88,19 @@ def test_staged_copy_removed_after_success_and_failure(spark):
         run_extract_df(spark, load_orders(spark, SF_SMALL, corrupted=True),
                        new_output_path(spark, "t-stage-fail"), stage=True)
     assert staged_dirs() == before
+
+
+def test_top_k_rows_reads_whole_rows_for_winners_only(spark, tmp_path):
+    from ordwise.sources.synth import synth_orders
+    path = str(tmp_path / "t")
+    synth_orders(spark, 5000, num_partitions=4).write.option("parquet.block.size", 16384).parquet(path)
+    src = spark.read.parquet(path)
+    got = reports.head_rows(src, k=5)
+    plan = plan_text(got, "simple")
+    assert "PushedFilters: [In(order_id," in plan
+    assert [r.order_id for r in got.collect()] == [1, 2, 3, 4, 5]
+    # exact when a key repeats, and when a null key makes the cut
+    dup = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "order_id int, v string")
+    assert sorted(r.v for r in reports.head_rows(dup, k=2).collect()) == ["a", "b"]
+    assert sorted(r.v for r in reports.head_rows(dup, k=4).collect()) == ["a", "b", "c", "d"]
+    assert reports.head_rows(dup.filter("false"), k=3).count() == 0
