@@ -128,20 +128,23 @@ FROM t""")
 
 def _jdbc_plan_sql() -> str:
     lo, hi = model.JDBC_MIN_PARTITIONS, model.JDBC_MAX_PARTITIONS
+    v = lambda name: f"(SELECT {name} FROM r)"
+    bound = lambda i: f"({v('lo')} + ({i}) * {v('w')} + least({i}, {v('extra')}))"
+    off = f"(order_id - {v('lo')})"
+    wide = f"(({v('w')} + 1) * {v('extra')})"
     return _cte(f""",
-s AS (SELECT COUNT(*) AS n, MIN(order_id) AS lo, MAX(order_id) + 1 AS hi FROM o),
-p AS (SELECT lo, hi, greatest({lo}, least({hi}, n // {model.JDBC_ROWS_PER_PARTITION})) AS req FROM s),
-q AS (SELECT lo, hi, CASE WHEN hi - lo >= req THEN req ELSE hi - lo END AS np FROM p),
-r AS (SELECT np, (hi - lo) // np AS stride, lo + ((hi - lo) % np + 1) // 2 AS start FROM q),
-c AS (SELECT least((SELECT np FROM r) - 1,
-                   greatest(0, (order_id - (SELECT start FROM r)) // (SELECT stride FROM r))) AS part,
+s AS (SELECT COUNT(*) AS n, MIN(order_id) AS lo, MAX(order_id) AS hi FROM o),
+p AS (SELECT lo, hi - lo + 1 AS span, greatest({lo}, least({hi}, n // {model.JDBC_ROWS_PER_PARTITION})) AS req FROM s),
+r AS (SELECT lo, least(req, span) AS np, span // least(req, span) AS w, span % least(req, span) AS extra FROM p),
+c AS (SELECT coalesce(least({v('np')} - 1, greatest(0,
+                 CASE WHEN {off} < {wide} THEN {off} // ({v('w')} + 1)
+                      ELSE {v('extra')} + ({off} - {wide}) // {v('w')} END)), 0) AS part,
              COUNT(*) AS rows
       FROM o GROUP BY 1),
 parts AS (SELECT i FROM range(0, (SELECT np FROM r)) AS t(i))
 SELECT CAST(i AS INTEGER) AS part,
-       CASE WHEN i = 0 THEN NULL ELSE (SELECT start FROM r) + i * (SELECT stride FROM r) END AS lower,
-       CASE WHEN i = (SELECT np FROM r) - 1 THEN NULL
-            ELSE (SELECT start FROM r) + (i + 1) * (SELECT stride FROM r) END AS upper,
+       CASE WHEN i = 0 THEN NULL ELSE CAST({bound('i')} AS BIGINT) END AS lower,
+       CASE WHEN i = {v('np')} - 1 THEN NULL ELSE CAST({bound('i + 1')} AS BIGINT) END AS upper,
        COALESCE(c.rows, 0) AS rows
 FROM parts LEFT JOIN c ON c.part = parts.i""")
 

@@ -175,7 +175,7 @@ def main(argv: list[str] | None = None) -> int:
         with open(args.properties_file) as fh:
             props = json.load(fh)
         source, plan = jdbc.planned_scan(spark, args.jdbc_url, args.table, args.key, props, args.max_connections)
-        print(f"JDBC read: {plan.partitions} ranges, stride {plan.stride}")
+        print(f"JDBC read: {plan.partitions} key ranges from {plan.lower}")
         stage = True
     run = run_extract_df if args.flavour == "df" else run_extract_sql
     mode = args.overwrite_mode or ("dynamic" if args.flavour == "df" else "static")

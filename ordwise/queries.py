@@ -38,10 +38,10 @@ def _sql_flavour(spark, sf_dir):
 # -- sources -------------------------------------------------------------------
 
 def q_jdbc_plan_partitions(spark, sf_dir):
-    """Stride plan for a JDBC read of this table on order_id, and rows per range."""
+    """Range plan for a JDBC read of this table on order_id, and rows per range."""
     orders = _orders(spark, sf_dir)
     plan = partitions.plan_from_stats(*partitions.key_stats(orders, "order_id"))
-    return partitions.stride_balance(orders, "order_id", plan)
+    return partitions.range_balance(orders, "order_id", plan)
 
 
 def q_schema_profile(spark, sf_dir):

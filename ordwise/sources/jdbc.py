@@ -6,7 +6,7 @@ opens a connection until Spark runs a job.
 
 Reading a table is planned from the database's own statistics: one pushed
 down ``COUNT/MIN/MAX`` query (the aggregate runs in the database, one row
-comes back), then a stride split over the real key range with at most
+comes back), then a range split over the real key range with at most
 ``max_connections`` concurrent readers.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordwise import model
-from ordwise.sources.partitions import StridePlan, plan_from_stats
+from ordwise.sources.partitions import RangePlan, plan_from_stats
 
 
 def connection_properties(user: str, password: str, driver: str = "org.postgresql.Driver", *,
@@ -51,6 +51,12 @@ def partitioned_scan(spark: SparkSession, url: str, table: str, column: str, low
                            numPartitions=num_partitions, properties=properties)
 
 
+def predicate_scan(spark: SparkSession, url: str, table: str, predicates: list[str],
+                   properties: dict) -> DataFrame:
+    """One partition per WHERE clause; every clause is one concurrent range query."""
+    return spark.read.jdbc(url=url, table=table, predicates=predicates, properties=properties)
+
+
 def source_stats(spark: SparkSession, url: str, table: str, column: str,
                  properties: dict) -> tuple[int, int | None, int | None]:
     """(rows, min key, max key) computed by the database in one query."""
@@ -60,13 +66,17 @@ def source_stats(spark: SparkSession, url: str, table: str, column: str,
 
 
 def planned_scan(spark: SparkSession, url: str, table: str, column: str, properties: dict,
-                 max_connections: int = model.JDBC_MAX_PARTITIONS) -> tuple[DataFrame, StridePlan]:
-    """Count -> plan -> partitioned scan, with bounds from the real MIN/MAX."""
+                 max_connections: int = model.JDBC_MAX_PARTITIONS) -> tuple[DataFrame, RangePlan]:
+    """Count -> plan -> one range query per partition, over the real MIN/MAX.
+
+    The ranges go to Spark as explicit ``predicates``, so each partition
+    reads exactly its planned range (see :mod:`ordwise.sources.partitions`).
+    """
     rows, lo, hi = source_stats(spark, url, table, column, properties)
     plan = plan_from_stats(rows, lo, hi, max_connections)
     if plan.partitions <= 1:
         return scan(spark, url, table, properties), plan
-    return partitioned_scan(spark, url, table, column, plan.lower, plan.upper, plan.partitions, properties), plan
+    return predicate_scan(spark, url, table, plan.predicates(column), properties), plan
 
 
 def truncate_load(df: DataFrame, url: str, table: str, properties: dict, *, batch_size: int = 100,

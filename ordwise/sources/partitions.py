@@ -1,25 +1,24 @@
 """JDBC read planning (A3): how many connections, and which key range each reads.
 
-Spark splits a partitioned JDBC read into ``numPartitions`` stride ranges
-over ``[lowerBound, upperBound)``; the bounds only set the stride, rows
-outside them land in the first or last range. :func:`stride_plan` reproduces
-that split on the driver (a handful of numbers, bounded by the connection
-cap) so a plan can be inspected before any connection is opened, and
-:func:`stride_balance` counts how many rows of a frame each range would get.
+The plan is ours, stated as data: the key's real ``[min, max]`` is cut into
+``n`` contiguous ranges whose widths differ by at most one, and each range
+becomes one ``WHERE`` clause handed to ``spark.read.jdbc(predicates=...)``,
+which reads one partition per clause. So the plan is exactly what Spark
+reads, and :func:`range_balance` can count the rows each range holds before
+any connection is opened. The first range also takes null keys and the
+ranges at both ends are open, so a row inserted outside the planned
+``[min, max]`` is still read once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Context, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordwise import model
 
-_CTX = Context(prec=34, rounding=ROUND_HALF_EVEN)  # 128-bit decimal arithmetic
-
 
 def num_partitions_for(rows: int, max_connections: int = model.JDBC_MAX_PARTITIONS) -> int:
     """max(4, min(20, rows // 100)), never above the connection cap."""
@@ -28,62 +27,62 @@ def num_partitions_for(rows: int, max_connections: int = model.JDBC_MAX_PARTITIO
 
 
 @dataclass(frozen=True)
-class StridePlan:
-    lower: int            # requested lower bound
-    upper: int            # requested upper bound
-    partitions: int       # effective number of ranges
-    start: int            # aligned start of the first stride
-    stride: int
+class RangePlan:
+    lower: int            # smallest planned key
+    width: int            # base width; the first ``extra`` ranges are one wider
+    extra: int
+    partitions: int
+
+    def bound(self, i: int) -> int:
+        """Start of range ``i`` (0 < i < partitions)."""
+        return self.lower + i * self.width + min(i, self.extra)
 
     def ranges(self) -> list[tuple[int, int | None, int | None]]:
-        """(part, lower, upper) per range; None = open end (first range also takes nulls)."""
-        if self.partitions <= 1:
-            return [(0, None, None)]
+        """(part, lower, upper) per range, upper exclusive; None = open end."""
+        n = self.partitions
+        return [(i, None if i == 0 else self.bound(i), None if i == n - 1 else self.bound(i + 1))
+                for i in range(n)]
+
+    def predicates(self, column: str) -> list[str]:
+        """One WHERE clause per range, for ``spark.read.jdbc(predicates=...)``."""
         out = []
-        for i in range(self.partitions):
-            lo = None if i == 0 else self.start + i * self.stride
-            hi = None if i == self.partitions - 1 else self.start + (i + 1) * self.stride
-            out.append((i, lo, hi))
+        for i, lo, hi in self.ranges():
+            conds = ([f"{column} >= {lo}"] if lo is not None else []) + ([f"{column} < {hi}"] if hi is not None else [])
+            clause = " AND ".join(conds) or "1 = 1"
+            out.append(f"{clause} OR {column} IS NULL" if i == 0 and conds else clause)
         return out
 
-    def part_of(self, key: Column) -> Column:
-        """Range index of each key value, as Spark's per-range WHERE clauses assign it."""
+    def part_of(self, column: str) -> Column:
+        """Range index of each key value (null keys: range 0), in O(1) integer arithmetic."""
         if self.partitions <= 1:
             return F.lit(0)
-        idx = F.floor((key.cast("bigint") - F.lit(self.start)) / F.lit(self.stride))
-        return F.coalesce(F.least(F.lit(self.partitions - 1), F.greatest(F.lit(0), idx)), F.lit(0)).cast("int")
+        off = f"(CAST(`{column}` AS BIGINT) - {self.lower})"
+        wide = (self.width + 1) * self.extra
+        idx = (f"CASE WHEN {off} < {wide} THEN {off} div {self.width + 1} "
+               f"ELSE {self.extra} + ({off} - {wide}) div {self.width} END")
+        return F.expr(f"CAST(coalesce(least({self.partitions - 1}, greatest(0, {idx})), 0) AS INT)")
 
 
-def stride_plan(lower: int, upper: int, partitions: int) -> StridePlan:
-    """Spark's stride split of [lower, upper) into ``partitions`` ranges.
+def range_plan(lower: int, upper: int, partitions: int) -> RangePlan:
+    """Cut the keys ``lower..upper`` (both inclusive) into at most ``partitions`` ranges.
 
-    Fewer ranges than asked when the span is shorter; one range when the
-    bounds are equal or one range is asked. The leftover of the integer
-    stride is spread half before the first and half after the last range.
+    Never more ranges than keys in the span, so none is empty by construction.
     """
     if lower > upper:
         raise ValueError("lower bound must not exceed upper bound")
-    if partitions <= 1 or lower == upper:
-        return StridePlan(lower, upper, 1, lower, 0)
-    n = partitions if (upper - lower) >= partitions else upper - lower
-    q = Decimal("1e-18")
-    up = _CTX.divide(Decimal(upper), Decimal(n)).quantize(q, rounding=ROUND_HALF_EVEN)
-    lo = _CTX.divide(Decimal(lower), Decimal(n)).quantize(q, rounding=ROUND_HALF_EVEN)
-    precise = up - lo
-    stride = int(precise)
-    lost = _CTX.divide((precise - stride) * n, Decimal(stride))
-    shift = (_CTX.divide(lost, Decimal(2)) * stride).quantize(Decimal(1), rounding=ROUND_HALF_UP)
-    return StridePlan(lower, upper, n, lower + int(shift), stride)
-
-
-def stride_balance(df: DataFrame, column: str, plan: StridePlan) -> DataFrame:
+    span = upper - lower + 1
+    n = max(1, min(partitions, span))
+    return RangePlan(lower, span // n, span % n, n)
+
+
+def range_balance(df: DataFrame, column: str, plan: RangePlan) -> DataFrame:
     """(part, lower, upper, rows) per range: how evenly the plan splits ``df``.
 
     One aggregate pass (a counter per range, at most the connection cap of
     them); ``stack`` spreads the single result row into one row per range,
     so empty ranges show 0.
     """
-    part = plan.part_of(F.col(column))
+    part = plan.part_of(column)
     ranges = plan.ranges()
     counts = df.agg(*[F.count_if(part == i).alias(f"_p{i}") for i, _, _ in ranges])
     args = []
@@ -93,11 +92,11 @@ def stride_balance(df: DataFrame, column: str, plan: StridePlan) -> DataFrame:
 
 
 def plan_from_stats(rows: int, min_key: int | None, max_key: int | None,
-                    max_connections: int = model.JDBC_MAX_PARTITIONS) -> StridePlan:
-    """Plan from the real key range [min, max + 1) and row count (not 1 .. n + 1)."""
+                    max_connections: int = model.JDBC_MAX_PARTITIONS) -> RangePlan:
+    """Plan from the real key range and row count (not the surveyed job's 1 .. n + 1)."""
     if not rows or min_key is None:
-        return stride_plan(1, 1, 1)
-    return stride_plan(int(min_key), int(max_key) + 1, num_partitions_for(rows, max_connections))
+        return range_plan(0, 0, 1)
+    return range_plan(int(min_key), int(max_key), num_partitions_for(rows, max_connections))
 
 
 def key_stats(df: DataFrame, column: str) -> tuple[int, int | None, int | None]:

@@ -19,32 +19,38 @@ def test_partition_count_rule():
     assert partitions.num_partitions_for(5000, max_connections=8) == 8
 
 
-def test_stride_plan_matches_spark_split():
-    p = partitions.stride_plan(1, 1001, 10)
-    assert (p.partitions, p.stride, p.start) == (10, 100, 1)
+def test_range_plan_splits_evenly():
+    p = partitions.range_plan(1, 1000, 10)
+    assert p.partitions == 10
     assert p.ranges()[0] == (0, None, 101) and p.ranges()[-1] == (9, 901, None)
-    assert partitions.stride_plan(1, 4, 10).partitions == 3          # span shorter than asked
-    assert partitions.stride_plan(1, 1, 10).partitions == 1          # equal bounds
-    # leftover of the integer stride: half goes before the first range
-    p = partitions.stride_plan(0, 23, 4)
-    assert (p.stride, p.start) == (5, 2)
+    assert partitions.range_plan(1, 3, 10).partitions == 3           # never more ranges than keys
+    assert partitions.range_plan(7, 7, 10).partitions == 1
+    p = partitions.range_plan(0, 22, 4)                               # 23 keys: widths 6, 6, 6, 5
+    assert [r[1] for r in p.ranges()] == [None, 6, 12, 18]
+    assert p.predicates("id") == ["id < 6 OR id IS NULL", "id >= 6 AND id < 12", "id >= 12 AND id < 18",
+                                  "id >= 18"]
+    assert partitions.range_plan(7, 7, 4).predicates("id") == ["1 = 1"]
 
 
-def test_stride_balance_narrow_bounds(spark):
+def test_range_balance_counts_every_key_once(spark):
     ids = spark.range(1, 1001).withColumnRenamed("id", "order_id")
-    plan = partitions.stride_plan(1, 501, 5)
-    rows = [r.rows for r in partitions.stride_balance(ids, "order_id", plan).orderBy("part").collect()]
-    assert rows == [100, 100, 100, 100, 600]
+    plan = partitions.range_plan(1, 500, 5)                         # plan narrower than the data
+    rows = [r.rows for r in partitions.range_balance(ids, "order_id", plan).orderBy("part").collect()]
+    assert rows == [100, 100, 100, 100, 600]                        # open last range keeps them all
+    plan = partitions.range_plan(0, 22, 4)
+    ids = spark.range(-3, 30).withColumnRenamed("id", "order_id")
+    got = {r.part: r.rows for r in partitions.range_balance(ids, "order_id", plan).collect()}
+    assert got == {0: 9, 1: 6, 2: 6, 3: 12}
 
 
-def test_stride_balance_empty_and_nulls(spark):
+def test_range_balance_empty_and_nulls(spark):
     empty = spark.range(0).withColumnRenamed("id", "order_id")
     plan = partitions.plan_from_stats(*partitions.key_stats(empty, "order_id"))
     assert plan.partitions == 1
-    assert partitions.stride_balance(empty, "order_id", plan).collect()[0].rows == 0
+    assert partitions.range_balance(empty, "order_id", plan).collect()[0].rows == 0
     with_null = spark.createDataFrame([(None,), (5,), (50,)], "order_id int")
-    plan = partitions.stride_plan(1, 101, 4)
-    got = {r.part: r.rows for r in partitions.stride_balance(with_null, "order_id", plan).collect()}
+    plan = partitions.range_plan(1, 100, 4)
+    got = {r.part: r.rows for r in partitions.range_balance(with_null, "order_id", plan).collect()}
     assert got == {0: 2, 1: 1, 2: 0, 3: 0}                         # nulls go to the first range
 
 
