@@ -158,6 +158,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--key", default="order_id", help="integer key that splits the JDBC read")
     p.add_argument("--properties-file", help="JSON file with JDBC connection properties")
     p.add_argument("--max-connections", type=int, default=model.JDBC_MAX_PARTITIONS)
+    p.add_argument("--split", choices=("width", "quantile"), default="width",
+                   help="JDBC key ranges: equal widths, or database-computed key quantiles")
     p.add_argument("--output-path", required=True)
     p.add_argument("--flavour", choices=("df", "sql"), default="df")
     p.add_argument("--min-rows", type=int, default=model.MIN_ROWS)
@@ -174,8 +176,9 @@ def main(argv: list[str] | None = None) -> int:
     else:
         with open(args.properties_file) as fh:
             props = json.load(fh)
-        source, plan = jdbc.planned_scan(spark, args.jdbc_url, args.table, args.key, props, args.max_connections)
-        print(f"JDBC read: {plan.partitions} key ranges from {plan.lower}")
+        source, plan = jdbc.planned_scan(spark, args.jdbc_url, args.table, args.key, props, args.max_connections,
+                                         split=args.split)
+        print(f"JDBC read: {plan.partitions} key ranges, starts {[r[1] for r in plan.ranges()]}")
         stage = True
     run = run_extract_df if args.flavour == "df" else run_extract_sql
     mode = args.overwrite_mode or ("dynamic" if args.flavour == "df" else "static")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordwise import model
-from ordwise.sources.partitions import RangePlan, plan_from_stats
+from ordwise.sources.partitions import RangePlan, num_partitions_for, plan_from_cuts, plan_from_stats
 
 
 def connection_properties(user: str, password: str, driver: str = "org.postgresql.Driver", *,
@@ -65,15 +65,39 @@ def source_stats(spark: SparkSession, url: str, table: str, column: str,
     return int(r["n"] or 0), r["lo"], r["hi"]
 
 
+def quantile_cuts(spark: SparkSession, url: str, table: str, column: str, partitions: int,
+                  properties: dict) -> list:
+    """Key values at the 1/n .. (n-1)/n quantiles, computed by the database.
+
+    One ordered-set aggregate query (PostgreSQL ``percentile_disc``); one row
+    with ``n - 1`` values comes back.
+    """
+    cols = ", ".join(f"percentile_disc({i / partitions:.9f}) WITHIN GROUP (ORDER BY {column}) AS q{i}"
+                     for i in range(1, partitions))
+    r = query_scan(spark, url, f"SELECT {cols} FROM {table}", properties).first()
+    return [r[f"q{i}"] for i in range(1, partitions)]
+
+
 def planned_scan(spark: SparkSession, url: str, table: str, column: str, properties: dict,
-                 max_connections: int = model.JDBC_MAX_PARTITIONS) -> tuple[DataFrame, RangePlan]:
+                 max_connections: int = model.JDBC_MAX_PARTITIONS,
+                 split: str = "width") -> tuple[DataFrame, RangePlan]:
     """Count -> plan -> one range query per partition, over the real MIN/MAX.
 
-    The ranges go to Spark as explicit ``predicates``, so each partition
-    reads exactly its planned range (see :mod:`ordwise.sources.partitions`).
+    ``split="width"`` cuts the key span into equal widths (right for dense
+    keys, as the surveyed table has); ``split="quantile"`` cuts at key
+    quantiles computed by the database, so sparse or clustered keys still
+    give every connection about ``rows / n`` rows. The ranges go to Spark as
+    explicit ``predicates``, so each partition reads exactly its planned
+    range (see :mod:`ordwise.sources.partitions`).
     """
+    if split not in ("width", "quantile"):
+        raise ValueError("split must be 'width' or 'quantile'")
     rows, lo, hi = source_stats(spark, url, table, column, properties)
-    plan = plan_from_stats(rows, lo, hi, max_connections)
+    n = num_partitions_for(rows, max_connections) if rows else 1
+    if split == "quantile" and rows and n > 1:
+        plan = plan_from_cuts(int(lo), quantile_cuts(spark, url, table, column, n, properties))
+    else:
+        plan = plan_from_stats(rows, lo, hi, max_connections)
     if plan.partitions <= 1:
         return scan(spark, url, table, properties), plan
     return predicate_scan(spark, url, table, plan.predicates(column), properties), plan

@@ -28,20 +28,18 @@ def num_partitions_for(rows: int, max_connections: int = model.JDBC_MAX_PARTITIO
 
 @dataclass(frozen=True)
 class RangePlan:
-    lower: int            # smallest planned key
-    width: int            # base width; the first ``extra`` ranges are one wider
-    extra: int
-    partitions: int
+    lower: int                 # smallest planned key
+    bounds: tuple[int, ...]    # ascending starts of ranges 1 .. n-1
 
-    def bound(self, i: int) -> int:
-        """Start of range ``i`` (0 < i < partitions)."""
-        return self.lower + i * self.width + min(i, self.extra)
+    @property
+    def partitions(self) -> int:
+        return len(self.bounds) + 1
 
     def ranges(self) -> list[tuple[int, int | None, int | None]]:
         """(part, lower, upper) per range, upper exclusive; None = open end."""
-        n = self.partitions
-        return [(i, None if i == 0 else self.bound(i), None if i == n - 1 else self.bound(i + 1))
-                for i in range(n)]
+        starts = (None, *self.bounds)
+        ends = (*self.bounds, None)
+        return [(i, lo, hi) for i, (lo, hi) in enumerate(zip(starts, ends))]
 
     def predicates(self, column: str) -> list[str]:
         """One WHERE clause per range, for ``spark.read.jdbc(predicates=...)``."""
@@ -53,18 +51,23 @@ class RangePlan:
         return out
 
     def part_of(self, column: str) -> Column:
-        """Range index of each key value (null keys: range 0), in O(1) integer arithmetic."""
-        if self.partitions <= 1:
+        """Range index of each key value (null keys: range 0).
+
+        A CASE over at most the connection cap of bounds, compiled into the
+        generated code like any other expression.
+        """
+        if not self.bounds:
             return F.lit(0)
-        off = f"(CAST(`{column}` AS BIGINT) - {self.lower})"
-        wide = (self.width + 1) * self.extra
-        idx = (f"CASE WHEN {off} < {wide} THEN {off} div {self.width + 1} "
-               f"ELSE {self.extra} + ({off} - {wide}) div {self.width} END")
-        return F.expr(f"CAST(coalesce(least({self.partitions - 1}, greatest(0, {idx})), 0) AS INT)")
+        k = F.col(column)
+        idx = F.when(k.isNull(), F.lit(0))
+        for i, b in enumerate(self.bounds):
+            idx = idx.when(k < F.lit(b), F.lit(i))
+        return idx.otherwise(F.lit(len(self.bounds))).cast("int")
 
 
 def range_plan(lower: int, upper: int, partitions: int) -> RangePlan:
-    """Cut the keys ``lower..upper`` (both inclusive) into at most ``partitions`` ranges.
+    """Cut the keys ``lower..upper`` (both inclusive) into at most ``partitions``
+    ranges whose widths differ by at most one.
 
     Never more ranges than keys in the span, so none is empty by construction.
     """
@@ -72,7 +75,18 @@ def range_plan(lower: int, upper: int, partitions: int) -> RangePlan:
         raise ValueError("lower bound must not exceed upper bound")
     span = upper - lower + 1
     n = max(1, min(partitions, span))
-    return RangePlan(lower, span // n, span % n, n)
+    width, extra = divmod(span, n)
+    return RangePlan(lower, tuple(lower + i * width + min(i, extra) for i in range(1, n)))
+
+
+def plan_from_cuts(lower: int, cuts: list[int | None]) -> RangePlan:
+    """Plan from cut points such as key quantiles: range i starts at cut i.
+
+    Repeated cuts (a key value that fills several quantiles) collapse into
+    one boundary, so no range is empty by construction.
+    """
+    bounds = sorted({int(c) for c in cuts if c is not None and int(c) > lower})
+    return RangePlan(lower, tuple(bounds))
 
 
 def range_balance(df: DataFrame, column: str, plan: RangePlan) -> DataFrame:
@@ -95,7 +109,7 @@ def plan_from_stats(rows: int, min_key: int | None, max_key: int | None,
                     max_connections: int = model.JDBC_MAX_PARTITIONS) -> RangePlan:
     """Plan from the real key range and row count (not the surveyed job's 1 .. n + 1)."""
     if not rows or min_key is None:
-        return range_plan(0, 0, 1)
+        return RangePlan(0, ())
     return range_plan(int(min_key), int(max_key), num_partitions_for(rows, max_connections))
 
 
@@ -103,3 +117,14 @@ def key_stats(df: DataFrame, column: str) -> tuple[int, int | None, int | None]:
     """(rows, min, max) of the key in one small aggregate."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
     return int(r["n"]), r["lo"], r["hi"]
+
+
+def key_quantile_cuts(df: DataFrame, column: str, partitions: int, accuracy: int = 10000) -> list:
+    """Cut points at the 1/n .. (n-1)/n key quantiles of a frame, from one
+    distributed sketch aggregate (``percentile_approx``): the Spark-side
+    counterpart of the database's ``percentile_disc``."""
+    if partitions <= 1:
+        return []
+    fracs = [i / partitions for i in range(1, partitions)]
+    r = df.agg(F.percentile_approx(column, fracs, accuracy).alias("q")).first()
+    return list(r["q"] or [])

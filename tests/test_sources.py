@@ -121,3 +121,22 @@ def test_placement_choices(spark):
     import pytest
     with pytest.raises(ValueError):
         parquet.write_partitioned(df, new_output_path(spark, "t-place-bad"), placement="everywhere")
+
+
+def test_quantile_plan_balances_sparse_keys(spark):
+    # 900 dense keys, then 100 keys scattered over a span 10,000x wider
+    dense = spark.range(1, 901)
+    sparse = spark.range(0, 100).selectExpr("1000000 + id * 100000 AS id")
+    ids = dense.unionByName(sparse).withColumnRenamed("id", "order_id")
+    rows, lo, hi = partitions.key_stats(ids, "order_id")
+    width = partitions.plan_from_stats(rows, lo, hi)
+    counts = [r.rows for r in partitions.range_balance(ids, "order_id", width).collect()]
+    assert max(counts) >= 900                                      # equal widths: one range reads nearly all
+    cuts = partitions.key_quantile_cuts(ids, "order_id", width.partitions)
+    quant = partitions.plan_from_cuts(lo, cuts)
+    counts = [r.rows for r in partitions.range_balance(ids, "order_id", quant).collect()]
+    assert sum(counts) == 1000 and max(counts) <= 2 * 1000 / quant.partitions
+    preds = quant.predicates("order_id")
+    assert len(preds) == quant.partitions and preds[0].endswith("OR order_id IS NULL")
+    # a key value filling several quantiles collapses into one boundary
+    assert partitions.plan_from_cuts(1, [5, 5, 5, 9]).bounds == (5, 9)
