@@ -9,7 +9,7 @@ from ordwise import model
 from ordwise.functions.derive import transform_df
 from ordwise.operators import quality
 from ordwise.session import new_output_path
-from ordwise.sources import parquet, partitions, synth
+from ordwise.sources import fixture, parquet, partitions, synth
 from ordwise.sources.fixture import load_orders
 from tests.conftest import SF_SMALL
 
@@ -140,3 +140,11 @@ def test_quantile_plan_balances_sparse_keys(spark):
     assert len(preds) == quant.partitions and preds[0].endswith("OR order_id IS NULL")
     # a key value filling several quantiles collapses into one boundary
     assert partitions.plan_from_cuts(1, [5, 5, 5, 9]).bounds == (5, 9)
+
+
+def test_adapter_rows_do_not_depend_on_partitioning(spark):
+    raw = spark.read.schema(fixture.SOURCE_SCHEMA).parquet(f"{SF_SMALL}/orders.parquet")
+    one = fixture.adapt_orders(raw.coalesce(1))
+    many = fixture.adapt_orders(parquet.spread_small_scan(raw, "o_orderkey", slots=8))
+    assert many.rdd.getNumPartitions() == 8
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
