@@ -104,3 +104,20 @@ def test_top_k_rows_reads_whole_rows_for_winners_only(spark, tmp_path):
     assert sorted(r.v for r in reports.head_rows(dup, k=2).collect()) == ["a", "b"]
     assert sorted(r.v for r in reports.head_rows(dup, k=4).collect()) == ["a", "b", "c", "d"]
     assert reports.head_rows(dup.filter("false"), k=3).count() == 0
+
+
+def test_cli_exit_codes(spark, capsys):
+    """The job's main maps a failed gate to exit code 1 and writes nothing."""
+    from ordwise.plans.extract import main
+    from ordwise.sources.fixture import as_model
+    clean, bad = new_output_path(spark, "t-cli-src"), new_output_path(spark, "t-cli-bad")
+    as_model(load_orders(spark, SF_SMALL)).write.parquet(clean)
+    as_model(load_orders(spark, SF_SMALL, corrupted=True)).write.parquet(bad)
+    out = new_output_path(spark, "t-cli-out")
+    assert main(["--parquet", clean, "--output-path", out, "--placement", "local"]) == 0
+    assert "rows written: 1500" in capsys.readouterr().out
+    assert main(["--parquet", clean, "--output-path", new_output_path(spark, "t-cli-sql"), "--flavour", "sql"]) == 0
+    failed = new_output_path(spark, "t-cli-fail")
+    assert main(["--parquet", bad, "--output-path", failed]) == 1
+    assert "QC FAIL" in capsys.readouterr().err
+    assert not os.path.exists(failed)
