@@ -9,6 +9,15 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Applied on a cluster only, and only where the cluster did not set them:
+# let AQE size post-shuffle partitions (and so written files) by bytes rather
+# than by the cluster's parallelism, which on 1000 executors would cut a
+# rebalanced write into many small files.
+CLUSTER_SQL_DEFAULTS = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
+
 
 def build_session(master: str | None = None, app_name: str = "ordwise",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -39,9 +48,21 @@ def build_session(master: str | None = None, app_name: str = "ordwise",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not _is_local(spark):
+        set_if_unset(spark, CLUSTER_SQL_DEFAULTS)
     return spark
 
 
+def set_if_unset(spark: SparkSession, conf: dict[str, str]) -> dict[str, str]:
+    """Set SQL options the application's configuration does not already name;
+    returns what was set."""
+    given = spark.sparkContext.getConf()
+    applied = {k: v for k, v in conf.items() if not given.contains(k)}
+    for k, v in applied.items():
+        spark.conf.set(k, v)
+    return applied
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -148,3 +148,15 @@ def test_adapter_rows_do_not_depend_on_partitioning(spark):
     many = fixture.adapt_orders(parquet.spread_small_scan(raw, "o_orderkey", slots=8))
     assert many.rdd.getNumPartitions() == 8
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+def test_cluster_defaults_respect_given_settings(spark):
+    from ordwise.session import set_if_unset
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        applied = set_if_unset(spark, {key: "256m", "spark.sql.session.timeZone": "Asia/Tokyo"})
+        assert applied == {key: "256m"}                      # the session zone was given, so it stays
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set(key, before)
