@@ -2,8 +2,9 @@
 
 Row count, column catalogue, status distribution, null profile, numeric
 ranges, device distribution, date ranges and a repeatable sample. Each is a
-lazy DataFrame; :func:`run_validation` evaluates them one after another over
-the same source.
+lazy DataFrame, except that building the sample ranks the key column once
+(see :func:`ordwise.operators.reports.top_k_rows`); :func:`run_validation`
+evaluates them one after another over the same source.
 """
 
 from __future__ import annotations
