@@ -7,6 +7,9 @@ Rules that must hold at any data size, checked on the plan Catalyst picks:
 * no Python evaluation (every expression stays in the JVM);
 * a single-partition exchange only moves pre-aggregated rows: the operator
   right under it is an aggregate, never raw rows;
+* every shuffle the planner inserts for a grouping sits on a partial
+  aggregate, so a hot key (a third of the rows, say) is collapsed inside
+  each task before anything moves;
 * no round-robin exchange (it sorts every partition to be retry-safe);
 * the driver table is read through the pruned four-column schema at most.
 """
@@ -52,6 +55,9 @@ def test_plan_rules(plans, key):
         if op.startswith("Exchange SinglePartition"):
             below = re.sub(r"^\*\(\d+\)\s*", "", ops[i + 1])
             assert below.startswith(AGGREGATES), f"{key}: raw rows into one partition: {below[:80]}"
+        if op.startswith("Exchange hashpartitioning") and "ENSURE_REQUIREMENTS" in op:
+            below = re.sub(r"^\*\(\d+\)\s*", "", ops[i + 1])
+            assert below.startswith(AGGREGATES) and "partial_" in below, f"{key}: no map-side combine: {below[:80]}"
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         cols = {c.split(":")[0] for c in schema.split(",") if c}
         if cols & set(fixture.SOURCE_COLUMNS):
@@ -75,3 +81,8 @@ def test_single_partition_rule_is_exercised(plans):
     """Global aggregates and shares of total do put an exchange into one partition."""
     hits = [k for k, p in plans.items() if "Exchange SinglePartition" in p]
     assert {"row_count", "status_distribution", "constraint_report"} <= set(hits)
+
+
+def test_map_side_combine_rule_is_exercised(plans):
+    hits = [k for k, p in plans.items() if re.search(r"Exchange hashpartitioning\(\w+#\d+, \d+\), ENSURE", p)]
+    assert {"status_counts", "pk_duplicates", "tier_breakdown"} <= set(hits)
