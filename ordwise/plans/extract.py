@@ -191,6 +191,7 @@ def main(argv: list[str] | None = None) -> int:
     out = result.output(spark)
     out.printSchema()
     print(f"rows written: {out.count()}")
+    reports.head_rows(out, k=5).show(truncate=False)
     for name, df in result.reports.items():
         print(name)
         df.show(truncate=False)
