@@ -54,10 +54,15 @@ def tier_counts(df: DataFrame) -> DataFrame:
 
 
 def summary_stats(df: DataFrame) -> DataFrame:
-    """Average and total order value, and average rating_safe (unrated count as 0)."""
+    """Average and total order value, and average rating_safe (unrated count as 0).
+
+    The DataFrame job's own expressions over the exact decimal, so the types
+    are its types too: avg_total decimal(13,2) (the decimal mean, rounded
+    half-up), sum_total decimal(23,2), avg_rating double.
+    """
     return df.agg(
-        mean_2dp(money()).alias("avg_total"),
-        F.round(F.sum(money()), 2).cast(MONEY_SUM_TYPE).alias("sum_total"),
+        F.round(F.avg(money()), 2).alias("avg_total"),
+        F.round(F.sum(money()), 2).alias("sum_total"),
         F.avg("rating_safe").cast("double").alias("avg_rating"),
     )
 

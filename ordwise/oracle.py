@@ -41,6 +41,13 @@ SELECT order_id, customer_id, order_status, CAST(order_total AS DOUBLE) AS order
 FROM o"""
 
 MEAN2 = "round(CAST(SUM({c}) AS DOUBLE) / COUNT({c}), 2)"
+# Spark's round(avg(decimal(12,2)), 2): the mean in millionths rounded half-up
+# (avg's decimal(16,6) result), then half-up to cents; exact integer arithmetic
+# on cents, half-up meaning away from zero.
+_MICROS = ("sign(SUM({c})) * ((2 * abs(SUM(CAST({c} * 100 AS HUGEINT))) * 10000 + COUNT({c}))"
+           " // (2 * NULLIF(COUNT({c}), 0)))")
+DECIMAL_MEAN_2DP = ("CAST(CAST(sign({m}) * ((2 * abs({m}) + 10000) // 20000) AS DECIMAL(18,0)) * 0.01"
+                    " AS DECIMAL(13,2))").replace("{m}", "(" + _MICROS + ")")
 PCT_HALF_UP = "CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DOUBLE) / 10"
 
 GATE_PREDICATES = [
@@ -181,8 +188,8 @@ def oracle_sql() -> dict[str, str]:
         "status_counts": _cte('SELECT order_status, COUNT(*) AS "count" FROM o GROUP BY order_status'),
         "tier_counts": _cte(f'SELECT {TIER_SQL} AS revenue_tier, COUNT(*) AS "count" FROM o GROUP BY 1'),
         "summary_stats": _cte(
-            f"SELECT {m2('order_total')} AS avg_total, "
-            "CAST(round(SUM(order_total), 2) AS DECIMAL(38,2)) AS sum_total, "
+            f"SELECT {DECIMAL_MEAN_2DP.format(c='order_total')} AS avg_total, "
+            "CAST(SUM(order_total) AS DECIMAL(23,2)) AS sum_total, "
             "AVG(COALESCE(CAST(rating AS DOUBLE), 0.0)) AS avg_rating FROM o"),
         "null_profile": _cte(
             "SELECT COUNT(*) AS total, "

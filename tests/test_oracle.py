@@ -23,3 +23,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["revenue_tier", "order_count", "avg_total", "total_revenue"]
     assert df.count() == 3
+
+
+@pytest.mark.parametrize("totals", [["0.01", "0.02"], ["-0.01", "-0.02"], ["0.01", "0.01", "0.02"],
+                                    ["1.00", "1.00", "1.01"], ["2.67", "2.68"], ["0.00"], ["99.99"] * 3 + ["0.01"]])
+def test_decimal_mean_half_up_matches_spark(spark, totals):
+    import duckdb
+    from decimal import Decimal
+    from ordwise.oracle import DECIMAL_MEAN_2DP
+    from ordwise.operators import reports
+    df = spark.createDataFrame([(Decimal(t), 0.0) for t in totals], "order_total decimal(12,2), rating_safe double")
+    want = reports.summary_stats(df).first().avg_total
+    values = ", ".join(f"(CAST({t} AS DECIMAL(12,2)))" for t in totals)
+    got = duckdb.sql(f"SELECT {DECIMAL_MEAN_2DP.format(c='order_total')} FROM (VALUES {values}) AS t(order_total)")
+    assert got.fetchall()[0][0] == want
