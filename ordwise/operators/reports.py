@@ -120,7 +120,7 @@ def status_distribution(df: DataFrame) -> DataFrame:
     total = F.sum("cnt").over(Window.partitionBy())
     return (grouped.select(
         "order_status", "cnt",
-        F.round(F.col("cnt") * F.lit(Decimal("100.0")) / total, 1).cast("double").alias("pct"))
+        F.round(F.col("cnt") * F.lit(Decimal("100.0")) / total, 1).alias("pct"))
         .orderBy(F.desc("cnt"), F.asc_nulls_last("order_status")))
 
 

@@ -49,6 +49,8 @@ _MICROS = ("sign(SUM({c})) * ((2 * abs(SUM(CAST({c} * 100 AS HUGEINT))) * 10000
 DECIMAL_MEAN_2DP = ("CAST(CAST(sign({m}) * ((2 * abs({m}) + 10000) // 20000) AS DECIMAL(18,0)) * 0.01"
                     " AS DECIMAL(13,2))").replace("{m}", "(" + _MICROS + ")")
 PCT_HALF_UP = "CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DOUBLE) / 10"
+# The same half-up share as Spark's decimal(26,1) result of ROUND(cnt * 100.0 / total, 1).
+PCT_DECIMAL = "CAST(CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DECIMAL(18,0)) * 0.1 AS DECIMAL(26,1))"
 
 GATE_PREDICATES = [
     ("bad_order_total", "order_total IS NULL OR order_total < 0"),
@@ -210,7 +212,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM o WHERE metadata IS NOT NULL GROUP BY 1 ORDER BY cnt DESC"),
         "status_distribution": _cte(
             f"SELECT order_status, COUNT(*) AS cnt, "
-            f"{PCT_HALF_UP.format(cnt='COUNT(*)', tot='SUM(COUNT(*)) OVER ()')} AS pct "
+            f"{PCT_DECIMAL.format(cnt='COUNT(*)', tot='SUM(COUNT(*)) OVER ()')} AS pct "
             f"FROM o GROUP BY order_status ORDER BY cnt DESC"),
         "tier_breakdown": _cte(
             f"SELECT revenue_tier, COUNT(*) AS order_count, {m2('order_total')} AS avg_total, "
