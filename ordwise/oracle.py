@@ -216,7 +216,7 @@ def oracle_sql() -> dict[str, str]:
             f"FROM o GROUP BY order_status ORDER BY cnt DESC"),
         "tier_breakdown": _cte(
             f"SELECT revenue_tier, COUNT(*) AS order_count, {m2('order_total')} AS avg_total, "
-            f"CAST(round(SUM(order_total), 2) AS DECIMAL(38,2)) AS total_revenue "
+            f"CAST(SUM(order_total) AS DOUBLE) AS total_revenue "
             f"FROM (SELECT {TIER_SQL} AS revenue_tier, order_total FROM o) GROUP BY revenue_tier "
             f"ORDER BY total_revenue DESC"),
         "category_performance": _cte(

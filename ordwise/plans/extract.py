@@ -116,7 +116,7 @@ REPORT_SQL = {
         SELECT revenue_tier,
                COUNT(*) AS order_count,
                ROUND(CAST(SUM(CAST(order_total AS DECIMAL(12,2))) AS DOUBLE) / COUNT(order_total), 2) AS avg_total,
-               CAST(ROUND(SUM(CAST(order_total AS DECIMAL(12,2))), 2) AS DECIMAL(38,2)) AS total_revenue
+               CAST(ROUND(SUM(CAST(order_total AS DECIMAL(12,2))), 2) AS DOUBLE) AS total_revenue
         FROM orders_out
         GROUP BY revenue_tier
         ORDER BY total_revenue DESC, revenue_tier""",
