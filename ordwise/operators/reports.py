@@ -141,7 +141,7 @@ def category_performance(df: DataFrame, k: int = 10) -> DataFrame:
     return (df.groupBy("product_category").agg(
         F.count(F.lit(1)).alias("orders"),
         mean_2dp(money()).alias("avg_order_value"),
-        mean_2dp(F.col("rating_safe")).alias("avg_rating"))
+        F.round(F.avg("rating_safe"), 2).alias("avg_rating"))
         .orderBy(F.desc("orders"), F.asc("product_category"))
         .limit(k))
 

@@ -41,17 +41,26 @@ SELECT order_id, customer_id, order_status, CAST(order_total AS DOUBLE) AS order
 FROM o"""
 
 MEAN2 = "round(CAST(SUM({c}) AS DOUBLE) / COUNT({c}), 2)"
-# Spark's round(avg(decimal(12,2)), 2): the mean in millionths rounded half-up
-# (avg's decimal(16,6) result), then half-up to cents; exact integer arithmetic
-# on cents, half-up meaning away from zero.
-_MICROS = ("sign(SUM({c})) * ((2 * abs(SUM(CAST({c} * 100 AS HUGEINT))) * 10000 + COUNT({c}))"
-           " // (2 * NULLIF(COUNT({c}), 0)))")
-DECIMAL_MEAN_2DP = ("CAST(CAST(sign({m}) * ((2 * abs({m}) + 10000) // 20000) AS DECIMAL(18,0)) * 0.01"
-                    " AS DECIMAL(13,2))").replace("{m}", "(" + _MICROS + ")")
 PCT_HALF_UP = "CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DOUBLE) / 10"
 # The same half-up share as Spark's decimal(26,1) result of ROUND(cnt * 100.0 / total, 1).
 PCT_DECIMAL = "CAST(CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DECIMAL(18,0)) * 0.1 AS DECIMAL(26,1))"
 
+
+def decimal_mean_2dp(c: str, scale: int, out: str) -> str:
+    """Spark's ``round(avg(decimal(p, scale)), 2)`` in exact integer arithmetic.
+
+    ``avg`` of a decimal is rounded half-up to ``scale + 4`` places, then
+    ``round`` goes half-up to 2 places; half-up means away from zero.
+    """
+    units = f"SUM(CAST({c} * {10 ** scale} AS HUGEINT))"
+    m = f"(sign({units}) * ((2 * abs({units}) * 10000 + COUNT({c})) // (2 * NULLIF(COUNT({c}), 0))))"
+    d = 10 ** (scale + 2)
+    return f"CAST(CAST(sign({m}) * ((2 * abs({m}) + {d}) // {2 * d}) AS DECIMAL(18,0)) * 0.01 AS {out})"
+
+
+DECIMAL_MEAN_2DP = decimal_mean_2dp("{c}", 2, "DECIMAL(13,2)")   # money, decimal(12,2)
+RATING_MEAN_2DP = decimal_mean_2dp("{c}", 1, "DECIMAL(5,2)")     # rating_safe, decimal(3,1)
+
 GATE_PREDICATES = [
     ("bad_order_total", "order_total IS NULL OR order_total < 0"),
     ("null_order_status", "order_status IS NULL"),
@@ -221,7 +230,7 @@ def oracle_sql() -> dict[str, str]:
             f"ORDER BY total_revenue DESC"),
         "category_performance": _cte(
             f"SELECT product_category, COUNT(*) AS orders, {m2('order_total')} AS avg_order_value, "
-            f"{m2('rating_safe')} AS avg_rating "
+            f"{RATING_MEAN_2DP.format(c='rating_safe')} AS avg_rating "
             f"FROM (SELECT product_category, order_total, COALESCE(rating, 0.0) AS rating_safe FROM o) "
             f"GROUP BY product_category ORDER BY orders DESC, product_category LIMIT 10"),
         "sample_rows": _cte(

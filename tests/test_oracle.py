@@ -37,3 +37,17 @@ def test_decimal_mean_half_up_matches_spark(spark, totals):
     values = ", ".join(f"(CAST({t} AS DECIMAL(12,2)))" for t in totals)
     got = duckdb.sql(f"SELECT {DECIMAL_MEAN_2DP.format(c='order_total')} FROM (VALUES {values}) AS t(order_total)")
     assert got.fetchall()[0][0] == want
+
+
+@pytest.mark.parametrize("ratings", [["0.0"] * 7 + ["3.5"], ["3.5", "4.0", "4.0"], ["4.5", "0.0", "0.0"],
+                                     ["5.0"], ["1.0", "2.0", "0.0"]])
+def test_rating_mean_half_up_matches_spark(spark, ratings):
+    import duckdb
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from ordwise.oracle import RATING_MEAN_2DP
+    df = spark.createDataFrame([(Decimal(r),) for r in ratings], "rating_safe decimal(3,1)")
+    want = df.agg(F.round(F.avg("rating_safe"), 2)).first()[0]
+    values = ", ".join(f"(CAST({r} AS DECIMAL(3,1)))" for r in ratings)
+    got = duckdb.sql(f"SELECT {RATING_MEAN_2DP.format(c='rating_safe')} FROM (VALUES {values}) AS t(rating_safe)")
+    assert got.fetchall()[0][0] == want
