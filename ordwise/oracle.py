@@ -46,14 +46,22 @@ PCT_HALF_UP = "CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DOUBLE) / 10"
 PCT_DECIMAL = "CAST(CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DECIMAL(18,0)) * 0.1 AS DECIMAL(26,1))"
 
 
-def decimal_mean_2dp(c: str, scale: int, out: str) -> str:
-    """Spark's ``round(avg(decimal(p, scale)), 2)`` in exact integer arithmetic.
-
-    ``avg`` of a decimal is rounded half-up to ``scale + 4`` places, then
-    ``round`` goes half-up to 2 places; half-up means away from zero.
-    """
+def _mean_units(c: str, scale: int) -> str:
+    """Spark's ``avg`` of a decimal(p, scale) column in units of 10^-(scale + 4):
+    the exact mean rounded half-up (away from zero), in integer arithmetic."""
     units = f"SUM(CAST({c} * {10 ** scale} AS HUGEINT))"
-    m = f"(sign({units}) * ((2 * abs({units}) * 10000 + COUNT({c})) // (2 * NULLIF(COUNT({c}), 0))))"
+    return f"(sign({units}) * ((2 * abs({units}) * 10000 + COUNT({c})) // (2 * NULLIF(COUNT({c}), 0))))"
+
+
+def decimal_avg(c: str, scale: int, out: str) -> str:
+    """Spark's ``avg(decimal(p, scale))``, typed ``out`` (decimal(p + 4, scale + 4))."""
+    return f"CAST(CAST({_mean_units(c, scale)} AS DECIMAL(38,0)) * 0.{'0' * (scale + 3)}1 AS {out})"
+
+
+def decimal_mean_2dp(c: str, scale: int, out: str) -> str:
+    """Spark's ``round(avg(decimal(p, scale)), 2)``: the average above, then
+    half-up to 2 places."""
+    m = _mean_units(c, scale)
     d = 10 ** (scale + 2)
     return f"CAST(CAST(sign({m}) * ((2 * abs({m}) + {d}) // {2 * d}) AS DECIMAL(18,0)) * 0.01 AS {out})"
 
@@ -210,7 +218,7 @@ def oracle_sql() -> dict[str, str]:
             "COUNT(*) FILTER (WHERE metadata IS NULL) AS null_metadata FROM o"),
         "numeric_ranges": _cte(
             "SELECT MIN(order_total) AS min_total, MAX(order_total) AS max_total, "
-            "CAST(SUM(order_total) AS DOUBLE) / COUNT(order_total) AS avg_total, "
+            f"{decimal_avg('order_total', 2, 'DECIMAL(16,6)')} AS avg_total, "
             "MIN(item_count) AS min_items, MAX(item_count) AS max_items, "
             "MIN(rating) AS min_rating, MAX(rating) AS max_rating FROM o"),
         "date_ranges": _cte(
