@@ -94,11 +94,12 @@ def range_balance(df: DataFrame, column: str, plan: RangePlan) -> DataFrame:
 
     One aggregate pass (a counter per range, at most the connection cap of
     them); ``stack`` spreads the single result row into one row per range,
-    so empty ranges show 0.
+    so empty ranges show 0. The range index is projected once per row before
+    the aggregate, so the counters share it instead of each re-evaluating it.
     """
-    part = plan.part_of(column)
     ranges = plan.ranges()
-    counts = df.agg(*[F.count_if(part == i).alias(f"_p{i}") for i, _, _ in ranges])
+    parts = df.select(plan.part_of(column).alias("_part"))
+    counts = parts.agg(*[F.count_if(F.col("_part") == i).alias(f"_p{i}") for i, _, _ in ranges])
     args = []
     for i, lo, hi in ranges:
         args += [F.lit(i), F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint"), F.col(f"_p{i}")]
