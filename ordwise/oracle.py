@@ -40,7 +40,6 @@ SELECT order_id, customer_id, order_status, CAST(order_total AS DOUBLE) AS order
        shipping_address
 FROM o"""
 
-MEAN2 = "round(CAST(SUM({c}) AS DOUBLE) / COUNT({c}), 2)"
 PCT_HALF_UP = "CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DOUBLE) / 10"
 # The same half-up share as Spark's decimal(26,1) result of ROUND(cnt * 100.0 / total, 1).
 PCT_DECIMAL = "CAST(CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DECIMAL(18,0)) * 0.1 AS DECIMAL(26,1))"
@@ -182,7 +181,7 @@ def _violations_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    m2 = lambda c: MEAN2.format(c=c)
+    m2 = lambda c: f"CAST({DECIMAL_MEAN_2DP.format(c=c)} AS DOUBLE)"
     q = {
         "jdbc_plan_partitions": _jdbc_plan_sql(),
         "schema_profile": _schema_profile_sql(),
