@@ -160,3 +160,28 @@ def test_cluster_defaults_respect_given_settings(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set(key, before)
+
+
+def test_range_plan_properties():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(-10**6, 10**6), st.integers(0, 5000), st.integers(1, 20))
+    def check(lower, span, n):
+        plan = partitions.range_plan(lower, lower + span, n)
+        assert 1 <= plan.partitions <= min(n, span + 1)
+        ranges = plan.ranges()
+        assert [r[0] for r in ranges] == list(range(plan.partitions))
+        assert ranges[0][1] is None and ranges[-1][2] is None
+        assert all(a[2] == b[1] for a, b in zip(ranges, ranges[1:]))          # contiguous
+        starts = [lower] + list(plan.bounds) + [lower + span + 1]
+        widths = [b - a for a, b in zip(starts, starts[1:])]
+        assert min(widths) >= 1 and max(widths) - min(widths) <= 1             # balanced, none empty
+        preds = plan.predicates("k")
+        assert len(preds) == plan.partitions
+        for key in (lower - 1, lower, lower + span // 2, lower + span, lower + span + 1):
+            hits = [i for i, lo, hi in ranges if (lo is None or key >= lo) and (hi is None or key < hi)]
+            assert len(hits) == 1                                             # every key read exactly once
+
+    check()
