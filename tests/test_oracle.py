@@ -51,3 +51,29 @@ def test_rating_mean_half_up_matches_spark(spark, ratings):
     values = ", ".join(f"(CAST({r} AS DECIMAL(3,1)))" for r in ratings)
     got = duckdb.sql(f"SELECT {RATING_MEAN_2DP.format(c='rating_safe')} FROM (VALUES {values}) AS t(rating_safe)")
     assert got.fetchall()[0][0] == want
+
+
+def test_decimal_mean_matches_two_step_half_up():
+    """Property: the oracle's integer mean equals avg rounded half-up to 6 places, then to 2."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    import duckdb
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from ordwise.oracle import DECIMAL_MEAN_2DP, decimal_avg
+
+    con = duckdb.connect()
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=40))
+    def check(cents):
+        values = ", ".join(f"(CAST({c} AS DECIMAL(18,0)) * 0.01)" for c in cents)
+        sql = (f"SELECT {DECIMAL_MEAN_2DP.format(c='x')}, {decimal_avg('x', 2, 'DECIMAL(16,6)')} "
+               f"FROM (SELECT CAST(v AS DECIMAL(12,2)) AS x FROM (VALUES {values}) AS t(v))")
+        got2, got6 = con.sql(sql).fetchall()[0]
+        mean6 = (Decimal(sum(cents)) / 100 / len(cents)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)
+        assert got6 == mean6
+        assert got2 == mean6.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+    check()
