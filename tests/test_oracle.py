@@ -77,3 +77,26 @@ def test_decimal_mean_matches_two_step_half_up():
         assert got2 == mean6.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
 
     check()
+
+
+def test_share_of_total_half_up_property():
+    """Property: the oracle's share equals round(cnt * 100 / total, 1) half-up, as Spark's decimal."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    import duckdb
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from ordwise.oracle import PCT_DECIMAL
+
+    con = duckdb.connect()
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.integers(1, 10**12), st.data())
+    def check(total, data):
+        cnt = data.draw(st.integers(0, total))
+        got = con.sql(f"SELECT {PCT_DECIMAL.format(cnt=f'CAST({cnt} AS BIGINT)', tot=f'CAST({total} AS BIGINT)')}")
+        want = (Decimal(cnt) * 100 / Decimal(total)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP)
+        assert got.fetchall()[0][0] == want
+
+    check()
