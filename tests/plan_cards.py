@@ -66,6 +66,27 @@ def main() -> None:
     for k, f in E.queries().items():
         c = card(plan_text(f(spark, sf), "simple"))
         print(f"| `{k}` | {c['shuffles']} | {c['combine']} | {c['topk']} | {c['scan']} | {c['spread']} |")
+
+    from ordwise.functions.derive import transform_df
+    from ordwise.operators import quality
+    from ordwise.sources import parquet
+    from ordwise.sources.fixture import load_orders
+    derived = transform_df(load_orders(spark, sf))
+    steps = {
+        "extract gate (one aggregate)": quality.qc_report(derived),
+        "extract write, placement rebalance": parquet._place(derived, "order_status", "rebalance"),
+        "extract write, placement local": parquet._place(derived, "order_status", "local"),
+        "extract write, placement 4": parquet._place(derived, "order_status", 4),
+    }
+    print("\nInside the extract job (the registered keys above show what it wrote):\n")
+    print("| Step | Shuffles | Combine | Top-k | Scan | Spread |")
+    print("| --- | --- | --- | --- | --- | --- |")
+    for name, df in steps.items():
+        plan = plan_text(df, "simple")
+        c = card(plan)
+        if "RebalancePartitions" in plan or "REBALANCE_PARTITIONS" in plan:
+            c["shuffles"] = c["shuffles"].replace("hash(order_status)", "rebalance(order_status)")
+        print(f"| {name} | {c['shuffles']} | {c['combine']} | {c['topk']} | {c['scan']} | {c['spread']} |")
     spark.stop()
 
 
