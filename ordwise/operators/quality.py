@@ -168,7 +168,7 @@ def status_drift(df: DataFrame, tolerance_pp: float = 2.0,
     bp = F.coalesce(F.try_element_at(expected_bp, F.col("order_status")), F.lit(0)).cast("bigint")
     return grouped.select(
         "order_status", "cnt",
-        F.round(F.col("cnt") * F.lit(Decimal("100.0")) / total, 1).cast("double").alias("observed_pct"),
+        F.round(F.col("cnt") * F.lit(Decimal("100.0")) / total, 1).alias("observed_pct"),
         (bp / F.lit(100.0)).cast("double").alias("expected_pct"),
         (F.abs(F.col("cnt") * 10000 - bp * total) <= F.lit(tol_bp) * total).alias("within_tolerance"),
     )

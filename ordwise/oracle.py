@@ -40,8 +40,7 @@ SELECT order_id, customer_id, order_status, CAST(order_total AS DOUBLE) AS order
        shipping_address
 FROM o"""
 
-PCT_HALF_UP = "CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DOUBLE) / 10"
-# The same half-up share as Spark's decimal(26,1) result of ROUND(cnt * 100.0 / total, 1).
+# The half-up share as Spark's decimal(26,1) result of ROUND(cnt * 100.0 / total, 1).
 PCT_DECIMAL = "CAST(CAST((2000 * {cnt} + {tot}) // (2 * {tot}) AS DECIMAL(18,0)) * 0.1 AS DECIMAL(26,1))"
 
 
@@ -145,7 +144,7 @@ w AS (SELECT * FROM (VALUES {values}) AS t(s, bp)),
 t AS (SELECT g.order_status, g.cnt, SUM(g.cnt) OVER () AS total, COALESCE(w.bp, 0) AS bp
       FROM g LEFT JOIN w ON g.order_status = w.s)
 SELECT order_status, cnt,
-       {PCT_HALF_UP.format(cnt='cnt', tot='total')} AS observed_pct,
+       {PCT_DECIMAL.format(cnt='cnt', tot='total')} AS observed_pct,
        CAST(bp AS DOUBLE) / 100 AS expected_pct,
        abs(cnt * 10000 - bp * total) <= {tol} * total AS within_tolerance
 FROM t""")
