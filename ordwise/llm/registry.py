@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from ordwise.llm import mixing, packing
+from ordwise.llm import lang_id, mixing, packing, quality_rules
 
 QUERIES = {
+    "op2_quality_rules": quality_rules.q_quality_rules,
+    "op4_lang_id": lang_id.q_lang_id,
     "op8_mixing": mixing.q_mixing,
     "op9_packing": packing.q_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": quality_rules.ORACLE_SQL,
+}
