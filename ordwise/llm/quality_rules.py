@@ -218,10 +218,10 @@ twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY d
 repeats AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, i + unnest(range(0, 5)) AS pos FROM twice) GROUP BY 1),
 f AS (
   SELECT s.doc_id, source, len(ws)::bigint AS n_words,
-    coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::bigint AS word_chars,
+    coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint AS n_symbols,
     (len(ls) - len(list_distinct(ls)))::bigint AS n_dup_lines, coalesce(r.n, 0)::bigint AS n_repeat_words
-  FROM (SELECT *, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS ls FROM split) s
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM split) s
   LEFT JOIN repeats r USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
 hosts AS (SELECT source, count(*) AS n, {sums} FROM b WHERE NOT base_failed GROUP BY source), {",".join(prior)},
