@@ -28,7 +28,7 @@ from ordwise.llm.store import read, saved
 from ordwise.llm.words import SPACE, combine, mix, slices, split_words, text_buffer
 
 SHINGLE = 5
-HOST_RATE = 0.2
+HOST_RATE = 0.02
 HOST_ROWS_BROADCAST = 200_000
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True

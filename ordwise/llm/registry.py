@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from ordwise.llm import lang_id, mixing, packing, quality_rules
+from ordwise.llm import lang_id, minhash_forest, mixing, ngram_trie, packing, quality_rules
 
 QUERIES = {
     "op2_quality_rules": quality_rules.q_quality_rules,
     "op4_lang_id": lang_id.q_lang_id,
+    "op6_ngram_trie": ngram_trie.q_ngram_trie,
     "op8_mixing": mixing.q_mixing,
     "op9_packing": packing.q_packing,
+    "op10_minhash_forest": minhash_forest.q_minhash_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
+    "op10_minhash_forest": minhash_forest.ORACLE_SQL,
 }
