@@ -4,25 +4,29 @@ A document's set is its distinct five-word shingles. Equal sets are one class.
 Class representatives get ``TREES * DEPTH`` min-hash values; tree t orders them
 by the signature rotated to start at value ``DEPTH * t``. Documents that share
 the first DEPTH values of an order are a region of that tree, sorted by the
-values that follow, and each is a candidate with its ``NEAR`` neighbours in the
-order, those with the longest common prefix. A region of more than ``REGION``
-documents is read at twice the depth, again and again, so that dense regions
-split instead of meeting in one task.
+values that follow. In a region of up to ``SMALL`` documents all pairs are
+candidates, in a larger one each document and the ``NEAR`` next in the order,
+those with the longest common prefix. A region of more than ``REGION`` documents
+is read at twice the depth, again and again, so that dense regions split instead
+of meeting in one task. Candidates grow in proportion to the documents.
 
-Candidates whose signatures agree in less than half of the values are dropped
-(a pair at the threshold is more than six standard deviations away), the others
-are confirmed on the full sets, in three steps that keep the texts moved small:
+Candidates whose signatures agree in less than 0.6 of the values are dropped (a
+pair at the threshold is four standard deviations away), the others are
+confirmed on the full sets, in three steps that keep the texts moved small:
 
 1. each document against its most similar candidate of smaller id,
 2. each component against its most similar candidate component of smaller id,
-3. every candidate still between two components, and, in regions too large for
-   all pairs to be candidates, all members of different components.
+3. every candidate still between two components, and in the larger regions the
+   neighbours across components once runs of one component are reduced to
+   their ends.
 
 Only connectivity is asked for, so a candidate inside a component needs no
-check. Step 3 makes the result the same as if all pairs that share a region had
-been compared; it costs pairs only where a region holds several components.
+check. A first form of step 3 compared all members of different components in a
+region; it grew with the square of a hot group and was given up. What remains
+open: a document of a large region whose only link is to a member that is near
+it in none of the 32 orders.
 
-At similarity 0.75 a pair shares no region with probability (1 - 0.75^4)^32,
+At similarity 0.75 a pair shares no region of depth DEPTH with probability (1 - 0.75^4)^32,
 about 5e-6; at 0.8 it is 5e-8.
 
 Edge cases: null or empty text has an empty set, links with nothing and is its
@@ -47,10 +51,11 @@ from ordwise.llm.words import LOWER, combine, mix, slices, split_words, text_buf
 SHINGLE = 5
 TREES, DEPTH = 32, 4
 VALUES = TREES * DEPTH
-NEAR = 7
+SMALL = 8
+NEAR = 2
 REGION = 1000
 MAX_DEPTH = 32
-AGREE = VALUES // 2
+AGREE = int(VALUES * 0.6)
 SIMILAR = (75, 100)
 
 _RNG = np.random.default_rng(20240229)
@@ -184,9 +189,11 @@ def regions(reps: DataFrame) -> DataFrame:
 
 
 def neighbours(forest: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of members at most NEAR places apart in a region."""
+    """Distinct (a, b), a < b, of members close together in a region's order:
+    all pairs of a region of up to SMALL members, else the NEAR next ones."""
     order = Window.partitionBy("key", "part").orderBy("o1", "o2", "id")
-    near = F.array(*[F.lag("id", k).over(order) for k in range(1, NEAR + 1)])
+    near = F.array(*[F.lag("id", k).over(order) if k <= NEAR else
+                     F.when(F.col("n") <= SMALL, F.lag("id", k).over(order)) for k in range(1, SMALL)])
     pairs = forest.select("id", near.alias("near")).select("id", F.explode("near").alias("other")).where(
         "other is not null and other <> id")
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
@@ -244,18 +251,17 @@ def _comp_of(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return out.where("ca <> cb")
 
 
-def _region_pairs(forest: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components in regions whose pairs are not all candidates.
-
-    One side is not of the region's least component, so a region that is one
-    component but for a few members gives those few against the rest.
-    """
-    wide = forest.where(F.col("n") > NEAR + 1).join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    mixed = wide.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-    members = wide.join(mixed.select("key", "least"), "key").select("key", "id", "comp", "least")
-    odd = members.where("comp <> least").select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
-    return (members.join(odd, "key").where("comp < cx")
-            .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct())
+def _run_ends(forest: DataFrame, comps: DataFrame) -> DataFrame:
+    """Neighbours across components in large regions: where neighbours of one
+    component follow each other only the two ends of the run stay, so the NEAR
+    next members are of other components however long the runs are."""
+    wide = forest.where(F.col("n") > SMALL).join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    order = Window.partitionBy("key", "part").orderBy("o1", "o2", "id")
+    ends = (wide.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
+            .where("before is null or after is null or comp <> before or comp <> after"))
+    near = F.array(*[F.lag(F.struct("id", "comp"), k).over(order) for k in range(1, NEAR + 2)])
+    return (ends.select("id", "comp", F.explode(near).alias("o")).where("o.id is not null and o.comp <> comp")
+            .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct())
 
 
 def link_classes(reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -277,7 +283,7 @@ def link_classes(reps: DataFrame, docs: DataFrame) -> DataFrame:
         comps = components(links)
         first = first.unionByName(second)
     rest = _comp_of(cand.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
-    wide = similar(_region_pairs(forest, comps).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
+    wide = similar(_run_ends(forest, comps).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
     third = saved(confirmed(saved(rest.unionByName(wide).distinct(), "forest-3"), texts), "forest-links-3")
     if third.limit(1).count():
         comps = components(links.unionByName(third))
