@@ -260,7 +260,7 @@ def _run_ends(forest: DataFrame, comps: DataFrame) -> DataFrame:
     ends = (wide.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
             .where("before is null or after is null or comp <> before or comp <> after"))
     near = F.array(*[F.lag(F.struct("id", "comp"), k).over(order) for k in range(1, NEAR + 2)])
-    return (ends.select("id", "comp", F.explode(near).alias("o")).where("o.id is not null and o.comp <> comp")
+    return (ends.withColumn("near", near).select("id", "comp", F.explode("near").alias("o")).where("o.id is not null and o.comp <> comp")
             .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct())
 
 
