@@ -17,15 +17,18 @@ suffix in 35 is kept, with the run of windows that name it.
 2. Within a bucket, members are sorted by the identifier of their whole run (its
    first and last SPAN bytes) and by position. All but the first of equal runs
    are covered. A first one is refined further only if the bucket has others.
-3. Those runs fall into single windows, keyed by the identifiers of SPAN bytes;
-   all but the first of equal windows are covered.
-4. Covered windows are merged by document, and their bytes go.
+3. Those runs fall into blocks of up to BLOCK windows at fixed distances from the
+   suffix, and the blocks into buckets of the bytes that all windows of a block
+   share. Equal blocks and lone blocks are settled as in step 2.
+4. What is left falls into single windows, keyed by the identifiers of SPAN
+   bytes; all but the first of equal windows are covered.
+5. Covered windows are merged by document, and their bytes go.
 
 Hot strings are combined before each shuffle: of equal runs (windows) in one
 batch of text only the first travels under its key, the others are already known
 to be covered; and of the different runs that share a bucket, only two travel
-under the bucket and the rest under their own identifiers, marked for step 3,
-which is exact by itself. So no key meets more than two rows a batch.
+under the bucket and the rest under their own identifiers, marked for the next
+step; the last one is exact by itself. So no key meets more than two rows a batch.
 
 Keys have 128 bits and are not compared as text. Edge cases: null text is empty;
 a null id orders after all others; rows that share an id are one document for the
@@ -50,6 +53,8 @@ from ordwise.llm.words import combine, mix, slices, text_buffer
 SPAN = 100
 GRAM = 32
 REACH = SPAN - GRAM + 1
+BLOCK = 8
+CORE = SPAN - BLOCK + 1
 SEGMENT = 2 << 20
 BATCH_BYTES = 32 << 20
 LAST_ID = (1 << 63) - 1
@@ -70,8 +75,9 @@ def _refine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def bucket_ids(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Identifiers of GRAM bytes, and two of SPAN bytes, at every offset that has them."""
+def bucket_ids(buf: np.ndarray) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray]:
+    """Identifiers of 4, 32 and 64 bytes, and two of SPAN bytes, at every offset
+    that has them."""
     level = {1: _BYTE[buf]}
     k = 1
     while k < 64:
@@ -82,7 +88,7 @@ def bucket_ids(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(buf) - SPAN + 1
     whole = _refine(_refine(level[64][:n], level[32][64: 64 + n]), level[4][96: 96 + n])
     other = _refine(_refine(level[4][:n], level[64][36: 36 + n]), level[32][4: 4 + n])
-    return level[32], whole, other
+    return level, whole, other
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -95,13 +101,15 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, start, n, bucket, run) of the sampled suffixes' runs of windows:
-    start is the first window's offset within its row, n their number."""
+    """(row, start, n, off, bucket, run) of the sampled suffixes' runs of windows:
+    start is the first window's offset within its row, n their number, off how
+    far the suffix is from it."""
     size = np.diff(offsets)
     z = np.zeros(0, np.int64)
     if not len(size) or size.max() < SPAN:
-        return z, z, z, z.astype(np.uint64), z.astype(np.uint64)
-    gram, whole, _ = bucket_ids(buf)
+        return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
+    level, whole, _ = bucket_ids(buf)
+    gram = level[GRAM]
     key = (mix(gram) & _HIGH) | np.arange(len(gram), dtype=np.uint64)
     at = (_sliding_min(key, REACH) & _LOW).astype(np.int64)
     valid = np.zeros(len(at) + 1, bool)
@@ -117,7 +125,7 @@ def runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     hi = np.flatnonzero(last)
     row = np.searchsorted(offsets, lo, side="right") - 1
     run = combine(combine(whole[lo], whole[hi]), (hi - lo).astype(np.uint64))
-    return row, lo - offsets[row], hi - lo + 1, gram[at[lo]], run
+    return row, lo - offsets[row], hi - lo + 1, at[lo] - lo, gram[at[lo]], run
 
 
 def units(offsets: np.ndarray, limit: int = SEGMENT) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -163,33 +171,35 @@ def _merged(doc: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return doc[at], lo[at], np.maximum.reduceat(end, at) - lo[at]
 
 
-ROW = "key long, bucket long, run long, doc long, lo long, n long, state int"
+ROW = "key long, bucket long, run long, doc long, lo long, n long, off int, state int"
 COVERED, ALONE, SHARED = 1, 0, 2
 
 
-def _rows(key, bucket, run, doc, lo, n, state) -> pa.RecordBatch:
+def _rows(key, bucket, run, doc, lo, n, off, state) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, bucket, run, doc, lo, n)]
-        + [pa.array(state.astype(np.int32))], names=["key", "bucket", "run", "doc", "lo", "n", "state"])
+        + [pa.array(x.astype(np.int32)) for x in (off, state)],
+        names=["key", "bucket", "run", "doc", "lo", "n", "off", "state"])
 
 
 def _known(doc, lo, n) -> pa.RecordBatch:
     """Rows that are covered already; their key only spreads them."""
     doc, lo, n = _merged(doc, lo, n)
     zero = np.zeros(len(doc), np.uint64)
-    return _rows(mix(doc.view(np.uint64) + lo.astype(np.uint64)), zero, zero, doc, lo, n, np.full(len(doc), COVERED))
+    return _rows(mix(doc.view(np.uint64) + lo.astype(np.uint64)), zero, zero, doc, lo, n, zero,
+                 np.full(len(doc), COVERED))
 
 
 def combined_runs(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """The rows of a batch of text, equal runs met."""
-    doc, lo, n, bucket, run = _joined(parts)
+    doc, lo, n, off, bucket, run = _joined(parts)
     order = np.lexsort((lo, doc, run, bucket))
-    doc, lo, n, bucket, run = (x[order] for x in (doc, lo, n, bucket, run))
+    doc, lo, n, off, bucket, run = (x[order] for x in (doc, lo, n, off, bucket, run))
     new_run, new_bucket = _starts(bucket, run), _starts(bucket)
     later = _later(new_run, doc, lo) if len(doc) else new_run
     yield _known(doc[later], lo[later], n[later])
-    doc, lo, n, bucket, run, new_run, new_bucket = (
-        x[~later] for x in (doc, lo, n, bucket, run, new_run, new_bucket))
+    doc, lo, n, off, bucket, run, new_run, new_bucket = (
+        x[~later] for x in (doc, lo, n, off, bucket, run, new_run, new_bucket))
     if not len(doc):
         return
     group = np.cumsum(new_bucket) - 1
@@ -198,7 +208,7 @@ def combined_runs(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     nr_in = nr - nr[np.flatnonzero(new_bucket)][group]
     inner = (nr_in > 0) & (nr_in < n_runs - 1)
     key = np.where(inner, combine(bucket, run), bucket)
-    yield _rows(key, bucket, run, doc, lo, n, np.where(n_runs > 1, SHARED, ALONE))
+    yield _rows(key, bucket, run, doc, lo, n, off, np.where(n_runs > 1, SHARED, ALONE))
 
 
 def combined_windows(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +220,8 @@ def combined_windows(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     one = np.ones(len(doc), np.int64)
     yield _known(doc[later], lo[later], one[later])
     doc, lo, whole, other = (x[~later] for x in (doc, lo, whole, other))
-    yield _rows(whole, other, whole, doc, lo, np.ones(len(doc), np.int64), np.full(len(doc), ALONE))
+    zero = np.zeros(len(doc), np.int64)
+    yield _rows(whole, other, zero.view(np.uint64), doc, lo, zero + 1, zero, zero)
 
 
 def suffix_pass(docs: DataFrame) -> DataFrame:
@@ -222,8 +233,8 @@ def suffix_pass(docs: DataFrame) -> DataFrame:
             ids = b.column(0).to_numpy()
             buf, offs = text_buffer(b.column(1))
             for i, at, shift in units(offs):
-                row, lo, n, bucket, ident = runs(buf[at[0]: at[-1]], at - at[0])
-                parts.append([ids[i + row], lo + shift[row], n, bucket, ident])
+                row, lo, n, off, bucket, ident = runs(buf[at[0]: at[-1]], at - at[0])
+                parts.append([ids[i + row], lo + shift[row], n, off, bucket, ident])
                 held += int(at[-1] - at[0])
                 if held >= BATCH_BYTES:
                     yield from combined_runs(parts)
@@ -234,27 +245,62 @@ def suffix_pass(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ROW)
 
 
-def window_pass(wanted: DataFrame) -> DataFrame:
-    """Rows of the single windows of (doc, text, at): at lists runs as lo, n."""
+def _gathered(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """From rows of (doc, text, at), at listing runs as lo, n, off: the bytes of
+    all runs end to end, and per run its document, lo, n, off and place there."""
+    buf, offs = text_buffer(b.column(1))
+    k = np.repeat(np.arange(b.num_rows), b.column(2).value_lengths().to_numpy())
+    lo, n, off = (x.to_numpy().astype(np.int64) for x in b.column(2).flatten().flatten())
+    ids, size = b.column(0).to_numpy()[k], n + SPAN - 1
+    end = np.cumsum(size)
+    for i, j in slices(np.concatenate([[0], end]), SEGMENT):
+        place = end[i:j] - size[i:j] - (end[i] - size[i])
+        at = np.repeat(offs[k[i:j]] + lo[i:j] - place, size[i:j]) + np.arange(int(size[i:j].sum()))
+        yield buf[at], ids[i:j], lo[i:j], n[i:j], off[i:j], place
+
+
+def _expand(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the owner, and number within it, of ``count`` items each."""
+    owner = np.repeat(np.arange(len(count)), count)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def blocks(buf, ids, lo, n, off, place) -> list[np.ndarray]:
+    """The runs' blocks: windows whose distance to the suffix has the same quotient by BLOCK."""
+    level, whole, _ = bucket_ids(buf)
+    least = (off - n + 1) // BLOCK
+    r, j = _expand(off // BLOCK - least + 1)
+    j += least[r]
+    high = lo[r] + off[r] - BLOCK * j
+    low = high - BLOCK + 1
+    a, z = np.maximum(lo[r], low), np.minimum(lo[r] + n[r] - 1, high)
+    shift = place[r] - lo[r]
+    core = _refine(_refine(level[64][high + shift], level[32][high + shift + CORE - 32]), j.astype(np.uint64))
+    run = _refine(_refine(whole[a + shift], whole[z + shift]), ((a - low) * BLOCK + z - low).astype(np.uint64))
+    return [ids[r], a, z - a + 1, np.zeros(len(r), np.int64), core, run]
+
+
+def windows(buf, ids, lo, n, off, place) -> list[np.ndarray]:
+    """The runs' single windows."""
+    _, whole, other = bucket_ids(buf)
+    r, k = _expand(n)
+    return [ids[r], lo[r] + k, whole[place[r] + k], other[place[r] + k]]
+
+
+def refine_pass(wanted: DataFrame, split, combined) -> DataFrame:
+    """Rows of the runs of (doc, text, at), split into smaller ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for b in batches:
-            ids = b.column(0).to_numpy()
-            buf, offs = text_buffer(b.column(1))
-            for k, at in enumerate(b.column(2).to_pylist()):
-                text = buf[offs[k]: offs[k + 1]]
-                r = np.array([(x["lo"], x["n"]) for x in at], np.int64)
-                r = r[np.argsort(r[:, 0])]
-                for lo, n in zip(*_merged(np.zeros(len(r), np.int64), r[:, 0], r[:, 1])[1:]):
-                    _, whole, other = bucket_ids(text[lo: lo + n + SPAN - 1])
-                    parts.append([np.full(n, ids[k]), np.arange(lo, lo + n), whole, other])
-                    held += 32 * int(n)
-                if held >= BATCH_BYTES:
-                    yield from combined_windows(parts)
+            for piece in _gathered(b):
+                parts.append(split(*piece))
+                held += len(piece[0])
+                if held >= BATCH_BYTES // 4:
+                    yield from combined(parts)
                     parts, held = [], 0
         if parts:
-            yield from combined_windows(parts)
+            yield from combined(parts)
 
     return wanted.mapInArrow(run, ROW)
 
@@ -266,17 +312,27 @@ def _first_of(rows: DataFrame) -> DataFrame:
         "later", (F.col("state") == COVERED) | (F.col("doc") > F.col("head.doc")) | (F.col("lo") > F.col("head.lo")))
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """Rows that are covered (later), or the first of theirs in a bucket with others."""
+    bucket = Window.partitionBy("key")
+    mixed = (F.min("run").over(bucket) < F.max("run").over(bucket)) | (F.col("state") == SHARED)
+    return _first_of(rows).withColumn("mixed", mixed).where("later or mixed").select("doc", "lo", "n", "off", "later")
+
+
+def _open(docs: DataFrame, settled: DataFrame) -> DataFrame:
+    """Documents with the list of their runs that need a further split."""
+    wanted = settled.where("not later").groupBy("doc").agg(F.collect_list(F.struct("lo", "n", "off")).alias("at"))
+    return docs.join(wanted, "doc").select("doc", "text", "at")
+
+
 def covered(docs: DataFrame) -> DataFrame:
     """(doc, at): per document the list of covered window ranges (lo, n)."""
-    rows = _first_of(suffix_pass(docs))
-    bucket = Window.partitionBy("key")
-    refined = saved(rows.withColumn("mixed", (F.min("run").over(bucket) < F.max("run").over(bucket))
-                                    | (F.col("state") == SHARED))
-                    .where("later or mixed").select("doc", "lo", "n", "later"), "suffix-runs")
-    wanted = refined.where("not later").groupBy("doc").agg(F.collect_list(F.struct("lo", "n")).alias("at"))
-    windows = _first_of(window_pass(docs.join(wanted, "doc").select("doc", "text", "at"))).where("later")
-    spans = refined.where("later").select("doc", "lo", "n").unionByName(windows.select("doc", "lo", "n"))
-    return spans.groupBy("doc").agg(F.collect_list(F.struct("lo", "n")).alias("at"))
+    by_run = saved(_settled(suffix_pass(docs)), "suffix-runs")
+    by_block = _settled(refine_pass(_open(docs, by_run), blocks, combined_runs))
+    by_window = _first_of(refine_pass(_open(docs, by_block), windows, combined_windows))
+    spans = [x.where("later").select("doc", "lo", "n") for x in (by_run, by_block, by_window)]
+    return spans[0].unionByName(spans[1]).unionByName(spans[2]).groupBy("doc").agg(
+        F.collect_list(F.struct("lo", "n")).alias("at"))
 
 
 def removed(at: list, size: int) -> list[tuple[int, int]]:
