@@ -84,7 +84,9 @@ ORDER_COLUMN_NAMES = [c[0] for c in ORDER_COLUMNS]
 
 ORDERS_SCHEMA = T.StructType([T.StructField(n, t, nullable) for n, t, nullable, _ in ORDER_COLUMNS])
 
-# DDL column types for a JDBC target table (createTableColumnTypes).
+# DDL column types for a JDBC target table (createTableColumnTypes). Spark has no
+# name for JSONB, so metadata and shipping_address stay its default text type
+# when Spark creates the table; a table that exists keeps its own types.
 JDBC_COLUMN_TYPES = ", ".join([
     "order_id INTEGER",
     "customer_id VARCHAR(36)",
@@ -92,7 +94,9 @@ JDBC_COLUMN_TYPES = ", ".join([
     "order_total DECIMAL(12,2)",
     "item_count INTEGER",
     "product_category VARCHAR(50)",
+    "created_at TIMESTAMP",
     "delivery_date DATE",
+    "is_loyalty_member BOOLEAN",
     "rating DECIMAL(3,1)",
 ])
 

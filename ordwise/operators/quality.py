@@ -155,7 +155,8 @@ def pk_duplicates(df: DataFrame, key: str = "order_id") -> DataFrame:
 
 def status_drift(df: DataFrame, tolerance_pp: float = 2.0,
                  weights: list[tuple[str, float]] | None = None) -> DataFrame:
-    """Observed status share against expected weights, within a tolerance.
+    """Observed status share against expected weights, within a tolerance; an
+    expected status without rows counts 0.
 
     The comparison is exact integer arithmetic in basis points:
     |cnt * 10000 - weight_bp * total| <= tol_bp * total.
@@ -163,7 +164,9 @@ def status_drift(df: DataFrame, tolerance_pp: float = 2.0,
     weights = weights or model.ORDER_STATUS_WEIGHTS
     expected_bp = F.create_map(*[x for s, w in weights for x in (F.lit(s), F.lit(round(w * 10000)))])
     tol_bp = round(tolerance_pp * 100)
-    grouped = df.groupBy("order_status").agg(F.count(F.lit(1)).alias("cnt"))
+    absent = df.sparkSession.createDataFrame([(s, 0) for s, _ in weights], "order_status string, cnt bigint")
+    grouped = (df.groupBy("order_status").agg(F.count(F.lit(1)).alias("cnt")).unionByName(absent)
+               .groupBy("order_status").agg(F.sum("cnt").alias("cnt")))
     total = F.sum("cnt").over(Window.partitionBy())
     bp = F.coalesce(F.try_element_at(expected_bp, F.col("order_status")), F.lit(0)).cast("bigint")
     return grouped.select(
@@ -176,8 +179,9 @@ def status_drift(df: DataFrame, tolerance_pp: float = 2.0,
 
 # -- J12: violating rows -----------------------------------------------------------
 
-def violations(df: DataFrame, checks: list[Check] | None = None, key: str = "order_id") -> DataFrame:
-    """One row per (row, broken rule): ``key``, ``check``. Narrow: no shuffle."""
-    checks = checks if checks is not None else gate_checks() + constraint_checks() + consistency_checks()
+def violations(df: DataFrame, checks: list[Check] | None = None) -> DataFrame:
+    """One row per (row, broken rule): the whole row and ``check``. Narrow: no
+    shuffle. The gates repeat constraints under other names, so they are left out."""
+    checks = checks if checks is not None else constraint_checks() + consistency_checks()
     names = F.array_compact(F.array(*[F.when(ch.violation, F.lit(ch.name)) for ch in checks]))
-    return df.select(F.col(key), F.explode(names).alias("check"))
+    return df.select("*", F.explode(names).alias("check"))

@@ -40,8 +40,38 @@ def mean_2dp(c: Column) -> Column:
 
 # -- E1 - E4 ------------------------------------------------------------------
 
+def _row_count() -> dict[str, Column]:
+    return {"total_rows": F.count(F.lit(1))}
+
+
+def _null_profile() -> dict[str, Column]:
+    null = lambda c: F.count_if(F.col(c).isNull())
+    return {"total": F.count(F.lit(1)), "null_rating": null("rating"), "null_delivery": null("delivery_date"),
+            "null_address": null("shipping_address"), "null_metadata": null("metadata")}
+
+
+def _numeric_ranges() -> dict[str, Column]:
+    return {"min_total": F.min("order_total"), "max_total": F.max("order_total"), "avg_total": F.avg(money()),
+            "min_items": F.min("item_count"), "max_items": F.max("item_count"),
+            "min_rating": F.min("rating"), "max_rating": F.max("rating")}
+
+
+def _date_ranges() -> dict[str, Column]:
+    return {"earliest_order": F.min("created_at"), "latest_order": F.max("created_at"),
+            "earliest_delivery": F.min("delivery_date"), "latest_delivery": F.max("delivery_date")}
+
+
+# The global aggregates, so that a suite can take them in one pass.
+GLOBAL_MEASURES = {"row_count": _row_count, "null_profile": _null_profile,
+                   "numeric_ranges": _numeric_ranges, "date_ranges": _date_ranges}
+
+
+def _global(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(*[c.alias(k) for k, c in GLOBAL_MEASURES[name]().items()])
+
+
 def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("total_rows"))
+    return _global(df, "row_count")
 
 
 def status_counts(df: DataFrame) -> DataFrame:
@@ -71,36 +101,17 @@ def summary_stats(df: DataFrame) -> DataFrame:
 # -- E5 - E8 (validation profile over the raw model) ---------------------------
 
 def null_profile(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("rating").isNull()).alias("null_rating"),
-        F.count_if(F.col("delivery_date").isNull()).alias("null_delivery"),
-        F.count_if(F.col("shipping_address").isNull()).alias("null_address"),
-        F.count_if(F.col("metadata").isNull()).alias("null_metadata"),
-    )
+    return _global(df, "null_profile")
 
 
 def numeric_ranges(df: DataFrame) -> DataFrame:
     """Min / max / mean of the numeric columns; the mean of the decimal total
     is Spark's exact decimal average, decimal(16,6)."""
-    return df.agg(
-        F.min("order_total").alias("min_total"),
-        F.max("order_total").alias("max_total"),
-        F.avg(money()).alias("avg_total"),
-        F.min("item_count").alias("min_items"),
-        F.max("item_count").alias("max_items"),
-        F.min("rating").alias("min_rating"),
-        F.max("rating").alias("max_rating"),
-    )
+    return _global(df, "numeric_ranges")
 
 
 def date_ranges(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.min("created_at").alias("earliest_order"),
-        F.max("created_at").alias("latest_order"),
-        F.min("delivery_date").alias("earliest_delivery"),
-        F.max("delivery_date").alias("latest_delivery"),
-    )
+    return _global(df, "date_ranges")
 
 
 def device_distribution(df: DataFrame) -> DataFrame:
@@ -152,87 +163,62 @@ def category_performance(df: DataFrame, k: int = 10) -> DataFrame:
 
 # -- G3, G4 -------------------------------------------------------------------
 
-def top_k_rows(df: DataFrame, order: list[Column], k: int, key: str = "order_id") -> DataFrame:
-    """The first ``k`` rows of ``df`` under ``order``, an order on ``key`` alone.
-
-    Two phases, so whole rows are built and read only for the winners:
-
-    1. rank on the key column only: a pruned scan planned as
-       TakeOrderedAndProject (each task keeps k keys); k keys reach the driver;
-    2. read the rows of those keys: ``key IN (...)`` is pushed into the
-       Parquet reader, which skips row groups by their min/max statistics; on
-       a derived frame the filter is placed under every costly projection.
-
-    Ranking again after phase 2 keeps the answer exact when a key repeats.
-    """
-    keys = [r[0] for r in df.select(key).orderBy(*order).limit(k).collect()]
-    if not keys:
-        return df.filter(F.lit(False))
-    hit = F.col(key).isin([v for v in keys if v is not None])
-    if None in keys:
-        hit = hit | F.col(key).isNull()
-    return df.filter(hit).orderBy(*order).limit(k)
-
-
 def sample_rows(df: DataFrame, k: int = 5, seed: int = 42, key: str = "order_id") -> DataFrame:
-    """k rows in a repeatable random order: top-k on a hash of the key."""
+    """k rows in a repeatable random order: top-k on a hash of the key, one
+    ``TakeOrderedAndProject`` in which each task keeps k rows."""
     h = draw(f"CAST(`{key}` AS BIGINT)", seed, MODULUS)
-    return top_k_rows(df, [h.asc_nulls_last(), F.col(key).asc_nulls_last()], k, key)
+    return df.orderBy(h.asc_nulls_last(), F.col(key).asc_nulls_last()).limit(k)
 
 
 def head_rows(df: DataFrame, k: int = 5, key: str = "order_id") -> DataFrame:
     """First k rows by key (an explicit order, so the result is defined)."""
-    return top_k_rows(df, [F.col(key).asc_nulls_last()], k, key)
+    return df.orderBy(F.col(key).asc_nulls_last()).limit(k)
 
 
 # -- A9 -----------------------------------------------------------------------
 
-def _catalogue(df: DataFrame) -> list[tuple]:
-    """(name, ordinal, data_type, max_len, precision, scale, is_nullable) per column.
+# The source catalogue's names of Spark's types.
+TYPE_NAMES = {
+    "byte": "smallint", "short": "smallint", "integer": "integer", "long": "bigint", "float": "real",
+    "double": "double precision", "decimal": "numeric", "boolean": "boolean", "date": "date", "string": "text",
+    "char": "character", "varchar": "character varying", "timestamp": "timestamp with time zone",
+    "timestamp_ntz": "timestamp without time zone", "binary": "bytea",
+}
+INTEGER_BITS = {"byte": 16, "short": 16, "integer": 32, "long": 64}
 
-    Declared facts come from the model where the column is known, else from the
-    Spark schema (and JDBC varchar metadata when present).
-    """
-    declared = {n: (pg, nullable) for n, _, nullable, pg in model.ORDER_COLUMNS}
+
+def _catalogue(df: DataFrame) -> list[tuple]:
+    """(name, ordinal, type, max_len, precision, scale, is_nullable) per column, all
+    from the frame's own schema and the varchar types in its field metadata."""
     rows = []
     for i, f in enumerate(df.schema.fields, start=1):
-        pg, nullable = declared.get(f.name, (f.dataType.simpleString(), f.nullable))
-        max_len = model.VARCHAR_LENGTHS.get(f.name)
-        meta = (f.metadata or {}).get("__CHAR_VARCHAR_TYPE_STRING")
-        if max_len is None and meta and "(" in meta:
-            max_len = int(meta[meta.index("(") + 1:meta.index(")")])
-        t = f.dataType
-        if f.name in declared and f.name in ("order_total", "rating"):
-            t = model.TOTAL_TYPE if f.name == "order_total" else model.RATING_TYPE
-        if isinstance(t, T.DecimalType):
-            prec, scale = t.precision, t.scale
-        elif isinstance(t, T.IntegerType):
-            prec, scale = 32, 0
-        elif isinstance(t, T.LongType):
-            prec, scale = 64, 0
-        else:
-            prec, scale = None, None
-        rows.append((f.name, i, pg, max_len, prec, scale, "YES" if nullable else "NO"))
+        kind, max_len, prec, scale = f.dataType.typeName(), None, None, None
+        declared = (f.metadata or {}).get("__CHAR_VARCHAR_TYPE_STRING", "")
+        if "(" in declared:
+            kind, _, n = declared.rstrip(")").partition("(")
+            max_len = int(n)
+        if isinstance(f.dataType, T.DecimalType):
+            kind, prec, scale = "decimal", f.dataType.precision, f.dataType.scale
+        elif kind in INTEGER_BITS:
+            prec, scale = INTEGER_BITS[kind], 0
+        rows.append((f.name, i, TYPE_NAMES.get(kind, f.dataType.simpleString()), max_len, prec, scale,
+                     "YES" if f.nullable else "NO"))
     return rows
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """Column catalogue in ordinal order, with observed null counts and max lengths.
+    """Column catalogue in ordinal order; no data is read."""
+    schema = ("column_name string, ordinal_position int, data_type string, character_maximum_length int, "
+              "numeric_precision int, numeric_scale int, is_nullable string")
+    return df.sparkSession.createDataFrame(_catalogue(df), schema).orderBy("ordinal_position")
 
-    One aggregate pass computes the observed side for all columns at once;
-    ``stack`` turns the single result row into one row per column.
-    """
-    cat = _catalogue(df)
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """(column_name, null_count, max_length) per column, from one aggregate."""
     aggs, args = [], []
-    for name, ordinal, pg, max_len, prec, scale, nullable in cat:
-        c = F.col(name)
-        aggs.append(F.count_if(c.isNull()).alias(f"_n{ordinal}"))
-        is_str = isinstance(df.schema[name].dataType, T.StringType)
-        aggs.append((F.max(F.length(c)) if is_str else F.lit(None)).cast("int").alias(f"_l{ordinal}"))
-        args += [F.lit(name), F.lit(ordinal), F.lit(pg), F.lit(max_len).cast("int"),
-                 F.lit(prec).cast("int"), F.lit(scale).cast("int"), F.lit(nullable),
-                 F.col(f"_n{ordinal}"), F.col(f"_l{ordinal}")]
-    return (df.agg(*aggs).select(F.stack(F.lit(len(cat)), *args).alias(
-        "column_name", "ordinal_position", "data_type", "character_maximum_length",
-        "numeric_precision", "numeric_scale", "is_nullable", "null_count", "max_length"))
-        .orderBy("ordinal_position"))
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        longest = F.max(F.length(c)) if isinstance(f.dataType, T.StringType) else F.lit(None)
+        aggs += [F.count_if(c.isNull()).alias(f"_n{i}"), longest.cast("int").alias(f"_l{i}")]
+        args += [F.lit(f.name), F.col(f"_n{i}"), F.col(f"_l{i}")]
+    return df.agg(*aggs).select(F.stack(F.lit(len(df.schema)), *args).alias("column_name", "null_count", "max_length"))

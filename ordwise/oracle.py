@@ -113,26 +113,32 @@ def _cte(body: str, corrupted: bool = False) -> str:
     return with_orders_cte(body, corrupted)
 
 
+def _column_profile_sql() -> str:
+    rows = []
+    for name, t, _, _ in model.ORDER_COLUMNS:
+        longest = f"MAX(length({name}))" if t.typeName() == "string" else "NULL"
+        rows.append(f"SELECT '{name}' AS column_name, COUNT(*) FILTER (WHERE {name} IS NULL) AS null_count, "
+                    f"CAST({longest} AS INTEGER) AS max_length FROM o")
+    return _cte("\n" + "\nUNION ALL\n".join(rows), corrupted=True)
+
+
 def _schema_profile_sql() -> str:
-    aggs, rows = [], []
-    for i, (name, t, nullable, pg) in enumerate(model.ORDER_COLUMNS, start=1):
-        aggs.append(f"COUNT(*) FILTER (WHERE {name} IS NULL) AS n{i}")
-        is_str = t.typeName() == "string"
-        aggs.append(f"CAST({'MAX(length(' + name + '))' if is_str else 'NULL'} AS INTEGER) AS l{i}")
-        max_len = model.VARCHAR_LENGTHS.get(name)
-        if t.typeName() == "decimal":
-            prec, scale = t.precision, t.scale
-        elif t.typeName() == "integer":
-            prec, scale = 32, 0
-        else:
-            prec, scale = None, None
-        sql_int = lambda v: "CAST(NULL AS INTEGER)" if v is None else f"CAST({v} AS INTEGER)"
-        rows.append(
-            f"SELECT '{name}' AS column_name, CAST({i} AS INTEGER) AS ordinal_position, '{pg}' AS data_type, "
-            f"{sql_int(max_len)} AS character_maximum_length, {sql_int(prec)} AS numeric_precision, "
-            f"{sql_int(scale)} AS numeric_scale, '{'YES' if nullable else 'NO'}' AS is_nullable, "
-            f"n{i} AS null_count, l{i} AS max_length FROM s")
-    return _cte(f", s AS (SELECT {', '.join(aggs)} FROM o)\n" + "\nUNION ALL\n".join(rows))
+    """The catalogue from DuckDB's own typeof of each column of the fixture. Three of
+    its columns are picked from literals whatever the key, so they cannot be null."""
+    kinds = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS column_name, CAST({i} AS INTEGER) AS ordinal_position, "
+        f"(SELECT typeof({name}) FROM o LIMIT 1) AS kind" for i, (name, *_) in enumerate(model.ORDER_COLUMNS, start=1))
+    return _cte(f""",
+k AS ({kinds}),
+d AS (SELECT *, regexp_extract(kind, 'DECIMAL\\((\\d+),(\\d+)\\)', 1) AS p, regexp_extract(kind, 'DECIMAL\\((\\d+),(\\d+)\\)', 2) AS s FROM k)
+SELECT column_name, ordinal_position,
+  CASE WHEN kind LIKE 'DECIMAL%' THEN 'numeric' WHEN kind = 'VARCHAR' THEN 'text'
+       WHEN kind = 'TIMESTAMP' THEN 'timestamp without time zone' ELSE lower(kind) END AS data_type,
+  CAST(NULL AS INTEGER) AS character_maximum_length,
+  CAST(CASE WHEN kind LIKE 'DECIMAL%' THEN p WHEN kind = 'INTEGER' THEN '32' END AS INTEGER) AS numeric_precision,
+  CAST(CASE WHEN kind LIKE 'DECIMAL%' THEN s WHEN kind = 'INTEGER' THEN '0' END AS INTEGER) AS numeric_scale,
+  CASE WHEN column_name IN ('order_status', 'product_category', 'metadata') THEN 'NO' ELSE 'YES' END AS is_nullable
+FROM d""")
 
 
 def _status_drift_sql(tolerance_pp: float = 2.0) -> str:
@@ -141,8 +147,9 @@ def _status_drift_sql(tolerance_pp: float = 2.0) -> str:
     return _cte(f""",
 g AS (SELECT order_status, COUNT(*) AS cnt FROM o GROUP BY order_status),
 w AS (SELECT * FROM (VALUES {values}) AS t(s, bp)),
-t AS (SELECT g.order_status, g.cnt, SUM(g.cnt) OVER () AS total, COALESCE(w.bp, 0) AS bp
-      FROM g LEFT JOIN w ON g.order_status = w.s)
+t AS (SELECT COALESCE(g.order_status, w.s) AS order_status, COALESCE(g.cnt, 0) AS cnt,
+             (SELECT COUNT(*) FROM o) AS total, COALESCE(w.bp, 0) AS bp
+      FROM g FULL JOIN w ON g.order_status = w.s)
 SELECT order_status, cnt,
        {PCT_DECIMAL.format(cnt='cnt', tot='total')} AS observed_pct,
        CAST(bp AS DOUBLE) / 100 AS expected_pct,
@@ -151,32 +158,16 @@ FROM t""")
 
 
 def _jdbc_plan_sql() -> str:
-    lo, hi = model.JDBC_MIN_PARTITIONS, model.JDBC_MAX_PARTITIONS
-    v = lambda name: f"(SELECT {name} FROM r)"
-    bound = lambda i: f"({v('lo')} + ({i}) * {v('w')} + least({i}, {v('extra')}))"
-    off = f"(order_id - {v('lo')})"
-    wide = f"(({v('w')} + 1) * {v('extra')})"
-    return _cte(f""",
-s AS (SELECT COUNT(*) AS n, MIN(order_id) AS lo, MAX(order_id) AS hi FROM o),
-p AS (SELECT lo, hi - lo + 1 AS span, greatest({lo}, least({hi}, n // {model.JDBC_ROWS_PER_PARTITION})) AS req FROM s),
-r AS (SELECT lo, least(req, span) AS np, span // least(req, span) AS w, span % least(req, span) AS extra FROM p),
-c AS (SELECT coalesce(least({v('np')} - 1, greatest(0,
-                 CASE WHEN {off} < {wide} THEN {off} // ({v('w')} + 1)
-                      ELSE {v('extra')} + ({off} - {wide}) // {v('w')} END)), 0) AS part,
-             COUNT(*) AS rows
-      FROM o GROUP BY 1),
-parts AS (SELECT i FROM range(0, (SELECT np FROM r)) AS t(i))
-SELECT CAST(i AS INTEGER) AS part,
-       CASE WHEN i = 0 THEN NULL ELSE CAST({bound('i')} AS BIGINT) END AS lower,
-       CASE WHEN i = {v('np')} - 1 THEN NULL ELSE CAST({bound('i + 1')} AS BIGINT) END AS upper,
-       COALESCE(c.rows, 0) AS rows
-FROM parts LEFT JOIN c ON c.part = parts.i""")
+    return _cte(f"""
+SELECT COUNT(*) AS rows, CAST(MIN(order_id) AS BIGINT) AS lower, CAST(MAX(order_id) AS BIGINT) + 1 AS upper,
+  CAST(least({model.JDBC_MAX_PARTITIONS}, greatest({model.JDBC_MIN_PARTITIONS}, COUNT(*) // {model.JDBC_ROWS_PER_PARTITION})) AS INTEGER) AS partitions
+FROM o""")
 
 
 def _violations_sql() -> str:
-    preds = GATE_PREDICATES + CONSTRAINT_PREDICATES + CONSISTENCY_PREDICATES
+    preds = CONSTRAINT_PREDICATES + CONSISTENCY_PREDICATES
     return _cte("\n" + "\nUNION ALL\n".join(
-        f"SELECT order_id, '{name}' AS \"check\" FROM o WHERE {p}" for name, p in preds), corrupted=True)
+        f"SELECT o.*, '{name}' AS \"check\" FROM o WHERE {p}" for name, p in preds), corrupted=True)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -184,9 +175,11 @@ def oracle_sql() -> dict[str, str]:
     q = {
         "jdbc_plan_partitions": _jdbc_plan_sql(),
         "schema_profile": _schema_profile_sql(),
+        "column_profile": _column_profile_sql(),
         "synth_orders": synth.synth_sql("SELECT o_orderkey + 1 AS order_id FROM orders", seed=7),
         "parquet_roundtrip": _cte(TRANSFORM_DF_SQL),
-        "parquet_dynamic_overwrite": _cte(TRANSFORM_DF_SQL),
+        "parquet_dynamic_overwrite": _cte(TRANSFORM_DF_SQL.replace(
+            "item_count,", "item_count + CASE WHEN order_status IN ('pending', 'refunded') THEN 100 ELSE 0 END AS item_count,")),
         "transform_df": _cte(TRANSFORM_DF_SQL),
         "transform_sql": _cte(TRANSFORM_SQL_SQL),
         "revenue_tier": _cte(f"SELECT order_id, {TIER_SQL} AS revenue_tier FROM o"),

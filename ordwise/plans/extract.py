@@ -2,19 +2,17 @@
 
 Shape of one run::
 
-    source (JDBC or Parquet) --[optional stage]--> derive --> gate --> write --> reports
-
-* **stage** (recommended for JDBC): the source is copied once into Parquet in
-  the shared folder (``spark.checkpoint.dir``). The database is read exactly
-  once, by at most ``max_connections`` readers; everything after reads
-  columnar files, and a lost executor never triggers a second database read.
-* **gate**: every check in ONE aggregate over the derived frame; column
-  pruning means it reads only the checked columns. All failures are raised
-  together and nothing is written.
-* **write**: Parquet partitioned by status, placed with the rebalance hint
-  (see :mod:`ordwise.sources.parquet`).
-* **reports**: lazily defined over the written dataset, so they read the
-  output's few needed columns instead of re-deriving from the source.
+    source (JDBC or Parquet) --> derive + observe checks --> run folder --> gate --> publish
+                                                                 +--> reports
+
+* The source is read once: the derived rows go to a run folder under the shared
+  folder (``spark.checkpoint.dir``), and the checks are observed on the way
+  (:class:`pyspark.sql.Observation`). So the rows checked are the rows written.
+* **gate**: all failures are raised together; the target is then untouched.
+* **publish**: the run folder's rows are written to the target, partitioned by
+  status and placed with the rebalance hint (see :mod:`ordwise.sources.parquet`).
+* **reports** and the row count are about this run: they read the run folder, not
+  the target, which may hold partitions of earlier runs.
 """
 
 from __future__ import annotations
@@ -22,13 +20,15 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from contextlib import contextmanager
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ordwise import model
-from ordwise.functions.derive import TRANSFORM_SQL, transform_df
+from ordwise.functions.derive import transform_df, transform_sql
 from ordwise.operators import quality, reports
 from ordwise.session import new_output_path, remove_path
 from ordwise.sources import jdbc
@@ -38,112 +38,81 @@ from ordwise.sources.parquet import read_dataset, write_partitioned
 @dataclass
 class ExtractResult:
     output_path: str
+    run_path: str
+    rows: int
     checks: list[dict]
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
     def output(self, spark: SparkSession) -> DataFrame:
+        """The whole target."""
         return read_dataset(spark, self.output_path)
 
+    def written(self, spark: SparkSession) -> DataFrame:
+        """The rows of this run; they and the reports are there until :meth:`close`."""
+        return spark.read.parquet(self.run_path)
 
-@contextmanager
-def staged(spark: SparkSession, source: DataFrame, enabled: bool = True, name: str = "staged-source"):
-    """Copy the source once into Parquet under the shared folder and read it back.
-
-    Cuts the lineage to the source: later passes (gate, write, retries after a
-    lost executor) read the staged files, never the database again. The copy
-    is removed when the block ends, whether the job succeeded or not.
-    """
-    if not enabled:
-        yield source
-        return
-    path = new_output_path(spark, name)
-    try:
-        source.write.mode("error").parquet(path)
-        yield spark.read.parquet(path)
-    finally:
-        remove_path(spark, path)
+    def close(self, spark: SparkSession) -> None:
+        remove_path(spark, self.run_path)
 
 
-def _gate(report: DataFrame) -> list[dict]:
-    rows = [r.asDict() for r in report.collect()]
+def _checked_write(derived: DataFrame, path: str, min_rows: int) -> list[dict]:
+    """Write ``derived`` to ``path`` with the gates observed on the way; raise if any fails."""
+    checks, seen = quality.gate_checks(), Observation()
+    derived.observe(seen, F.count(F.lit(1)).alias("row_count"),
+                    *[F.count_if(c.violation).alias(c.name) for c in checks]).write.mode("error").parquet(path)
+    got = seen.get
+    rows = [{"check": "row_count", "observed": got["row_count"], "threshold": min_rows,
+             "passed": got["row_count"] >= min_rows}]
+    rows += [{"check": c.name, "observed": got[c.name], "threshold": c.threshold,
+              "passed": got[c.name] <= c.threshold} for c in checks]
     failures = [r for r in rows if not r["passed"]]
     if failures:
         raise quality.QualityGateError(failures)
     return rows
 
 
+def _run(spark: SparkSession, derived: DataFrame, output_path: str, min_rows: int, overwrite_mode: str,
+         placement: str | int, make_reports: Callable[[DataFrame], dict[str, DataFrame]]) -> ExtractResult:
+    path = new_output_path(spark, "extract-run")
+    try:
+        checks = _checked_write(derived, path, min_rows)
+        rows = spark.read.schema(derived.schema).parquet(path)
+        write_partitioned(rows, output_path, overwrite_mode=overwrite_mode, placement=placement)
+    except BaseException:
+        remove_path(spark, path)
+        raise
+    return ExtractResult(output_path, path, checks[0]["observed"], checks, make_reports(rows))
+
+
 def run_extract_df(spark: SparkSession, source: DataFrame, output_path: str, *,
                    min_rows: int = model.MIN_ROWS, overwrite_mode: str = "dynamic",
-                   stage: bool = False, placement: str | int = "rebalance") -> ExtractResult:
+                   placement: str | int = "rebalance") -> ExtractResult:
     """M1: derive (decimal flavour) -> gate -> write -> reports."""
-    with staged(spark, source, stage) as src:
-        derived = transform_df(src)
-        checks = _gate(quality.qc_report(derived, min_rows=min_rows))
-        write_partitioned(derived, output_path, overwrite_mode=overwrite_mode, placement=placement)
-    out = read_dataset(spark, output_path)
-    return ExtractResult(output_path, checks, {
+    return _run(spark, transform_df(source), output_path, min_rows, overwrite_mode, placement, lambda out: {
         "status_counts": reports.status_counts(out),
         "tier_counts": reports.tier_counts(out),
         "summary_stats": reports.summary_stats(out),
     })
 
 
-# -- SQL flavour ---------------------------------------------------------------
-
-QC_SQL = """
-SELECT stack(2,
-    'row_count',       n,   CAST({min_rows} AS BIGINT), n >= {min_rows},
-    'bad_order_total', bad, CAST(0 AS BIGINT),            bad = 0
-) AS (`check`, observed, threshold, passed)
-FROM (
-    SELECT COUNT(*) AS n,
-           COUNT_IF(order_total IS NULL OR order_total < 0) AS bad
-    FROM orders_transformed
-)
-"""
-
-# Report queries over the written dataset. Money is summed and averaged as
-# exact decimal (the flavour's double column cast back to cents), then given
-# the surveyed SQL's double type.
-REPORT_SQL = {
-    "status_distribution": """
-        SELECT order_status, COUNT(*) AS cnt,
-               ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 1) AS pct
-        FROM orders_out
-        GROUP BY order_status
-        ORDER BY cnt DESC, order_status""",
-    "tier_breakdown": """
-        SELECT revenue_tier,
-               COUNT(*) AS order_count,
-               CAST(ROUND(AVG(CAST(order_total AS DECIMAL(12,2))), 2) AS DOUBLE) AS avg_total,
-               CAST(ROUND(SUM(CAST(order_total AS DECIMAL(12,2))), 2) AS DOUBLE) AS total_revenue
-        FROM orders_out
-        GROUP BY revenue_tier
-        ORDER BY total_revenue DESC, revenue_tier""",
-    "category_performance": """
-        SELECT product_category,
-               COUNT(*) AS orders,
-               CAST(ROUND(AVG(CAST(order_total AS DECIMAL(12,2))), 2) AS DOUBLE) AS avg_order_value,
-               ROUND(AVG(rating_safe), 2) AS avg_rating
-        FROM orders_out
-        GROUP BY product_category
-        ORDER BY orders DESC, product_category
-        LIMIT 10""",
-}
-
-
 def run_extract_sql(spark: SparkSession, source: DataFrame, output_path: str, *,
                     min_rows: int = model.MIN_ROWS, overwrite_mode: str = "static",
-                    stage: bool = False, placement: str | int = "rebalance") -> ExtractResult:
-    """M2: the same job through temp views and SQL text (double flavour)."""
-    with staged(spark, source, stage) as src:
-        src.createOrReplaceTempView("orders_raw")
-        spark.sql(TRANSFORM_SQL.format(view="orders_raw")).createOrReplaceTempView("orders_transformed")
-        checks = _gate(spark.sql(QC_SQL.format(min_rows=int(min_rows))))
-        write_partitioned(spark.sql("SELECT * FROM orders_transformed"), output_path,
-                          overwrite_mode=overwrite_mode, placement=placement)
-    read_dataset(spark, output_path).createOrReplaceTempView("orders_out")
-    return ExtractResult(output_path, checks, {k: spark.sql(q) for k, q in REPORT_SQL.items()})
+                    placement: str | int = "rebalance") -> ExtractResult:
+    """M2: the same job in the double flavour, through named views of this run's
+    own that are dropped at the end."""
+    raw, made = (f"orders_{name}_{uuid.uuid4().hex[:12]}" for name in ("raw", "transformed"))
+    try:
+        source.createOrReplaceTempView(raw)
+        transform_sql(spark.table(raw)).createOrReplaceTempView(made)
+        return _run(spark, spark.sql(f"SELECT * FROM {made}"), output_path, min_rows, overwrite_mode, placement,
+                    lambda out: {
+                        "status_distribution": reports.status_distribution(out),
+                        "tier_breakdown": reports.tier_breakdown(out),
+                        "category_performance": reports.category_performance(out),
+                    })
+    finally:
+        for view in (raw, made):
+            spark.catalog.dropTempView(view)
 
 
 # -- CLI -------------------------------------------------------------------------
@@ -171,29 +140,33 @@ def main(argv: list[str] | None = None) -> int:
     from ordwise.session import build_session
     spark = build_session(app_name=f"ordwise-extract-{args.flavour}")
     if args.parquet:
-        source, stage = spark.read.parquet(args.parquet), False
+        source = spark.read.parquet(args.parquet)
     else:
         with open(args.properties_file) as fh:
             props = json.load(fh)
-        source, plan = jdbc.planned_scan(spark, args.jdbc_url, args.table, args.key, props, args.max_connections,
-                                         split=args.split)
-        print(f"JDBC read: {plan.partitions} key ranges, starts {[r[1] for r in plan.ranges()]}")
-        stage = True
+        source, n = jdbc.planned_scan(spark, args.jdbc_url, args.table, args.key, props, args.max_connections,
+                                      split=args.split)
+        print(f"JDBC read: {n} key ranges")
+    missing = [c for c in model.ORDER_COLUMN_NAMES if c not in source.columns]
+    if missing:
+        print(f"source lacks columns: {', '.join(missing)}", file=sys.stderr)
+        return 2
     run = run_extract_df if args.flavour == "df" else run_extract_sql
     mode = args.overwrite_mode or ("dynamic" if args.flavour == "df" else "static")
     try:
-        result = run(spark, source, args.output_path, min_rows=args.min_rows, overwrite_mode=mode, stage=stage,
+        result = run(spark, source, args.output_path, min_rows=args.min_rows, overwrite_mode=mode,
                      placement=placement)
     except quality.QualityGateError as e:
         print(f"QC FAIL: {e}", file=sys.stderr)
         return 1
-    out = result.output(spark)
+    out = result.written(spark)
     out.printSchema()
-    print(f"rows written: {out.count()}")
+    print(f"rows written: {result.rows}")
     reports.head_rows(out, k=5).show(truncate=False)
     for name, df in result.reports.items():
         print(name)
         df.show(truncate=False)
+    result.close(spark)
     return 0
 
 

@@ -38,16 +38,18 @@ def _sql_flavour(spark, sf_dir):
 # -- sources -------------------------------------------------------------------
 
 def q_jdbc_plan_partitions(spark, sf_dir):
-    """Range plan for a JDBC read of this table on order_id, and rows per range."""
-    orders = _orders(spark, sf_dir)
-    plan = partitions.plan_from_stats(*partitions.key_stats(orders, "order_id"))
-    return partitions.range_balance(orders, "order_id", plan)
+    """Bounds and number of ranges of a JDBC read of this table split on order_id."""
+    return partitions.read_plan(_orders(spark, sf_dir), "order_id")
 
 
 def q_schema_profile(spark, sf_dir):
     return reports.schema_profile(_orders(spark, sf_dir))
 
 
+def q_column_profile(spark, sf_dir):
+    return reports.column_profile(_orders(spark, sf_dir, corrupted=True))
+
+
 def q_synth_orders(spark, sf_dir):
     """One synthetic order per key of the orders table (ids 1..n)."""
     keys = fixture.read_orders(spark, sf_dir).select((F.col("o_orderkey") + 1).alias("order_id"))
@@ -63,16 +65,17 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 
 def q_parquet_dynamic_overwrite(spark, sf_dir):
-    """Write all statuses, then rewrite two of them with dynamic overwrite.
+    """Write all statuses, then two of them with their item counts raised by 100.
 
-    Dynamic mode keeps the four untouched status directories, so the result is
-    the whole table once (static mode would leave only the two rewritten ones).
+    Dynamic mode replaces those two directories and keeps the other four
+    (static mode would leave only the two; a lost write would leave old counts).
     """
     path = new_output_path(spark, "parquet_dynamic_overwrite")
     full = _df_flavour(spark, sf_dir)
     parquet.write_partitioned(full, path)
-    parquet.write_partitioned(full.filter(F.col("order_status").isin("pending", "refunded")), path,
-                              overwrite_mode="dynamic")
+    changed = full.filter(F.col("order_status").isin("pending", "refunded")).withColumn(
+        "item_count", F.col("item_count") + 100)
+    parquet.write_partitioned(changed, path, overwrite_mode="dynamic")
     return parquet.read_dataset(spark, path)
 
 
@@ -215,6 +218,7 @@ def q_extract_sql(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jdbc_plan_partitions": q_jdbc_plan_partitions,
     "schema_profile": q_schema_profile,
+    "column_profile": q_column_profile,
     "synth_orders": q_synth_orders,
     "parquet_roundtrip": q_parquet_roundtrip,
     "parquet_dynamic_overwrite": q_parquet_dynamic_overwrite,

@@ -9,11 +9,11 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Applied on a cluster only, and only where the cluster did not set them:
-# let AQE size post-shuffle partitions (and so written files) by bytes rather
+# Applied everywhere, and only where the application did not set them: let AQE
+# size post-shuffle partitions (and so written files) by bytes rather
 # than by the cluster's parallelism, which on 1000 executors would cut a
 # rebalanced write into many small files.
-CLUSTER_SQL_DEFAULTS = {
+SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
@@ -48,8 +48,7 @@ def build_session(master: str | None = None, app_name: str = "ordwise",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not _is_local(spark):
-        set_if_unset(spark, CLUSTER_SQL_DEFAULTS)
+    set_if_unset(spark, SQL_DEFAULTS)
     return spark
 
 

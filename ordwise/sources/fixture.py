@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from ordwise import model
 from ordwise.functions.hashing import draw_stages
 from ordwise.functions.picks import DUCKDB, SPARK, Dialect, cumulative, nest_selects, render_select
-from ordwise.sources.parquet import spread_small_scan
 
 # Salt and modulus of each draw.
 DRAWS = {
@@ -32,9 +31,18 @@ IP_COUNTRY = "AU"
 CUSTOMER_PREFIX = "00000000-0000-4000-8000-"
 ADDRESS_SUFFIX = " Example St"
 
-# Corruption keys of the check-operator variant: key % m == 0 breaks one rule.
-BAD_TOTAL_MOD, NULL_STATUS_MOD, BAD_RATING_MOD, NULL_ADDRESS_MOD, DUP_ID_MOD = 97, 101, 103, 107, 109
-BAD_RATING = "9.9"
+# Corruption of the check-operator variant: the rows whose key leaves remainder 0
+# by a modulus break one rule. Every rule of operators/quality.py is broken.
+NULL_MODS = {"customer_id": 127, "order_status": 101, "order_total": 131, "item_count": 137,
+             "product_category": 139, "created_at": 149, "is_loyalty_member": 151}
+NULL_ID_MOD, DUP_ID_MOD = 113, 109
+NEGATIVE_TOTAL_MOD, WIDE_TOTAL_MOD, ZERO_ITEMS_MOD = 97, 157, 163
+BAD_RATING_MOD, WIDE_RATING_MOD = 103, 167
+LONG_TEXT_MODS = {"customer_id": (173, 40), "order_status": (179, 25), "product_category": (181, 60)}
+UNKNOWN_STATUS_MOD, LATE_MOD, STRAY_DELIVERY_MOD, NO_DELIVERY_MOD = 191, 83, 79, 73
+NULL_ADDRESS_MOD, STRAY_ADDRESS_MOD = 107, 71
+BAD_RATING, WIDE_RATING, WIDE_TOTAL = "9.9", "1234.5", "99999999999.99"
+WIDE_TOTAL_TYPE, WIDE_RATING_TYPE = "DECIMAL(16,2)", "DECIMAL(6,1)"
 
 STATUS_BOUNDS = cumulative(model.ORDER_STATUS_WEIGHTS)   # pending<5, ... refunded<100
 RATING_BOUNDS = cumulative(model.RATING_WEIGHTS)         # 1.0<2, ... 5.0<100
@@ -91,18 +99,37 @@ def _stage2() -> list[str]:
     ]
 
 
-def _corrupt() -> list[str]:
-    """Rule breakers keyed on order_id - 1; every row is kept, values change in place."""
-    k = "(order_id - 1)"
+def _corrupt(d: Dialect) -> list[str]:
+    """Rule breakers keyed on order_id - 1; every row is kept, values change in
+    place, and the decimals are wider than declared so that they can overflow."""
+    hit = lambda m: f"(order_id - 1) % {m} = 0 AND order_id > 1"
+
+    def broken(col: str, *cases: tuple[int, str], value: str | None = None) -> str:
+        whens = [(NULL_MODS[col], "NULL")] if col in NULL_MODS else []
+        if col in LONG_TEXT_MODS:
+            m, n = LONG_TEXT_MODS[col]
+            whens.append((m, f"rpad({col}, {n}, 'x')"))
+        text = " ".join(f"WHEN {hit(m)} THEN {v}" for m, v in [*whens, *cases])
+        return f"CASE {text} ELSE {value or col} END AS {col}"
+
     return [
-        f"CASE WHEN {k} % {DUP_ID_MOD} = 0 AND {k} > 0 THEN order_id - 1 ELSE order_id END AS order_id",
-        "customer_id",
-        f"CASE WHEN {k} % {NULL_STATUS_MOD} = 0 THEN NULL ELSE order_status END AS order_status",
-        f"CASE WHEN {k} % {BAD_TOTAL_MOD} = 0 THEN -order_total ELSE order_total END AS order_total",
-        "item_count", "product_category", "created_at", "delivery_date", "is_loyalty_member",
-        f"CASE WHEN {k} % {BAD_RATING_MOD} = 0 THEN CAST({BAD_RATING} AS DECIMAL(3,1)) ELSE rating END AS rating",
+        broken("order_id", (NULL_ID_MOD, "NULL"), (DUP_ID_MOD, "order_id - 1")),
+        broken("customer_id"),
+        broken("order_status", (UNKNOWN_STATUS_MOD, "'unknown'")),
+        broken("order_total", (NEGATIVE_TOTAL_MOD, f"CAST(-order_total AS {WIDE_TOTAL_TYPE})"),
+               (WIDE_TOTAL_MOD, f"CAST({WIDE_TOTAL} AS {WIDE_TOTAL_TYPE})"),
+               value=f"CAST(order_total AS {WIDE_TOTAL_TYPE})"),
+        broken("item_count", (ZERO_ITEMS_MOD, "0")),
+        broken("product_category"),
+        broken("created_at"),
+        broken("delivery_date", (LATE_MOD, d.date_plus("delivery_date", "60")), (NO_DELIVERY_MOD, "NULL"),
+               (STRAY_DELIVERY_MOD, "CAST(created_at AS DATE)")),
+        broken("is_loyalty_member"),
+        broken("rating", (BAD_RATING_MOD, f"CAST({BAD_RATING} AS {WIDE_RATING_TYPE})"),
+               (WIDE_RATING_MOD, f"CAST({WIDE_RATING} AS {WIDE_RATING_TYPE})"),
+               value=f"CAST(rating AS {WIDE_RATING_TYPE})"),
         "metadata",
-        f"CASE WHEN {k} % {NULL_ADDRESS_MOD} = 0 THEN NULL ELSE shipping_address END AS shipping_address",
+        broken("shipping_address", (NULL_ADDRESS_MOD, "NULL"), (STRAY_ADDRESS_MOD, f"'0{ADDRESS_SUFFIX}'")),
     ]
 
 
@@ -115,7 +142,7 @@ def adapt_orders(orders: DataFrame) -> DataFrame:
 
 def corrupt_orders(adapted: DataFrame) -> DataFrame:
     """Variant of the adapter with rule breakers, for the check operators."""
-    return adapted.selectExpr(*_corrupt())
+    return adapted.selectExpr(*_corrupt(SPARK))
 
 
 def as_model(adapted: DataFrame) -> DataFrame:
@@ -125,31 +152,19 @@ def as_model(adapted: DataFrame) -> DataFrame:
 
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's orders table, only the columns the adapter needs."""
-    return spread_small_scan(spark.read.schema(SOURCE_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/orders.parquet"),
-                             key="o_orderkey")
-
-
-_PLANS: dict[tuple, DataFrame] = {}
+    return spark.read.schema(SOURCE_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
 
 
 def load_orders(spark: SparkSession, sf_dir: str, corrupted: bool = False) -> DataFrame:
-    """The adapted (optionally corrupted) orders of ``sf_dir``.
-
-    A DataFrame is an immutable, already analysed plan, so it is built once per
-    session and input and shared by every query over it (like a source view);
-    nothing is cached in memory and every query still reads the files.
-    """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), corrupted)
-    if key not in _PLANS:
-        df = adapt_orders(read_orders(spark, sf_dir))
-        _PLANS[key] = corrupt_orders(df) if corrupted else df
-    return _PLANS[key]
+    """The adapted (optionally corrupted) orders of ``sf_dir``, listed anew on every call."""
+    df = adapt_orders(read_orders(spark, sf_dir))
+    return corrupt_orders(df) if corrupted else df
 
 
 # -- the same fixture as DuckDB text, for the oracle ---------------------------
 
 ADAPTER_SQL = nest_selects(_stages(DUCKDB), "orders")
-CORRUPTED_SQL = render_select(_corrupt(), f"({ADAPTER_SQL}) AS c")
+CORRUPTED_SQL = render_select(_corrupt(DUCKDB), f"({ADAPTER_SQL}) AS c")
 
 
 def with_orders_cte(body: str, corrupted: bool = False) -> str:

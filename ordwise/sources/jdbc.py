@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordwise import model
-from ordwise.sources.partitions import RangePlan, num_partitions_for, plan_from_cuts, plan_from_stats
+from ordwise.sources.partitions import num_partitions_for, quantile_predicates
 
 
 def connection_properties(user: str, password: str, driver: str = "org.postgresql.Driver", *,
@@ -69,52 +69,58 @@ def quantile_cuts(spark: SparkSession, url: str, table: str, column: str, partit
                   properties: dict) -> list:
     """Key values at the 1/n .. (n-1)/n quantiles, computed by the database.
 
-    One ordered-set aggregate query (PostgreSQL ``percentile_disc``); one row
-    with ``n - 1`` values comes back.
+    One ordered-set aggregate over an array of fractions (PostgreSQL
+    ``percentile_disc``), so the key is sorted once.
     """
-    cols = ", ".join(f"percentile_disc({i / partitions:.9f}) WITHIN GROUP (ORDER BY {column}) AS q{i}"
-                     for i in range(1, partitions))
-    r = query_scan(spark, url, f"SELECT {cols} FROM {table}", properties).first()
-    return [r[f"q{i}"] for i in range(1, partitions)]
+    at = ", ".join(f"{i / partitions:.9f}" for i in range(1, partitions))
+    query = f"SELECT percentile_disc(ARRAY[{at}]) WITHIN GROUP (ORDER BY {column}) AS q FROM {table}"
+    return list(query_scan(spark, url, query, properties).first()["q"] or [])
 
 
 def planned_scan(spark: SparkSession, url: str, table: str, column: str, properties: dict,
                  max_connections: int = model.JDBC_MAX_PARTITIONS,
-                 split: str = "width") -> tuple[DataFrame, RangePlan]:
-    """Count -> plan -> one range query per partition, over the real MIN/MAX.
-
-    ``split="width"`` cuts the key span into equal widths (right for dense
-    keys, as the surveyed table has); ``split="quantile"`` cuts at key
-    quantiles computed by the database, so sparse or clustered keys still
-    give every connection about ``rows / n`` rows. The ranges go to Spark as
-    explicit ``predicates``, so each partition reads exactly its planned
-    range (see :mod:`ordwise.sources.partitions`).
+                 split: str = "width") -> tuple[DataFrame, int]:
+    """Count -> plan -> one range query per partition; returns the frame and its
+    number of ranges.
+
+    ``split="width"`` lets Spark cut the real key span into equal widths (right
+    for dense keys, as the surveyed table has); ``split="quantile"`` cuts at key
+    quantiles computed by the database, so sparse or clustered keys still give
+    every connection about ``rows / n`` rows.
     """
     if split not in ("width", "quantile"):
         raise ValueError("split must be 'width' or 'quantile'")
     rows, lo, hi = source_stats(spark, url, table, column, properties)
-    n = num_partitions_for(rows, max_connections) if rows else 1
-    if split == "quantile" and rows and n > 1:
-        plan = plan_from_cuts(int(lo), quantile_cuts(spark, url, table, column, n, properties))
-    else:
-        plan = plan_from_stats(rows, lo, hi, max_connections)
-    if plan.partitions <= 1:
-        return scan(spark, url, table, properties), plan
-    return predicate_scan(spark, url, table, plan.predicates(column), properties), plan
+    n = num_partitions_for(rows, max_connections) if rows and lo is not None else 1
+    if n <= 1:
+        return scan(spark, url, table, properties), 1
+    if split == "quantile":
+        clauses = quantile_predicates(column, int(lo), quantile_cuts(spark, url, table, column, n, properties))
+        return predicate_scan(spark, url, table, clauses, properties), len(clauses)
+    return partitioned_scan(spark, url, table, column, int(lo), int(hi) + 1, n, properties), n
+
+
+def load_options(url: str, properties: dict, batch_size: int, column_types: str | None) -> dict[str, str]:
+    """Write options of a load. PostgreSQL gets ``stringtype=unspecified``: its
+    server then casts strings to the target's type, such as JSONB."""
+    out = {**properties, "truncate": "true", "batchsize": str(batch_size)}
+    if url.startswith("jdbc:postgresql:"):
+        out.setdefault("stringtype", "unspecified")
+    if column_types:
+        out["createTableColumnTypes"] = column_types
+    return out
 
 
-def truncate_load(df: DataFrame, url: str, table: str, properties: dict, *, batch_size: int = 100,
+def truncate_load(df: DataFrame, url: str, table: str, properties: dict, *, batch_size: int = 5000,
                   max_connections: int = model.JDBC_MAX_PARTITIONS,
                   column_types: str | None = model.JDBC_COLUMN_TYPES) -> None:
     """Replace the table's rows (B4): TRUNCATE when the table exists, else create it.
 
-    Spark commits per writing task, so a failed load can leave part of the rows;
-    load into a staging table and swap it in the database when that matters.
+    The rows are dealt to ``max_connections`` writers by a shuffle of their own;
+    the ``numPartitions`` write option would coalesce instead and pull
+    everything upstream into as few tasks. Spark commits per writing task, so a
+    failed load can leave part of the rows; load into a staging table and swap it
+    in the database when that matters.
     """
-    w = (df.write.mode("overwrite")
-         .option("truncate", "true")
-         .option("batchsize", str(batch_size))
-         .option("numPartitions", str(max_connections)))
-    if column_types:
-        w = w.option("createTableColumnTypes", column_types)
-    w.jdbc(url=url, table=table, properties=properties)
+    (df.repartition(max_connections).write.mode("overwrite")
+     .options(**load_options(url, properties, batch_size, column_types)).jdbc(url=url, table=table))

@@ -70,25 +70,3 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Read a written dataset; the partition column comes back last, from the path."""
     return spark.read.parquet(path)
 
-
-def spread_small_scan(df: DataFrame, key: str, slots: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than there are task slots.
-
-    A small file written as one row group is read by a single task, so every
-    CPU-heavy narrow step after it runs on one core. Below the slot count the
-    rows are hashed on ``key`` over all slots (one small shuffle). A large
-    input already has more splits than slots and is returned untouched, so at
-    scale this adds no exchange.
-
-    ``key`` should be the source's primary key: it keeps column pruning intact
-    (only the key and the columns a query needs cross the exchange), and
-    placement is a pure function of the row, so a retried task gets the same
-    rows. Round-robin would have to sort every partition first to be
-    retry-safe (measured 1.6x slower here). Should the key be skewed after
-    all, its hot value lands in one task, which is no worse than the
-    single-task scan this replaces.
-    """
-    slots = slots or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, df[key])

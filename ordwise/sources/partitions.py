@@ -1,131 +1,39 @@
-"""JDBC read planning (A3): how many connections, and which key range each reads.
+"""JDBC read planning (A3): how many connections a read opens, and the WHERE
+clauses of a read that is cut at key quantiles.
 
-The plan is ours, stated as data: the key's real ``[min, max]`` is cut into
-``n`` contiguous ranges whose widths differ by at most one, and each range
-becomes one ``WHERE`` clause handed to ``spark.read.jdbc(predicates=...)``,
-which reads one partition per clause. So the plan is exactly what Spark
-reads, and :func:`range_balance` can count the rows each range holds before
-any connection is opened. The first range also takes null keys and the
-ranges at both ends are open, so a row inserted outside the planned
-``[min, max]`` is still read once.
+An equal-width split is Spark's own (``column``, ``lowerBound``, ``upperBound``,
+``numPartitions``) over the key's real bounds. Spark has no quantile split, so
+sparse or clustered keys get explicit predicates, one partition each: the first
+range also takes null keys and both ends are open, so every row is read once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordwise import model
 
 
 def num_partitions_for(rows: int, max_connections: int = model.JDBC_MAX_PARTITIONS) -> int:
-    """max(4, min(20, rows // 100)), never above the connection cap."""
-    n = max(model.JDBC_MIN_PARTITIONS, min(model.JDBC_MAX_PARTITIONS, rows // model.JDBC_ROWS_PER_PARTITION))
-    return max(1, min(n, max_connections))
-
-
-@dataclass(frozen=True)
-class RangePlan:
-    lower: int                 # smallest planned key
-    bounds: tuple[int, ...]    # ascending starts of ranges 1 .. n-1
-
-    @property
-    def partitions(self) -> int:
-        return len(self.bounds) + 1
-
-    def ranges(self) -> list[tuple[int, int | None, int | None]]:
-        """(part, lower, upper) per range, upper exclusive; None = open end."""
-        starts = (None, *self.bounds)
-        ends = (*self.bounds, None)
-        return [(i, lo, hi) for i, (lo, hi) in enumerate(zip(starts, ends))]
-
-    def predicates(self, column: str) -> list[str]:
-        """One WHERE clause per range, for ``spark.read.jdbc(predicates=...)``."""
-        out = []
-        for i, lo, hi in self.ranges():
-            conds = ([f"{column} >= {lo}"] if lo is not None else []) + ([f"{column} < {hi}"] if hi is not None else [])
-            clause = " AND ".join(conds) or "1 = 1"
-            out.append(f"{clause} OR {column} IS NULL" if i == 0 and conds else clause)
-        return out
-
-    def part_of(self, column: str) -> Column:
-        """Range index of each key value (null keys: range 0).
-
-        A CASE over at most the connection cap of bounds, compiled into the
-        generated code like any other expression.
-        """
-        if not self.bounds:
-            return F.lit(0)
-        k = F.col(column)
-        idx = F.when(k.isNull(), F.lit(0))
-        for i, b in enumerate(self.bounds):
-            idx = idx.when(k < F.lit(b), F.lit(i))
-        return idx.otherwise(F.lit(len(self.bounds))).cast("int")
-
-
-def range_plan(lower: int, upper: int, partitions: int) -> RangePlan:
-    """Cut the keys ``lower..upper`` (both inclusive) into at most ``partitions``
-    ranges whose widths differ by at most one.
-
-    Never more ranges than keys in the span, so none is empty by construction.
-    """
-    if lower > upper:
-        raise ValueError("lower bound must not exceed upper bound")
-    span = upper - lower + 1
-    n = max(1, min(partitions, span))
-    width, extra = divmod(span, n)
-    return RangePlan(lower, tuple(lower + i * width + min(i, extra) for i in range(1, n)))
+    """rows // 100, at least 4, at most the caller's connections (20 unless given)."""
+    return max(1, min(max_connections, max(model.JDBC_MIN_PARTITIONS, rows // model.JDBC_ROWS_PER_PARTITION)))
 
 
-def plan_from_cuts(lower: int, cuts: list[int | None]) -> RangePlan:
-    """Plan from cut points such as key quantiles: range i starts at cut i.
-
-    Repeated cuts (a key value that fills several quantiles) collapse into
-    one boundary, so no range is empty by construction.
-    """
+def quantile_predicates(column: str, lower: int, cuts: list[int | None]) -> list[str]:
+    """One WHERE clause per range between the distinct cuts above ``lower``."""
     bounds = sorted({int(c) for c in cuts if c is not None and int(c) > lower})
-    return RangePlan(lower, tuple(bounds))
-
-
-def range_balance(df: DataFrame, column: str, plan: RangePlan) -> DataFrame:
-    """(part, lower, upper, rows) per range: how evenly the plan splits ``df``.
-
-    One aggregate pass (a counter per range, at most the connection cap of
-    them); ``stack`` spreads the single result row into one row per range,
-    so empty ranges show 0. The range index is projected once per row before
-    the aggregate, so the counters share it instead of each re-evaluating it.
-    """
-    ranges = plan.ranges()
-    parts = df.select(plan.part_of(column).alias("_part"))
-    counts = parts.agg(*[F.count_if(F.col("_part") == i).alias(f"_p{i}") for i, _, _ in ranges])
-    args = []
-    for i, lo, hi in ranges:
-        args += [F.lit(i), F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint"), F.col(f"_p{i}")]
-    return counts.select(F.stack(F.lit(len(ranges)), *args).alias("part", "lower", "upper", "rows"))
-
-
-def plan_from_stats(rows: int, min_key: int | None, max_key: int | None,
-                    max_connections: int = model.JDBC_MAX_PARTITIONS) -> RangePlan:
-    """Plan from the real key range and row count (not the surveyed job's 1 .. n + 1)."""
-    if not rows or min_key is None:
-        return RangePlan(0, ())
-    return range_plan(int(min_key), int(max_key), num_partitions_for(rows, max_connections))
-
-
-def key_stats(df: DataFrame, column: str) -> tuple[int, int | None, int | None]:
-    """(rows, min, max) of the key in one small aggregate."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    return int(r["n"]), r["lo"], r["hi"]
-
-
-def key_quantile_cuts(df: DataFrame, column: str, partitions: int, accuracy: int = 10000) -> list:
-    """Cut points at the 1/n .. (n-1)/n key quantiles of a frame, from one
-    distributed sketch aggregate (``percentile_approx``): the Spark-side
-    counterpart of the database's ``percentile_disc``."""
-    if partitions <= 1:
-        return []
-    fracs = [i / partitions for i in range(1, partitions)]
-    r = df.agg(F.percentile_approx(column, fracs, accuracy).alias("q")).first()
-    return list(r["q"] or [])
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{column} < {bounds[0]} OR {column} IS NULL", *inner, f"{column} >= {bounds[-1]}"]
+
+
+def read_plan(df: DataFrame, column: str, max_connections: int = model.JDBC_MAX_PARTITIONS) -> DataFrame:
+    """(rows, lower, upper, partitions) of a read of ``df`` split on ``column``: one
+    aggregate, the upper bound exclusive."""
+    n = F.count(F.lit(1))
+    wanted = F.greatest(F.lit(model.JDBC_MIN_PARTITIONS), F.floor(n / model.JDBC_ROWS_PER_PARTITION))
+    return df.agg(
+        n.alias("rows"), F.min(column).cast("bigint").alias("lower"), (F.max(column).cast("bigint") + 1).alias("upper"),
+        F.least(F.lit(max_connections), wanted).cast("int").alias("partitions"))

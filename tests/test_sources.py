@@ -19,39 +19,63 @@ def test_partition_count_rule():
     assert partitions.num_partitions_for(5000, max_connections=8) == 8
 
 
-def test_range_plan_splits_evenly():
-    p = partitions.range_plan(1, 1000, 10)
-    assert p.partitions == 10
-    assert p.ranges()[0] == (0, None, 101) and p.ranges()[-1] == (9, 901, None)
-    assert partitions.range_plan(1, 3, 10).partitions == 3           # never more ranges than keys
-    assert partitions.range_plan(7, 7, 10).partitions == 1
-    p = partitions.range_plan(0, 22, 4)                               # 23 keys: widths 6, 6, 6, 5
-    assert [r[1] for r in p.ranges()] == [None, 6, 12, 18]
-    assert p.predicates("id") == ["id < 6 OR id IS NULL", "id >= 6 AND id < 12", "id >= 12 AND id < 18",
-                                  "id >= 18"]
-    assert partitions.range_plan(7, 7, 4).predicates("id") == ["1 = 1"]
-
-
-def test_range_balance_counts_every_key_once(spark):
-    ids = spark.range(1, 1001).withColumnRenamed("id", "order_id")
-    plan = partitions.range_plan(1, 500, 5)                         # plan narrower than the data
-    rows = [r.rows for r in partitions.range_balance(ids, "order_id", plan).orderBy("part").collect()]
-    assert rows == [100, 100, 100, 100, 600]                        # open last range keeps them all
-    plan = partitions.range_plan(0, 22, 4)
-    ids = spark.range(-3, 30).withColumnRenamed("id", "order_id")
-    got = {r.part: r.rows for r in partitions.range_balance(ids, "order_id", plan).collect()}
-    assert got == {0: 9, 1: 6, 2: 6, 3: 12}
-
-
-def test_range_balance_empty_and_nulls(spark):
-    empty = spark.range(0).withColumnRenamed("id", "order_id")
-    plan = partitions.plan_from_stats(*partitions.key_stats(empty, "order_id"))
-    assert plan.partitions == 1
-    assert partitions.range_balance(empty, "order_id", plan).collect()[0].rows == 0
-    with_null = spark.createDataFrame([(None,), (5,), (50,)], "order_id int")
-    plan = partitions.range_plan(1, 100, 4)
-    got = {r.part: r.rows for r in partitions.range_balance(with_null, "order_id", plan).collect()}
-    assert got == {0: 2, 1: 1, 2: 0, 3: 0}                         # nulls go to the first range
+def test_the_callers_connections_are_the_bound():
+    assert partitions.num_partitions_for(1_000_000) == 20
+    assert partitions.num_partitions_for(1_000_000, max_connections=64) == 64
+    assert partitions.num_partitions_for(500, max_connections=64) == 5
+
+
+def test_read_plan_is_one_aggregate(spark):
+    ids = spark.range(5, 1005).withColumnRenamed("id", "order_id")
+    assert tuple(partitions.read_plan(ids, "order_id").first()) == (1000, 5, 1005, 10)
+    assert tuple(partitions.read_plan(ids.where("order_id < 0"), "order_id").first()) == (0, None, None, 4)
+
+
+def test_quantile_predicates_cover_every_key_once():
+    assert partitions.quantile_predicates("id", 1, [5, 5, None, 9]) == [
+        "id < 5 OR id IS NULL", "id >= 5 AND id < 9", "id >= 9"]
+    assert partitions.quantile_predicates("id", 7, [7, None]) == ["1 = 1"]
+
+
+def test_load_options():
+    from ordwise.sources import jdbc
+    props = jdbc.connection_properties("u", "p")
+    got = jdbc.load_options("jdbc:postgresql://h/db", props, 5000, model.JDBC_COLUMN_TYPES)
+    assert got["stringtype"] == "unspecified" and got["truncate"] == "true" and got["batchsize"] == "5000"
+    assert "numPartitions" not in got and "sslmode" in got
+    assert "stringtype" not in jdbc.load_options("jdbc:mysql://h/db", props, 10, None)
+
+
+def test_width_split_is_sparks_own(spark, monkeypatch):
+    from ordwise.sources import jdbc
+    calls = []
+    monkeypatch.setattr(jdbc, "source_stats", lambda *a: (10_000, 3, 900))
+    monkeypatch.setattr(jdbc, "partitioned_scan", lambda *a: calls.append(a[3:7]))
+    assert jdbc.planned_scan(spark, "u", "t", "k", {}, 64)[1] == 64
+    assert calls == [("k", 3, 901, 64)]
+
+
+def test_appended_files_are_seen(spark, tmp_path):
+    from ordwise.operators import reports
+    rows = spark.read.schema(fixture.SOURCE_SCHEMA).parquet(f"{SF_SMALL}/orders.parquet")
+    path = str(tmp_path / "orders.parquet")
+    rows.limit(1000).write.parquet(path)
+    assert reports.row_count(load_orders(spark, str(tmp_path))).first()[0] == 1000
+    rows.limit(500).write.mode("append").parquet(path)
+    assert reports.row_count(load_orders(spark, str(tmp_path))).first()[0] == 1500
+
+
+def test_hot_status_splits_into_files(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    path = new_output_path(spark, "t-hot")
+    try:
+        spark.conf.set(key, "512k")
+        big = synth.synth_orders(spark, 60_000, num_partitions=8)
+        parquet.write_partitioned(big, path)
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{path}/order_status=delivered/*.parquet")) > 1
 
 
 def test_parquet_layout_and_overwrite_modes(spark):
@@ -123,29 +147,10 @@ def test_placement_choices(spark):
         parquet.write_partitioned(df, new_output_path(spark, "t-place-bad"), placement="everywhere")
 
 
-def test_quantile_plan_balances_sparse_keys(spark):
-    # 900 dense keys, then 100 keys scattered over a span 10,000x wider
-    dense = spark.range(1, 901)
-    sparse = spark.range(0, 100).selectExpr("1000000 + id * 100000 AS id")
-    ids = dense.unionByName(sparse).withColumnRenamed("id", "order_id")
-    rows, lo, hi = partitions.key_stats(ids, "order_id")
-    width = partitions.plan_from_stats(rows, lo, hi)
-    counts = [r.rows for r in partitions.range_balance(ids, "order_id", width).collect()]
-    assert max(counts) >= 900                                      # equal widths: one range reads nearly all
-    cuts = partitions.key_quantile_cuts(ids, "order_id", width.partitions)
-    quant = partitions.plan_from_cuts(lo, cuts)
-    counts = [r.rows for r in partitions.range_balance(ids, "order_id", quant).collect()]
-    assert sum(counts) == 1000 and max(counts) <= 2 * 1000 / quant.partitions
-    preds = quant.predicates("order_id")
-    assert len(preds) == quant.partitions and preds[0].endswith("OR order_id IS NULL")
-    # a key value filling several quantiles collapses into one boundary
-    assert partitions.plan_from_cuts(1, [5, 5, 5, 9]).bounds == (5, 9)
-
-
 def test_adapter_rows_do_not_depend_on_partitioning(spark):
     raw = spark.read.schema(fixture.SOURCE_SCHEMA).parquet(f"{SF_SMALL}/orders.parquet")
     one = fixture.adapt_orders(raw.coalesce(1))
-    many = fixture.adapt_orders(parquet.spread_small_scan(raw, "o_orderkey", slots=8))
+    many = fixture.adapt_orders(raw.repartition(8, "o_orderkey"))
     assert many.rdd.getNumPartitions() == 8
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
@@ -162,26 +167,3 @@ def test_cluster_defaults_respect_given_settings(spark):
         spark.conf.set(key, before)
 
 
-def test_range_plan_properties():
-    from hypothesis import given, settings
-    from hypothesis import strategies as st
-
-    @settings(max_examples=300, deadline=None)
-    @given(st.integers(-10**6, 10**6), st.integers(0, 5000), st.integers(1, 20))
-    def check(lower, span, n):
-        plan = partitions.range_plan(lower, lower + span, n)
-        assert 1 <= plan.partitions <= min(n, span + 1)
-        ranges = plan.ranges()
-        assert [r[0] for r in ranges] == list(range(plan.partitions))
-        assert ranges[0][1] is None and ranges[-1][2] is None
-        assert all(a[2] == b[1] for a, b in zip(ranges, ranges[1:]))          # contiguous
-        starts = [lower] + list(plan.bounds) + [lower + span + 1]
-        widths = [b - a for a, b in zip(starts, starts[1:])]
-        assert min(widths) >= 1 and max(widths) - min(widths) <= 1             # balanced, none empty
-        preds = plan.predicates("k")
-        assert len(preds) == plan.partitions
-        for key in (lower - 1, lower, lower + span // 2, lower + span, lower + span + 1):
-            hits = [i for i, lo, hi in ranges if (lo is None or key >= lo) and (hi is None or key < hi)]
-            assert len(hits) == 1                                             # every key read exactly once
-
-    check()
