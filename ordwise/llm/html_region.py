@@ -1,8 +1,8 @@
 """Main-text extraction by maximum-scoring subsequence.
 
 A page is a sequence of word and tag tokens. A word scores positive, a tag
-negative, and a word inside boilerplate (menu, footer, advert, form, comment and
-so on) negative as well; one linear scan finds the contiguous region with the
+negative, and every token of boilerplate (menu, footer, advert, form, comment
+and so on) slightly negative; one linear scan finds the contiguous region with the
 highest sum. The weights are log-odds of each token kind inside and outside the
 content of labelled pages: pages that mark their content with an ``article`` or
 ``main`` element label themselves, and tokens are counted over all of them.
@@ -115,7 +115,9 @@ def count_tokens(pages: DataFrame) -> DataFrame:
 
 
 def weights(counts: list) -> dict[str, float]:
-    """Log-odds inside against outside; words at least 0.1, tags at most -0.05."""
+    """Log-odds inside against outside; words at least 0.1, tags at most -0.05.
+    Boilerplate is never part of the text, so its tokens only cost the least: an
+    advert within an article does not cut it in two."""
     total: Counter = Counter()
     each: Counter = Counter()
     for kind, inside, n in counts:
@@ -125,6 +127,7 @@ def weights(counts: list) -> dict[str, float]:
     for kind in {k for k, _ in each} | {WORD, CHROME_WORD, "other"}:
         odds = math.log((each[kind, True] + 0.5) / (total[True] + 1.0)) - math.log((each[kind, False] + 0.5) / (total[False] + 1.0))
         out[kind] = max(odds, 0.1) if kind == WORD else min(odds, -0.05)
+    out[CHROME_WORD] = -0.05
     return out
 
 
@@ -138,7 +141,7 @@ def extract(page: str | None, w: dict[str, float]) -> str:
         if kind == WORD:
             run += len(text.split()) * (w[CHROME_WORD] if chrome else w[WORD])
         else:
-            run += w.get(kind, w["other"])
+            run += w[CHROME_WORD] if chrome else w.get(kind, w["other"])
         if run <= 0:
             run, start = 0.0, k + 1
         elif run > best:

@@ -63,7 +63,8 @@ def resolve(records: DataFrame, span: int = SPAN) -> DataFrame:
     here = F.max(F.when(F.col("kind") == "response", F.struct("at", "record_id", "headers_json"))).over(inside)
     rows = rec.withColumn("headers_json", F.to_json("headers")).withColumn("here", here)
     asked = rows.where("kind = 'revisit'").join(carried, ["site", "cut"], "left")
-    found_id = F.coalesce("here.record_id", "carry.record_id")
+    placed = F.col("site").isNotNull() & F.col("at").isNotNull()
+    found_id = F.when(placed, F.coalesce("here.record_id", "carry.record_id"))
     found = F.coalesce(F.from_json("here.headers_json", "map<string,string>"), F.col("carry.headers"))
     asked = asked.withColumn("resolved_id", found_id).withColumn("full", found)
     mine, theirs = _tag("headers"), _tag("full")
