@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -38,7 +39,7 @@ from ordwise.llm.store import read, saved
 LIMIT = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_PIECES = 150_000, 400_000
 TRIPLES_OF = 48
 ROUNDS = 300
 
@@ -47,8 +48,29 @@ ROUNDS = 300
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]?)\\Z")
 
 
+class Recent:
+    """A bounded cache of two generations: a full one becomes the old one, and
+    what is asked for again moves on, so frequent keys stay."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class WordTokenizer:
-    """Token ids of white-space separated words, as bytes, with a bounded cache.
+    """Token ids of white-space separated words, as bytes, with bounded caches.
 
     The public tokenizer drops white space and never joins across it, so a
     text's ids are its words' ids end to end.
@@ -59,8 +81,7 @@ class WordTokenizer:
 
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Recent(CACHE_WORDS), Recent(CACHE_PIECES)
         self.byte_chars = self._byte_alphabet()
 
     @staticmethod
@@ -74,28 +95,36 @@ class WordTokenizer:
     def piece(self, s: str) -> bytes:
         got = self.pieces.get(s)
         if got is None:
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            mapped = "".join(self.byte_chars[b] for b in s.encode())
-            got = self.pieces[s] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            chars = self.byte_chars
+            mapped = s if s.isascii() else "".join([chars[b] for b in s.encode()])
+            got = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            self.pieces.put(s, got)
         return got
 
     def word(self, w: bytes) -> bytes:
-        s = w.decode("utf-8", "replace")
-        m = _PLAIN.match(s)
-        if m:
-            got = self.piece(m[1].lower()) + (self.piece(m[2]) if m[2] else b"")
-        else:
-            got = np.array(self.full.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        got = self.words.old.get(w)
+        if got is None:
+            s = w.decode("utf-8", "replace")
+            m = _PLAIN.match(s)
+            if m:
+                got = self.piece(m[1].lower()) + (self.piece(m[2]) if m[2] else b"")
+            else:
+                got = array("I", self.full.encode(s, add_special_tokens=False).ids).tobytes()
         if len(w) <= 64:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[w] = got
+            self.words.put(w, got)
         return got
 
     def text(self, data: bytes) -> bytes:
-        get, word = self.words.get, self.word
-        return b"".join([get(w) or word(w) for w in data.split()])
+        word, out = self.word, []
+        for part in _parts(data.split()):
+            get = self.words.young.get
+            out += [get(w) or word(w) for w in part]
+        return b"".join(out)
+
+
+def _parts(words: list[bytes], size: int = 4096) -> Iterator[list[bytes]]:
+    """Pieces of a long list, so that a text never holds on to a dropped generation."""
+    return (words[i: i + size] for i in range(0, len(words), size))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -116,7 +145,7 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, part = tokenizer(path), TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
-        end = np.array([END_ID], "<u4").tobytes()
+        end = array("I", [END_ID]).tobytes()
         for b in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
