@@ -15,12 +15,12 @@ for each language. Predictions read whole texts and nothing but the text.
 Edge cases: null text or text without a letter is ``und`` with score 0; a table
 without labelled rows predicts ``und`` for all; ties go to the smaller language
 code; repeated rows are learned and predicted as rows of their own; very long
-texts are scored in full, a word longer than 64 characters by its first 64.
+texts are scored in full; a word longer than 64 characters is not kept as a word
+and is scored by the n-grams of the whole of it.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -47,9 +47,9 @@ def words_of(text: str) -> list[str]:
     return _LETTERS.findall(text.lower())
 
 
-def grams_of(word: str, n: int) -> list[str]:
-    w = f"<{word[:MAX_WORD]}>" if n > 1 else word[:MAX_WORD]
-    return [w[i: i + n] for i in range(len(w) - n + 1)]
+def grams_of(word: str, n: int) -> Iterator[str]:
+    w = f"<{word}>" if n > 1 else word
+    return (w[i: i + n] for i in range(len(w) - n + 1))
 
 
 def counts(labelled: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def counts(labelled: DataFrame) -> DataFrame:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 words.setdefault(lang, Counter()).update(words_of(text.as_py() or ""))
             for lang, c in words.items():
-                out = [(0, w[:MAX_WORD], n) for w, n in c.items()]
+                out = [(0, w, n) for w, n in c.items() if len(w) <= MAX_WORD]
                 for k in ORDERS:
                     g: Counter = Counter()
                     for w, n in c.items():
@@ -88,32 +88,33 @@ def sample(labelled: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
 
 
 class Model:
-    """Log frequencies per language; plain data, bounded by the parameters above."""
-
-    def __init__(self, rows: list):
-        self.langs = sorted({r["lang"] for r in rows})
-        at = {x: i for i, x in enumerate(self.langs)}
-        total: Counter = Counter()
-        for r in rows:
-            total[r["kind"], r["lang"]] += r["n"]
-        self.tables: dict[int, dict[str, np.ndarray]] = {k: {} for k in (0, *ORDERS)}
-        self.floor = {k: [math.log(0.5 / (total[k, x] + 1.0)) for x in self.langs] for k in self.tables}
-        for r in rows:
-            t = self.tables[r["kind"]]
-            v = t.get(r["item"])
-            if v is None:
-                v = t[r["item"]] = np.array(self.floor[r["kind"]], dtype=np.float32)
-            v[at[r["lang"]]] = math.log(r["n"] / (total[r["kind"], r["lang"]] + 1.0))
+    """Log frequencies per language; plain data, bounded by the parameters above:
+    for each kind the items' row numbers and one matrix (items, languages)."""
+
+    def __init__(self, rows: pa.Table):
+        lang = rows.column("lang").to_numpy()
+        kind, item, n = (rows.column(c).to_numpy() for c in ("kind", "item", "n"))
+        self.langs = sorted(set(lang))
+        at = np.searchsorted(np.array(self.langs, object), lang) if self.langs else np.zeros(0, np.int64)
+        self.tables: dict[int, tuple[dict[str, int], np.ndarray]] = {}
+        for k in (0, *ORDERS):
+            mine = kind == k
+            total = np.bincount(at[mine], weights=n[mine], minlength=len(self.langs)) + 1.0
+            index: dict[str, int] = {}
+            rank = np.array([index.setdefault(x, len(index)) for x in item[mine]], np.int64)
+            logs = np.tile(np.log(0.5 / total).astype(np.float32), (len(index), 1))
+            logs[rank, at[mine]] = np.log(n[mine] / total[at[mine]])
+            self.tables[k] = index, logs
 
     def word(self, w: str) -> np.ndarray:
-        v = self.tables[0].get(w[:MAX_WORD])
-        if v is not None:
-            return v
+        index, logs = self.tables[0]
+        if len(w) <= MAX_WORD and (i := index.get(w)) is not None:
+            return logs[i]
         for k in ORDERS:
-            t = self.tables[k]
-            found = [t[g] for g in grams_of(w, k) if g in t]
+            index, logs = self.tables[k]
+            found = [i for g in grams_of(w, k) if (i := index.get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return logs[found].mean(axis=0)
         return np.zeros(len(self.langs), np.float32)
 
 
@@ -141,8 +142,11 @@ class Scorer:
         if not words:
             return "und", 0.0
         get = self.memo.get
-        ids = [i if (i := get(w)) is not None else self.index(w) for w in words]
+        ids = [i if (i := get(w)) is not None else self.index(w) for w in words if len(w) <= MAX_WORD]
         s = self.rows[ids].sum(axis=0)
+        for w in words:
+            if len(w) > MAX_WORD:  # not memoised: the memo's size is bounded by its number of words
+                s = s + self.model.word(w)
         s = np.exp(s - s.max())
         best = int(s.argmax())
         return self.model.langs[best], float(s[best] / s.sum())
@@ -153,7 +157,7 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_DOCS) -> Model:
     c = counts(sample(labelled, per_lang))
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
     top = F.when(F.col("kind") == 0, TOP_WORDS).otherwise(TOP_GRAMS)
-    return Model(c.withColumn("r", rank).where(F.col("r") <= top).select("lang", "kind", "item", "n").collect())
+    return Model(c.withColumn("r", rank).where(F.col("r") <= top).select("lang", "kind", "item", "n").toArrow())
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -219,6 +219,12 @@ def test_lang_id_edges(spark, docs):
     assert {r.lang_pred for r in lang_id.predict(d, empty).collect()} == {"und"}
 
 
+def test_lang_id_scores_the_whole_of_a_long_word(spark):
+    learn = spark.createDataFrame([(1, "x", "abab baba abba"), (2, "y", "cdcd dcdc cddc")], "doc_id long, lang string, text string")
+    asked = spark.createDataFrame([(3, False, "abab" * 16 + "cdcd" * 2000)], "doc_id long, held_out boolean, text string")
+    assert lang_id.predict(asked, lang_id.fit(learn)).first().lang_pred == "y"
+
+
 # -- 5 ----------------------------------------------------------------------------------
 
 def test_canonical_url(spark):
