@@ -200,7 +200,7 @@ def neighbours(forest: DataFrame) -> DataFrame:
 
 
 def similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, agree) of the pairs whose signatures agree in at least half of the
+    """(a, b, agree) of the pairs whose signatures agree in at least AGREE of the
     values, compared by the values' low bytes."""
     def low(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
