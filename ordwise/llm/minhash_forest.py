@@ -7,8 +7,9 @@ the first DEPTH values of an order are a region of that tree, sorted by the
 values that follow. In a region of up to ``SMALL`` documents all pairs are
 candidates, in a larger one each document and the ``NEAR`` next in the order,
 those with the longest common prefix. A region of more than ``REGION`` documents
-is read at twice the depth, again and again, so that dense regions split instead
-of meeting in one task. Candidates grow in proportion to the documents.
+is read at twice the depth, again and again up to ``MAX_DEPTH``; one that is still
+larger is cut into ranges of its order, and neighbours across a cut are compared,
+so no region meets in one task. Candidates grow in proportion to the documents.
 
 Candidates whose signatures agree in less than 0.6 of the values are dropped (a
 pair at the threshold is four standard deviations away), the others are
@@ -168,9 +169,9 @@ def entries(reps: DataFrame, depth: int) -> DataFrame:
 
 
 def regions(reps: DataFrame) -> DataFrame:
-    """Entries of regions with two members or more; ``n`` is the region's size,
-    at most REGION except at MAX_DEPTH, where a region is cut by the id's hash
-    into parts of about REGION, ``part`` (its whole stays one region of key)."""
+    """Entries of regions with two members or more; ``n`` is the region's size.
+    The entries of a region of more than REGION are read at twice the depth too,
+    down to MAX_DEPTH."""
     depth, rows, out = DEPTH, entries(reps, DEPTH), None
     while True:
         rows = saved(rows, f"forest-{depth}")
@@ -178,8 +179,6 @@ def regions(reps: DataFrame) -> DataFrame:
         rows = saved(rows.join(sizes, "key"), f"forest-sized-{depth}")
         last = depth >= MAX_DEPTH
         done = rows if last else rows.where(F.col("n") <= REGION)
-        done = done.withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / REGION)).cast("long")
-                               if last else F.lit(0).cast("long"))
         out = done if out is None else out.unionByName(done)
         dense = rows.where(F.col("n") > REGION).select("id", "tree")
         if last or not dense.limit(1).count():
@@ -188,15 +187,78 @@ def regions(reps: DataFrame) -> DataFrame:
         rows = entries(dense.join(reps, "id"), depth)
 
 
+def _sorted_pairs(rows: DataFrame, near: int) -> DataFrame:
+    """(a, b) of members of different components, at most ``near`` apart in a
+    region's order once runs of one component are reduced to their two ends.
+
+    For regions of any size: all entries are sorted over ranges of the order and
+    each range is read once. A range also gives its first and last few ends,
+    and what meets across ranges is found among those."""
+    cols, border = ["key", "o1", "o2", "id", "comp"], near + 4
+
+    def pairs(x: np.ndarray, new: int) -> pa.RecordBatch:
+        a, b = [], []
+        for k in range(1, near + 1):
+            at = np.arange(max(new, k), len(x))
+            at = at[(x[at, 0] == x[at - k, 0]) & (x[at, 4] != x[at - k, 4])]
+            a.append(x[at, 3])
+            b.append(x[at - k, 3])
+        a, b = np.concatenate(a), np.concatenate(b)
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, pa.array(a), none, pa.array(b)], names=[*cols, "other"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = head = tail = np.zeros((0, 5), np.int64)  # x: the last row, whose successor is not known yet
+        starts, n = True, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.concatenate([x, np.column_stack([c.to_numpy() for c in b.columns])])
+            turn = (x[1:, 0] != x[:-1, 0]) | (x[1:, 4] != x[:-1, 4])
+            first = np.concatenate([[starts], turn])
+            ends = np.concatenate([tail, x[:-1][first[:-1] | turn]])
+            n += len(ends) - len(tail)
+            yield pairs(ends, len(tail))
+            head = np.concatenate([head, ends[len(tail):]])[:border]
+            x, tail, starts = x[-1:], ends[-border:], bool(first[-1])
+        if len(x):
+            ends = np.concatenate([tail, x])
+            yield pairs(ends, len(tail))
+            rim = np.concatenate([head, ends[-min(border, max(n + 1 - len(head), 1)):]])
+            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in rim.T], pa.nulls(len(rim), pa.int64())],
+                                             names=[*cols, "other"])
+
+    sorted_ = rows.select(*cols).repartitionByRange(*cols[:4]).sortWithinPartitions(*cols[:4])
+    found = saved(sorted_.mapInArrow(run, "key long, o1 long, o2 long, id long, comp long, other long"), "forest-sorted")
+    across = _run_pairs(found.where("other is null"), near)
+    inside = found.where("other is not null")
+    return inside.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).unionByName(across)
+
+
+def _run_pairs(rows: DataFrame, near: int) -> DataFrame:
+    """The same pairs by one window for each region."""
+    order = Window.partitionBy("key").orderBy("o1", "o2", "id")
+    ends = (rows.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
+            .where("before is null or after is null or comp <> before or comp <> after"))
+    others = F.array(*[F.lag(F.struct("id", "comp"), k).over(order) for k in range(1, near + 1)])
+    return (ends.withColumn("near", others).select("id", "comp", F.explode("near").alias("o"))
+            .where("o.id is not null and o.comp <> comp")
+            .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")))
+
+
 def neighbours(forest: DataFrame) -> DataFrame:
     """Distinct (a, b), a < b, of members close together in a region's order:
     all pairs of a region of up to SMALL members, else the NEAR next ones."""
-    order = Window.partitionBy("key", "part").orderBy("o1", "o2", "id")
+    order = Window.partitionBy("key").orderBy("o1", "o2", "id")
     near = F.array(*[F.lag("id", k).over(order) if k <= NEAR else
                      F.when(F.col("n") <= SMALL, F.lag("id", k).over(order)) for k in range(1, SMALL)])
-    pairs = forest.select("id", near.alias("near")).select("id", F.explode("near").alias("other")).where(
-        "other is not null and other <> id")
-    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    pairs = forest.where(F.col("n") <= REGION).select("id", near.alias("near")).select(
+        "id", F.explode("near").alias("other")).where("other is not null and other <> id")
+    pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    dense = forest.where(F.col("n") > REGION)
+    if dense.limit(1).count():
+        pairs = pairs.unionByName(_sorted_pairs(dense.withColumn("comp", F.col("id")), NEAR))
+    return pairs.distinct()
 
 
 def similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -256,12 +318,11 @@ def _run_ends(forest: DataFrame, comps: DataFrame) -> DataFrame:
     component follow each other only the two ends of the run stay, so the NEAR
     next members are of other components however long the runs are."""
     wide = forest.where(F.col("n") > SMALL).join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    order = Window.partitionBy("key", "part").orderBy("o1", "o2", "id")
-    ends = (wide.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
-            .where("before is null or after is null or comp <> before or comp <> after"))
-    near = F.array(*[F.lag(F.struct("id", "comp"), k).over(order) for k in range(1, NEAR + 2)])
-    return (ends.withColumn("near", near).select("id", "comp", F.explode("near").alias("o")).where("o.id is not null and o.comp <> comp")
-            .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct())
+    pairs = _run_pairs(wide.where(F.col("n") <= REGION), NEAR + 1)
+    dense = wide.where(F.col("n") > REGION)
+    if dense.limit(1).count():
+        pairs = pairs.unionByName(_sorted_pairs(dense, NEAR + 1))
+    return pairs.distinct()
 
 
 def link_classes(reps: DataFrame, docs: DataFrame) -> DataFrame:

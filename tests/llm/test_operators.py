@@ -530,6 +530,36 @@ def test_minhash_hot_group(spark, monkeypatch):
     assert got == _brute_groups(rows)
 
 
+def test_minhash_copies_edited_at_one_place(spark, monkeypatch):
+    """A region over REGION at the greatest depth is cut by its order, and the
+    members on both sides of a cut are compared."""
+    ship(spark)
+    monkeypatch.setattr(minhash_forest, "REGION", 40)
+    base = _words(60, 1000).split()
+    rows = [(7 * i + 3, " ".join([*base[:500], f"page{i}", *base[501:]])) for i in range(130)]
+    got = minhash_forest.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 130 and {r.component_id for r in got} == {3}
+
+
+def test_minhash_sorted_pairs_brute(spark):
+    """Ranges with carried borders against one scan, with runs longer than a range."""
+    ship(spark)
+    r = random.Random(12)
+    rows, comp = [], 0
+    for i in range(600):
+        comp = comp if r.random() < (0.98 if 200 < i < 400 else 0.3) else r.randrange(6)
+        rows.append((i // 450, i // 7, i % 7 // 3, i, comp))
+    df = spark.createDataFrame(rows, "key long, o1 long, o2 long, id long, comp long")
+    for near in (2, 3):
+        want = set()
+        for key in (0, 1):
+            x = [(i, c) for k, _, _, i, c in rows if k == key]
+            ends = [x[j] for j in range(len(x)) if j in (0, len(x) - 1) or not x[j - 1][1] == x[j][1] == x[j + 1][1]]
+            want |= {(a, b) for j, (b, c) in enumerate(ends) for a, d in ends[max(j - near, 0): j] if c != d}
+        got = {(p.a, p.b) for p in minhash_forest._sorted_pairs(df, near).collect()}
+        assert want <= got and len(got) < len(want) + 8 * 8 * near
+
+
 def test_components_chain_and_star(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(5, x) for x in range(6, 30)] + [(1, 1), (None, 2)]
     got = {r.id: r.comp for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
