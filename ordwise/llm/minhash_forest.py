@@ -7,9 +7,10 @@ the first DEPTH values of an order are a region of that tree, sorted by the
 values that follow. In a region of up to ``SMALL`` documents all pairs are
 candidates, in a larger one each document and the ``NEAR`` next in the order,
 those with the longest common prefix. A region of more than ``REGION`` documents
-is read at twice the depth, again and again up to ``MAX_DEPTH``; one that is still
-larger is cut into ranges of its order, and neighbours across a cut are compared,
-so no region meets in one task. Candidates grow in proportion to the documents.
+is also read at twice the depth, again and again up to ``MAX_DEPTH``, for longer
+prefixes; itself it is cut into ranges of its order, and neighbours across a cut
+are compared, so no region meets in one task and a member alone at the greater
+depth keeps its neighbours. Candidates grow in proportion to the documents.
 
 Candidates whose signatures agree in less than 0.6 of the values are dropped (a
 pair at the threshold is four standard deviations away), the others are
@@ -171,17 +172,16 @@ def entries(reps: DataFrame, depth: int) -> DataFrame:
 def regions(reps: DataFrame) -> DataFrame:
     """Entries of regions with two members or more; ``n`` is the region's size.
     The entries of a region of more than REGION are read at twice the depth too,
-    down to MAX_DEPTH."""
+    down to MAX_DEPTH; they also stay, so that a member alone at the greater depth
+    has its neighbours here."""
     depth, rows, out = DEPTH, entries(reps, DEPTH), None
     while True:
         rows = saved(rows, f"forest-{depth}")
         sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         rows = saved(rows.join(sizes, "key"), f"forest-sized-{depth}")
-        last = depth >= MAX_DEPTH
-        done = rows if last else rows.where(F.col("n") <= REGION)
-        out = done if out is None else out.unionByName(done)
+        out = rows if out is None else out.unionByName(rows)
         dense = rows.where(F.col("n") > REGION).select("id", "tree")
-        if last or not dense.limit(1).count():
+        if depth >= MAX_DEPTH or not dense.limit(1).count():
             return saved(out, "forest-regions")
         depth *= 2
         rows = entries(dense.join(reps, "id"), depth)

@@ -541,6 +541,16 @@ def test_minhash_copies_edited_at_one_place(spark, monkeypatch):
     assert len(got) == 130 and {r.component_id for r in got} == {3}
 
 
+def test_minhash_members_alone_at_greater_depth(spark, monkeypatch):
+    """A member of a dense region that shares no longer prefix keeps its neighbours there."""
+    ship(spark)
+    monkeypatch.setattr(minhash_forest, "REGION", 40)
+    base = _words(61, 100).split()
+    rows = [(5 * i + 2, " ".join([*base[:50], f"page{i}", *base[51:]])) for i in range(300)]
+    got = minhash_forest.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 300 and {r.component_id for r in got} == {2}
+
+
 def test_minhash_sorted_pairs_brute(spark):
     """Ranges with carried borders against one scan, with runs longer than a range."""
     ship(spark)
