@@ -11,9 +11,10 @@ its neighbourhood, and once inside widens over every neighbour within the
 ``EXPAND`` cosine until nothing new is found; all that reach the threshold in
 double precision are links.
 
-An audit compares the links of the vectors whose id is divisible by 100 (at most
-AUDIT of them) with brute force against all rows; below RECALL the index is
-built again with twice the overlap, at most twice.
+An audit compares the links of the vectors whose id is divisible by 100, in blocks
+of about AUDIT, with brute force against all rows; if the mean recall of those that
+have links is below RECALL the index is built again with twice the overlap, at most
+twice, and if it is still short the query fails.
 
 A shard of more than MEMBERS is cut into parts and every pair of parts is a task
 of its own, so a hot neighbourhood does not meet in one task. Centroids are at
@@ -215,11 +216,16 @@ def graph_links(reps: DataFrame, centres: dict[str, np.ndarray], overlap: int) -
 
 
 def audit(reps: DataFrame, links: DataFrame) -> float:
-    """Share of the audit vectors' true links that were found."""
+    """Mean over the audit vectors that have links of the share of them found."""
     queries = reps.where("vec_id % 100 = 0")
-    n = queries.count()
-    if n > AUDIT:
-        queries = queries.where(F.pmod("h2", F.lit(1 << 30)) < int(AUDIT / n * (1 << 30)))
+    blocks = -(-queries.count() // AUDIT)
+    parts = [_audit_block(reps, links, queries.where(F.pmod("h2", F.lit(blocks)) == k)) for k in range(blocks)]
+    n = sum(count for _, count in parts)
+    return sum(recall for recall, _ in parts) / n if n else 1.0
+
+
+def _audit_block(reps: DataFrame, links: DataFrame, queries: DataFrame) -> tuple[float, int]:
+    """Sum of the recall of the queries that have links, and their number."""
     asked: dict[str, list] = {}
     for r in queries.select("part", "vec_id", "v").collect():
         asked.setdefault(r["part"], []).append((r["vec_id"], r["v"]))
@@ -228,19 +234,21 @@ def audit(reps: DataFrame, links: DataFrame) -> float:
 
     def run(batches):
         for b in batches:
-            a, c = [], []
+            a, c, q = [], [], []
             for vec, part, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if part in shared.value:
                     ids, x = shared.value[part]
                     hit = ids[(x @ _unit(v.values.to_numpy()[None, :])[0] >= COSINE) & (ids != vec)]
                     a += [min(vec, int(h)) for h in hit]
                     c += [max(vec, int(h)) for h in hit]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
+                    q += hit.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, c, q)], names=["a", "b", "q"])
 
-    truth = reps.select("vec_id", "part", "v").mapInArrow(run, "a long, b long").distinct()
-    total, found = truth.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(
-        F.count("*"), F.count("hit")).first()
-    return found / total if total else 1.0
+    truth = reps.select("vec_id", "part", "v").mapInArrow(run, "a long, b long, q long")
+    each = truth.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("q").agg(
+        (F.count("hit") / F.count("*")).alias("recall"))
+    recall, n = each.agg(F.sum("recall"), F.count("*")).first()
+    return recall or 0.0, n
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -252,12 +260,14 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     reps = saved(good.join(classes, key).where("vec_id = rep").dropDuplicates(["rep"]).select(
         "vec_id", "part", "v", "h1", "h2"), "graph-reps")
     centres, overlap = fit_centroids(reps), OVERLAP
-    links = saved(graph_links(reps, centres, overlap), "graph-links")
-    for _ in range(ROUNDS):
-        if audit(reps, links) >= RECALL:
+    for _ in range(ROUNDS + 1):
+        links = saved(graph_links(reps, centres, overlap), "graph-links")
+        recall = audit(reps, links)
+        if recall >= RECALL:
             break
         overlap *= 2
-        links = saved(graph_links(reps, centres, overlap), "graph-links")
+    else:
+        raise RuntimeError(f"op7_vector_graph: audit recall {recall:.4f} is below {RECALL} after {ROUNDS} rebuilds")
     size = classes.select("rep", "size")
     ends = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(
         links.select(F.col("b").alias("rep"), F.col("a").alias("other")))

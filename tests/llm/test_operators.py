@@ -368,6 +368,25 @@ def test_vector_graph_recall(spark, monkeypatch):
     assert links <= truth and len(links) >= 0.99 * len(truth) > 0
 
 
+def test_vector_graph_audit(spark, monkeypatch):
+    """Recall is a mean over all audit vectors with links, and a short one after the last rebuild fails."""
+    ship(spark)
+    r = np.random.default_rng(5)
+    base = r.normal(size=(5, 32))
+    rows = [(i, (base[0] + 0.001 * r.normal(size=32)).tolist(), 1) for i in range(100, 141)]
+    for k in range(1, 5):
+        rows += [(100 * (k + 1) + j, (base[k] + 0.001 * r.normal(size=32)).tolist(), 1) for j in (0, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    reps = vector_graph.usable(df)
+    found = spark.createDataFrame([(100, i) for i in range(101, 141)] + [(200, 201)], "a long, b long")
+    for block in (2, 5000):
+        monkeypatch.setattr(vector_graph, "AUDIT", block)
+        assert vector_graph.audit(reps, found) == pytest.approx(2 / 5)
+    monkeypatch.setattr(vector_graph, "graph_links", lambda *_: found)
+    with pytest.raises(RuntimeError, match="recall"):
+        vector_graph.near_vectors(df)
+
+
 # -- 8 ----------------------------------------------------------------------------------
 
 def test_fit_budget_is_exact_where_lengths_allow():
