@@ -38,24 +38,43 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
          "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr",
          "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot",
          "th", "thead", "tr", "ul", "option"}
-# Words in class, id or role that name page furniture.
-FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|advertisement|adverts|banner|breadcrumb|breadcrumbs|comment|comments|cookie|"
-    r"cookies|consent|disqus|footer|header|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo|related|"
-    r"share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+# Words in class, id or role that name page furniture, unless the
+# word before says that the page has it or not.
+FURNITURE = {
+    "ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
+    "cookie", "cookies", "consent", "disqus", "footer", "header", "menu", "modal", "nav", "navbar", "navigation",
+    "newsletter", "notice", "popup", "promo", "related", "share", "sharing", "sidebar", "signup", "social", "sponsor",
+    "sponsored", "subscribe", "toolbar", "widget"}
+STATES = {"no", "has", "with", "without"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
                     r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
+_MAIN = re.compile(r"<main\b", re.I)
+
 WORD, CHROME_WORD = "word", "chrome word"
 
 
+def furniture(names: str, content: bool) -> bool:
+    """Whether a class, id or role names furniture; within content a header is a headline's."""
+    for name in names.lower().split():
+        before = ""
+        for word in re.split("[_-]", name):
+            if word in FURNITURE and before not in STATES and not (content and word == "header"):
+                return True
+            before = word
+    return False
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(kind, text, in content, in boilerplate): kind is WORD (a text run), a tag
     name, or a block break before it. Open elements are kept as a stack; an end
-    tag closes up to its element, an unmatched one closes nothing."""
+    tag closes up to its element, an unmatched one closes nothing. An open form or
+    element named as furniture that turns out to hold the main element, or on pages
+    without one the first article, is none."""
     stack: list[tuple[str, bool]] = []
+    holds = "main" if _MAIN.search(page) else "article"
     chrome = content = 0
     at, n = 0, len(page)
     while at < n:
@@ -71,7 +90,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             if name == "p" and stack and stack[-1][0] == "p":
                 stack.pop()
             bad = name in CHROME or (name == "header" and not content) or any(
-                FURNITURE.search(a or b or c) for a, b, c in _NAMED.findall(m[3])) and name not in ("html", "body", *CONTENT)
+                furniture(a or b or c, content > 0) for a, b, c in _NAMED.findall(m[3])) and name not in (
+                "html", "body", *CONTENT)
+            if name == holds:
+                holds = ""
+                for k, (outer, was) in enumerate(stack):
+                    if was and (outer == "form" or outer not in CHROME):
+                        stack[k] = outer, False
+                        chrome -= 1
             yield name, "", content > 0, chrome > 0 or bad
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)

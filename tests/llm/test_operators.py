@@ -187,6 +187,21 @@ def test_html_region(spark):
     assert html_region.extract_pages(df.limit(0)).count() == 0
 
 
+def test_html_region_wrappers_and_post_headers(spark):
+    """Layout words of wrappers and headers within the article are no furniture; the furniture around stays out."""
+    ship(spark)
+    body = "<p>Some text with quite a few words that is the content of the page.</p>" * 2
+    art = f'<article><div class="post-header"><h1>The headline here</h1></div>{body}</article>'
+    text = "The headline here" + "\n\nSome text with quite a few words that is the content of the page." * 2
+    wraps = ["<div>%s</div>", '<div class="layout no-sidebar">%s</div>', '<div id="page" class="has-header">%s</div>',
+             '<div class="content-sidebar-wrap">%s</div>', "<form>%s</form>",
+             '<div class="sidebar"><article>A card</article></div><main>%s</main>',
+             '%s<div class="related"><article>A card</article></div>', '%s<div class="site-header">A menu</div>']
+    rows = [(i, f"<html><body>{w % art}</body></html>") for i, w in enumerate(wraps)]
+    df = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_region.extract_pages(df).collect()} == {i: text for i, _ in rows}
+
+
 def test_html_region_on_given_pages(spark):
     import html
     rows = {r.page_id: r for r in html_region.q_html_region(spark, SF_SMALL).collect()}
