@@ -5,8 +5,9 @@ indexed. Each label's vectors go to overlapping cluster shards (the ``OVERLAP``
 nearest of about n / SHARD centroids, fitted on a bounded sample). A shard
 builds a flat graph: every member's pool is its nearest members and an even
 sample of the shard, robust pruning keeps a neighbour only if no kept one is
-closer to it by the factor ALPHA. Adjacency lists of a vector are united over its
-shards. The search for a vector starts at the shard's medoid, walks greedily to
+closer to it by the factor ALPHA, and reverse links are added within the shard. Lists
+are not united over shards and a search stays in its shard, so a pair whose ends
+share none of their OVERLAP nearest centroids is not found. The search for a vector starts at the shard's medoid, walks greedily to
 its neighbourhood, and once inside widens over every neighbour within the
 ``EXPAND`` cosine until nothing new is found; all that reach the threshold in
 double precision are links.
