@@ -5,13 +5,16 @@ from __future__ import annotations
 from ordwise.llm import (
     html_region,
     lang_id,
+    merkle,
     minhash_forest,
     mixing,
     ngram_trie,
     packing,
     quality_rules,
+    spot_sigs,
     suffix_dedup,
     vector_graph,
+    vector_means,
     warc_revisit,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_mixing": mixing.q_mixing,
     "op9_packing": packing.q_packing,
     "op10_minhash_forest": minhash_forest.q_minhash_forest,
+    "op11_spot_sigs": spot_sigs.q_spot_sigs,
+    "op12_merkle_manifest": merkle.q_merkle_manifest,
+    "op13_vector_means": vector_means.q_vector_means,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -33,4 +39,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_warc_revisit": warc_revisit.ORACLE_SQL,
     "op7_vector_graph": vector_graph.ORACLE_SQL,
     "op10_minhash_forest": minhash_forest.ORACLE_SQL,
+    "op11_spot_sigs": spot_sigs.ORACLE_SQL,
+    "op12_merkle_manifest": merkle.ORACLE_SQL,
+    "op13_vector_means": vector_means.ORACLE_SQL,
 }
