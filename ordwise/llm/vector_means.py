@@ -22,7 +22,7 @@ exact sums.
 Edge cases: null vectors, other lengths, null or non-finite components are left out,
 and so are vectors with a component of absolute value beyond ``LIMIT`` / 256, since their
 squared distances do not fit the result's 64 bits (a sum that does not is null); fewer vectors than ``K`` start as many centroids; a null
-vec_id is clustered but starts no centroid; rows that share an id are vectors of their
+vec_id is clustered but starts no centroid (without any id the result is empty); rows that share an id are vectors of their
 own, ordered by their components; an empty table gives an empty result; extra
 columns are not read.
 """
@@ -127,7 +127,7 @@ def first_centroids(kept: DataFrame, k: int = K, salt: str = "2:") -> np.ndarray
     """The k vectors of smallest hash, one top-k of k rows."""
     rows = (kept.where("vec_id is not null").withColumn("h", F.sha2(F.concat(F.lit(salt), F.col("vec_id").cast("string")), 256))
             .orderBy("h", "q").limit(k).collect())
-    return np.array([r["q"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["q"] for r in rows], np.int64).reshape(len(rows), len(rows[0]["q"]) if rows else 0)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
