@@ -106,6 +106,15 @@ def sets(fingerprint: Column) -> Column:
     return F.filter(F.split(fingerprint, ","), lambda s: s != "")
 
 
+def packed(sigs: Column) -> Column:
+    """The set in four bytes a signature, for shuffles."""
+    return F.unhex(F.array_join(sigs, ""))
+
+
+def unpacked(sigs: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.hex(sigs)), F.lit(".{8}"), F.lit(0))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard likeness of two signature sets; 1 if both are empty."""
     both = F.size(F.array_intersect(a, b))
@@ -215,20 +224,20 @@ def compared(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
     anchors = find_anchors(docs)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                      joined(signatures(F.col("text"), anchors)).alias("fingerprint"))
+                      packed(signatures(F.col("text"), anchors)).alias("sigs"))
     n = F.char_length("text").cast("long")
-    edited = with_next(own, ["fingerprint"]).select(
-        "doc_id", "next_doc_id", n.alias("n_chars"), "fingerprint", "next_fingerprint",
+    edited = with_next(own, ["sigs"]).select(
+        "doc_id", "next_doc_id", n.alias("n_chars"), "sigs", "next_sigs",
         F.concat(F.left("text", (n - F.floor(n / 3)).cast("int")), "next_start").alias("edited"))
-    # One computation a row of the edited text's signatures and of the own set.
+    # Each set is computed once a row.
     sides = edited.select(
-        "doc_id", "next_doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
-        _let(F.struct(sets(F.col("fingerprint")).alias("own"), signatures(F.col("edited"), anchors).alias("edited"),
-                      sets(F.col("next_fingerprint")).alias("next")),
-             lambda s: F.struct(joined(s["edited"]).alias("edited_fingerprint"),
+        "doc_id", "next_doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        _let(F.struct(unpacked(F.col("sigs")).alias("own"), signatures(F.col("edited"), anchors).alias("edited"),
+                      unpacked(F.col("next_sigs")).alias("next")),
+             lambda s: F.struct(joined(s["own"]).alias("fingerprint"), joined(s["edited"]).alias("edited_fingerprint"),
                                 likeness(s["own"], s["edited"]).alias("near_edited"),
                                 likeness(s["own"], s["next"]).alias("near_next"))).alias("s"))
-    return sides.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "s.edited_fingerprint", "s.near_edited",
+    return sides.select("doc_id", "n_chars", "edited_sha256", "s.fingerprint", "s.edited_fingerprint", "s.near_edited",
                         "s.near_next", "next_doc_id")
 
 
