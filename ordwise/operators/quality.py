@@ -126,6 +126,28 @@ def consistency_report(df: DataFrame) -> DataFrame:
     return check_report(df, consistency_checks())
 
 
+def merged_report(df: DataFrame, reports: dict[str, tuple[list[Check], int | None]]) -> DataFrame:
+    """Several check reports from ONE aggregate over one scan: (report, check, observed, threshold,
+    passed). ``reports`` names each one's checks and, if it has that gate, its least number of rows."""
+    aggs, args = [F.count(F.lit(1)).alias("_rows")], []
+    for name, (checks, min_rows) in reports.items():
+        if min_rows is not None:
+            args.append((name, "row_count", "_rows", min_rows, F.col("_rows") >= min_rows))
+        for ch in checks:
+            col = f"_c{len(aggs)}"
+            aggs.append(F.count_if(ch.violation).alias(col))
+            args.append((name, ch.name, col, ch.threshold, F.col(col) <= ch.threshold))
+    flat = [x for report, check, col, limit, ok in args
+            for x in (F.lit(report), F.lit(check), F.col(col), F.lit(limit).cast("bigint"), ok)]
+    return df.agg(*aggs).select(F.stack(F.lit(len(args)), *flat).alias("report", *REPORT_COLUMNS))
+
+
+def quality_suite(df: DataFrame, min_rows: int = model.MIN_ROWS) -> DataFrame:
+    """Gates, constraints and cross-column rules (J1-J3, J6-J10) in one pass."""
+    return merged_report(df, {"gates": (gate_checks(), min_rows), "constraints": (constraint_checks(), None),
+                              "consistency": (consistency_checks(), None)})
+
+
 def qc_gate(df: DataFrame, min_rows: int = model.MIN_ROWS, checks: list[Check] | None = None) -> DataFrame:
     """Evaluate the gates (one small action) and raise listing ALL failures.
 
@@ -151,6 +173,24 @@ def pk_duplicates(df: DataFrame, key: str = "order_id") -> DataFrame:
             .filter((F.col("n") > 1) | F.col(key).isNull()))
 
 
+def key_uniqueness(df: DataFrame, key: str = "order_id") -> DataFrame:
+    """One row: rows, null_keys, distinct_keys, repeated_rows and is_key, without moving keys.
+
+    Every task sets one bit for each key in a bitmap per 32,768 consecutive values; the bitmaps (4 KB each)
+    are joined by OR, and a key is unique if as many bits are set as there are keys. So what crosses the
+    exchange is bounded by the key range / 8 bytes a task, however often a key repeats: for ids dealt out in
+    sequence a fraction of a byte a row. For sparse keys use :func:`pk_duplicates`, which also lists them.
+    """
+    k = F.col(key).cast("bigint")
+    buckets = df.groupBy(F.bitmap_bucket_number(k).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(k).alias("keys"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(k))).alias("bits"))
+    total = buckets.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "keys", "bits")])
+    return total.select(
+        F.col("n").alias("rows"), (F.col("n") - F.col("keys")).alias("null_keys"), F.col("bits").alias("distinct_keys"),
+        (F.col("keys") - F.col("bits")).alias("repeated_rows"), (F.col("bits") == F.col("n")).alias("is_key"))
+
+
 # -- J11: status drift -----------------------------------------------------------
 
 def status_drift(df: DataFrame, tolerance_pp: float = 2.0,
@@ -161,12 +201,16 @@ def status_drift(df: DataFrame, tolerance_pp: float = 2.0,
     The comparison is exact integer arithmetic in basis points:
     |cnt * 10000 - weight_bp * total| <= tol_bp * total.
     """
+    return drift_of(df.groupBy("order_status").agg(F.count(F.lit(1)).alias("cnt")), tolerance_pp, weights)
+
+
+def drift_of(counts: DataFrame, tolerance_pp: float = 2.0, weights: list[tuple[str, float]] | None = None) -> DataFrame:
+    """The same from counted groups (order_status, cnt)."""
     weights = weights or model.ORDER_STATUS_WEIGHTS
     expected_bp = F.create_map(*[x for s, w in weights for x in (F.lit(s), F.lit(round(w * 10000)))])
     tol_bp = round(tolerance_pp * 100)
-    absent = df.sparkSession.createDataFrame([(s, 0) for s, _ in weights], "order_status string, cnt bigint")
-    grouped = (df.groupBy("order_status").agg(F.count(F.lit(1)).alias("cnt")).unionByName(absent)
-               .groupBy("order_status").agg(F.sum("cnt").alias("cnt")))
+    absent = counts.sparkSession.createDataFrame([(s, 0) for s, _ in weights], "order_status string, cnt bigint")
+    grouped = counts.unionByName(absent).groupBy("order_status").agg(F.sum("cnt").alias("cnt"))
     total = F.sum("cnt").over(Window.partitionBy())
     bp = F.coalesce(F.try_element_at(expected_bp, F.col("order_status")), F.lit(0)).cast("bigint")
     return grouped.select(
@@ -183,5 +227,10 @@ def violations(df: DataFrame, checks: list[Check] | None = None) -> DataFrame:
     """One row per (row, broken rule): the whole row and ``check``. Narrow: no
     shuffle. The gates repeat constraints under other names, so they are left out."""
     checks = checks if checks is not None else constraint_checks() + consistency_checks()
-    names = F.array_compact(F.array(*[F.when(ch.violation, F.lit(ch.name)) for ch in checks]))
-    return df.select("*", F.explode(names).alias("check"))
+    return df.select("*", F.explode(broken_rules(checks)).alias("check"))
+
+
+def broken_rules(checks: list[Check] | None = None) -> Column:
+    """The names of the rules a row breaks, in the rules' order."""
+    checks = checks if checks is not None else constraint_checks() + consistency_checks()
+    return F.array_compact(F.array(*[F.when(ch.violation, F.lit(ch.name)) for ch in checks]))

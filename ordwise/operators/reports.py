@@ -130,7 +130,11 @@ def status_distribution(df: DataFrame) -> DataFrame:
     The total comes from a window with an empty partition over the grouped
     rows, so the single-partition exchange carries one row per status.
     """
-    grouped = df.groupBy("order_status").agg(F.count(F.lit(1)).alias("cnt"))
+    return share_of_total(df.groupBy("order_status").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def share_of_total(grouped: DataFrame) -> DataFrame:
+    """(order_status, cnt, pct) of counted groups."""
     total = F.sum("cnt").over(Window.partitionBy())
     return (grouped.select(
         "order_status", "cnt",

@@ -170,6 +170,45 @@ def _violations_sql() -> str:
         f"SELECT o.*, '{name}' AS \"check\" FROM o WHERE {p}" for name, p in preds), corrupted=True)
 
 
+def _quality_suite_sql() -> str:
+    groups = [("gates", GATE_PREDICATES), ("constraints", CONSTRAINT_PREDICATES), ("consistency", CONSISTENCY_PREDICATES)]
+    rows = [f"SELECT 'gates' AS report, 'row_count' AS \"check\", COUNT(*) AS observed, CAST({model.MIN_ROWS} AS BIGINT) AS threshold, "
+            f"COUNT(*) >= {model.MIN_ROWS} AS passed FROM o"]
+    rows += [f"SELECT '{report}', '{name}', COUNT(*) FILTER (WHERE {p}), CAST(0 AS BIGINT), COUNT(*) FILTER (WHERE {p}) = 0 FROM o"
+             for report, preds in groups for name, p in preds]
+    return _cte("\n" + "\nUNION ALL\n".join(rows), corrupted=True)
+
+
+def _quarantine_sql() -> str:
+    """Rules by row, listed in the rules' order."""
+    cases = ", ".join(f"CASE WHEN {p} THEN '{name}' END" for name, p in CONSTRAINT_PREDICATES + CONSISTENCY_PREDICATES)
+    return _cte(f"""
+SELECT *, CASE WHEN failed_checks = '' THEN 'good' ELSE 'quarantine' END AS route
+FROM (SELECT *, concat_ws(',', {cases}) AS failed_checks FROM o)""", corrupted=True)
+
+
+def _validation_sql(k: int = 5) -> str:
+    measures = {
+        "row_count": {"total_rows": "COUNT(*)"},
+        "null_profile": {"total": "COUNT(*)", **{f"null_{n}": f"COUNT(*) FILTER (WHERE {c} IS NULL)" for n, c in (
+            ("rating", "rating"), ("delivery", "delivery_date"), ("address", "shipping_address"), ("metadata", "metadata"))}},
+        "numeric_ranges": {"min_total": "MIN(order_total)", "max_total": "MAX(order_total)",
+                           "avg_total": decimal_avg("order_total", 2, "DECIMAL(16,6)"), "min_items": "MIN(item_count)",
+                           "max_items": "MAX(item_count)", "min_rating": "MIN(rating)", "max_rating": "MAX(rating)"},
+        "date_ranges": {"earliest_order": "MIN(created_at)", "latest_order": "MAX(created_at)",
+                        "earliest_delivery": "MIN(delivery_date)", "latest_delivery": "MAX(delivery_date)"},
+    }
+    rows = [f"SELECT '{report}' AS report, '{item}' AS item, CAST({e} AS VARCHAR) AS value FROM o"
+            for report, items in measures.items() for item, e in items.items()]
+    rows.append(f"SELECT 'status_distribution', order_status, COUNT(*)::VARCHAR || ' ' || "
+                f"CAST({PCT_DECIMAL.format(cnt='COUNT(*)', tot='SUM(COUNT(*)) OVER ()')} AS VARCHAR) FROM o GROUP BY order_status")
+    rows.append("SELECT 'device_distribution', json_extract_string(metadata, '$.device'), COUNT(*)::VARCHAR FROM o "
+                "WHERE metadata IS NOT NULL GROUP BY 2")
+    rows.append(f"SELECT * FROM (SELECT 'sample_rows', CAST(order_id AS VARCHAR), order_status FROM o "
+                f"ORDER BY {draw_sql('CAST(order_id AS BIGINT)', 42, MODULUS, dialect='duckdb')}, order_id LIMIT {k})")
+    return _cte("\n" + "\nUNION ALL\n".join(rows))
+
+
 def oracle_sql() -> dict[str, str]:
     m2 = lambda c: f"CAST({DECIMAL_MEAN_2DP.format(c=c)} AS DOUBLE)"
     q = {
@@ -247,6 +286,25 @@ def oracle_sql() -> dict[str, str]:
         "extract_df": _cte(TRANSFORM_DF_SQL),
         "extract_sql": _cte(TRANSFORM_SQL_SQL),
     }
+    changed = q["parquet_dynamic_overwrite"]
+    q |= {
+        "atomic_publish": changed,
+        "compacted_publish": q["parquet_roundtrip"],
+        "quality_suite": _quality_suite_sql(),
+        "key_uniqueness": _cte(
+            "SELECT COUNT(*) AS rows, COUNT(*) - COUNT(order_id) AS null_keys, COUNT(DISTINCT order_id) AS distinct_keys, "
+            "COUNT(order_id) - COUNT(DISTINCT order_id) AS repeated_rows, COUNT(DISTINCT order_id) = COUNT(*) AS is_key FROM o", corrupted=True),
+        "quarantine_orders": _quarantine_sql(),
+        "validation_suite": _validation_sql(),
+        "declared_defaults": _cte(
+            "SELECT order_id, customer_id, order_status, order_total, item_count, product_category, TIMESTAMP '2024-01-01 00:00:00' AS created_at, "
+            "delivery_date, false AS is_loyalty_member, rating, metadata, shipping_address FROM o"),
+        "sql_projection": q["transform_sql"],
+        "sql_gates": _cte(_check_report(GATE_PREDICATES[:1], min_rows=model.MIN_ROWS), corrupted=True),
+        "state_status_drift": q["status_drift"],
+    }
+    for name in ("status_distribution", "tier_breakdown", "category_performance"):
+        q[f"sql_{name}"] = q[f"state_{name}"] = q[name]
     return q
 
 

@@ -2,17 +2,16 @@
 
 Shape of one run::
 
-    source (JDBC or Parquet) --> derive + observe checks --> run folder --> gate --> publish
-                                                                 +--> reports
-
-* The source is read once: the derived rows go to a run folder under the shared
-  folder (``spark.checkpoint.dir``), and the checks are observed on the way
-  (:class:`pyspark.sql.Observation`). So the rows checked are the rows written.
-* **gate**: all failures are raised together; the target is then untouched.
-* **publish**: the run folder's rows are written to the target, partitioned by
-  status and placed with the rebalance hint (see :mod:`ordwise.sources.parquet`).
-* **reports** and the row count are about this run: they read the run folder, not
-  the target, which may hold partitions of earlier runs.
+    source (JDBC or Parquet) --> derive --> stage in final layout --> gate --> publish (renames, one manifest)
+                                                                        +--> reports
+
+* The source is read once and the rows are written once: they are staged in the target's layout (see
+  :mod:`ordwise.sources.published`) and published by renames, so a run that stops at any step leaves the
+  rows of the last run readable.
+* **gate**: the DataFrame flavour observes its three checks while it writes; the SQL flavour runs its two as SQL over
+  the staged rows, which reads one column of them. All failures are raised together; the target is then untouched.
+* **reports** and the row count are about this run: they read its folders, not
+  the whole target, which may hold partitions of earlier runs.
 """
 
 from __future__ import annotations
@@ -24,71 +23,72 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordwise import model
-from ordwise.functions.derive import transform_df, transform_sql
+from ordwise.functions.derive import transform_df
 from ordwise.operators import quality, reports
-from ordwise.session import new_output_path, remove_path
+from ordwise.plans import sql_job
 from ordwise.sources import jdbc
-from ordwise.sources.parquet import read_dataset, write_partitioned
+from ordwise.sources.published import Manifest, PublishedTable, Staged
 
 
 @dataclass
 class ExtractResult:
     output_path: str
-    run_path: str
+    run: str
+    manifest: Manifest
     rows: int
     checks: list[dict]
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
     def output(self, spark: SparkSession) -> DataFrame:
-        """The whole target."""
-        return read_dataset(spark, self.output_path)
+        """The whole target, as it is now."""
+        return PublishedTable(spark, self.output_path).read()
 
     def written(self, spark: SparkSession) -> DataFrame:
-        """The rows of this run; they and the reports are there until :meth:`close`."""
-        return spark.read.parquet(self.run_path)
+        """The rows of this run, as it published them."""
+        return PublishedTable(spark, self.output_path).read(self.manifest, {self.run})
 
     def close(self, spark: SparkSession) -> None:
-        remove_path(spark, self.run_path)
-
-
-def _checked_write(derived: DataFrame, path: str, min_rows: int) -> list[dict]:
-    """Write ``derived`` to ``path`` with the gates observed on the way; raise if any fails."""
-    checks, seen = quality.gate_checks(), Observation()
-    derived.observe(seen, F.count(F.lit(1)).alias("row_count"),
-                    *[F.count_if(c.violation).alias(c.name) for c in checks]).write.mode("error").parquet(path)
-    got = seen.get
-    rows = [{"check": "row_count", "observed": got["row_count"], "threshold": min_rows,
-             "passed": got["row_count"] >= min_rows}]
-    rows += [{"check": c.name, "observed": got[c.name], "threshold": c.threshold,
-              "passed": got[c.name] <= c.threshold} for c in checks]
-    failures = [r for r in rows if not r["passed"]]
+        """Drop folders that neither this nor the previous publish names."""
+        PublishedTable(spark, self.output_path).vacuum(keep=2)
+
+
+def _observed_checks(staged: Staged, min_rows: int) -> list[dict]:
+    got = staged.observed
+    rows = [{"check": "row_count", "observed": got["rows"], "threshold": min_rows, "passed": got["rows"] >= min_rows}]
+    return rows + [{"check": c.name, "observed": got[c.name], "threshold": c.threshold, "passed": got[c.name] <= c.threshold}
+                   for c in quality.gate_checks()]
+
+
+def _publish(table: PublishedTable, staged: Staged, checks: list[dict], mode: str) -> Manifest:
+    """Publish a staged run, or raise all failures of its checks and drop it."""
+    failures = [c for c in checks if not c["passed"]]
     if failures:
+        table.discard(staged.run)
         raise quality.QualityGateError(failures)
-    return rows
+    return table.publish(staged, mode)
 
 
-def _run(spark: SparkSession, derived: DataFrame, output_path: str, min_rows: int, overwrite_mode: str,
-         placement: str | int, make_reports: Callable[[DataFrame], dict[str, DataFrame]]) -> ExtractResult:
-    path = new_output_path(spark, "extract-run")
-    try:
-        checks = _checked_write(derived, path, min_rows)
-        rows = spark.read.schema(derived.schema).parquet(path)
-        write_partitioned(rows, output_path, overwrite_mode=overwrite_mode, placement=placement)
-    except BaseException:
-        remove_path(spark, path)
-        raise
-    return ExtractResult(output_path, path, checks[0]["observed"], checks, make_reports(rows))
+def _result(spark: SparkSession, path: str, staged: Staged, manifest: Manifest, checks: list[dict],
+            make_reports: Callable[[DataFrame], dict[str, DataFrame]]) -> ExtractResult:
+    res = ExtractResult(path, staged.run, manifest, checks[0]["observed"], checks)
+    res.reports = make_reports(res.written(spark))
+    return res
 
 
 def run_extract_df(spark: SparkSession, source: DataFrame, output_path: str, *,
                    min_rows: int = model.MIN_ROWS, overwrite_mode: str = "dynamic",
                    placement: str | int = "rebalance") -> ExtractResult:
-    """M1: derive (decimal flavour) -> gate -> write -> reports."""
-    return _run(spark, transform_df(source), output_path, min_rows, overwrite_mode, placement, lambda out: {
+    """M1: derive (decimal flavour) -> stage -> gate -> publish -> reports."""
+    table = PublishedTable(spark, output_path)
+    staged = table.stage(transform_df(source), placement,
+                         {c.name: F.count_if(c.violation) for c in quality.gate_checks()})
+    checks = _observed_checks(staged, min_rows)
+    manifest = _publish(table, staged, checks, overwrite_mode)
+    return _result(spark, output_path, staged, manifest, checks, lambda out: {
         "status_counts": reports.status_counts(out),
         "tier_counts": reports.tier_counts(out),
         "summary_stats": reports.summary_stats(out),
@@ -98,20 +98,24 @@ def run_extract_df(spark: SparkSession, source: DataFrame, output_path: str, *,
 def run_extract_sql(spark: SparkSession, source: DataFrame, output_path: str, *,
                     min_rows: int = model.MIN_ROWS, overwrite_mode: str = "static",
                     placement: str | int = "rebalance") -> ExtractResult:
-    """M2: the same job in the double flavour, through named views of this run's
-    own that are dropped at the end."""
-    raw, made = (f"orders_{name}_{uuid.uuid4().hex[:12]}" for name in ("raw", "transformed"))
+    """M2: the same job in the double flavour, as SQL text over views of this run's own
+    that are dropped at the end. It has two gates: rows and totals."""
+    raw, made, out = (f"orders_{name}_{uuid.uuid4().hex[:12]}" for name in ("raw", "staged", "written"))
+    table = PublishedTable(spark, output_path)
     try:
         source.createOrReplaceTempView(raw)
-        transform_sql(spark.table(raw)).createOrReplaceTempView(made)
-        return _run(spark, spark.sql(f"SELECT * FROM {made}"), output_path, min_rows, overwrite_mode, placement,
-                    lambda out: {
-                        "status_distribution": reports.status_distribution(out),
-                        "tier_breakdown": reports.tier_breakdown(out),
-                        "category_performance": reports.category_performance(out),
-                    })
+        staged = table.stage(sql_job.projection(spark, raw), placement)
+        table.staged_rows(staged).createOrReplaceTempView(made)
+        checks = [r.asDict() for r in sql_job.gates(spark, made, min_rows).collect()]
+        manifest = _publish(table, staged, checks, overwrite_mode)
+
+        def make_reports(rows: DataFrame) -> dict[str, DataFrame]:
+            rows.createOrReplaceTempView(out)
+            return sql_job.reports(spark, out)
+
+        return _result(spark, output_path, staged, manifest, checks, make_reports)
     finally:
-        for view in (raw, made):
+        for view in (raw, made, out):
             spark.catalog.dropTempView(view)
 
 

@@ -8,15 +8,18 @@ values in place, so they report non-zero counts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordwise.functions import derive
 from ordwise.operators import quality, reports
+from ordwise.plans import quarantine, run_state, sql_job, validate
 from ordwise.plans.extract import run_extract_df, run_extract_sql
 from ordwise.session import new_output_path
-from ordwise.sources import fixture, parquet, partitions, synth
+from ordwise.sources import declared, fixture, parquet, partitions, synth
+from ordwise.sources.published import PublishedTable
 
 DEFAULTS_AS_OF = "2024-01-01 00:00:00"
 SAMPLE_SEED = 42
@@ -79,6 +82,78 @@ def q_parquet_dynamic_overwrite(spark, sf_dir):
     return parquet.read_dataset(spark, path)
 
 
+def _changed(full: DataFrame) -> DataFrame:
+    return full.filter(F.col("order_status").isin("pending", "refunded")).withColumn("item_count", F.col("item_count") + 100)
+
+
+def q_atomic_publish(spark, sf_dir):
+    """The same two writes through the publish protocol: staged once, verified, moved, sealed."""
+    table = PublishedTable(spark, new_output_path(spark, "atomic_publish"))
+    full = _df_flavour(spark, sf_dir)
+    table.write(full, "static")
+    table.write(_changed(full), "dynamic")
+    table.vacuum()
+    return table.read()
+
+
+def q_compacted_publish(spark, sf_dir):
+    """Many small files (writers without a shuffle, several appends), then packed to a target size."""
+    table = PublishedTable(spark, new_output_path(spark, "compacted_publish"))
+    full = _df_flavour(spark, sf_dir)
+    for k in range(3):
+        table.write(full.where(F.col("order_id") % 3 == k), "append", placement="local")
+    table.compact()
+    table.vacuum()
+    return table.read()
+
+
+def q_quarantine_orders(spark, sf_dir):
+    """The corrupted orders routed in one write; every bad row lists the rules it breaks."""
+    path = new_output_path(spark, "quarantine")
+    quarantine.quarantine(spark, _orders(spark, sf_dir, corrupted=True), path)
+    rows = PublishedTable(spark, path, partition_by=quarantine.ROUTE).read()
+    return rows.withColumn(quarantine.FAILED, F.array_join(quarantine.FAILED, ","))
+
+
+def _grown_table(spark, sf_dir):
+    """Three publishes with the state refreshed after each: odd ids, then even ids, then two statuses anew."""
+    table = PublishedTable(spark, new_output_path(spark, "run_state"))
+    full = _df_flavour(spark, sf_dir)
+    for rows, mode in ((full.where("order_id % 2 = 1"), "static"), (full.where("order_id % 2 = 0"), "append"), (_changed(full), "dynamic")):
+        table.write(rows, mode)
+        run_state.refresh(table)
+    return table
+
+
+def q_state_status_distribution(spark, sf_dir):
+    return run_state.status_distribution(_grown_table(spark, sf_dir))
+
+
+def q_state_tier_breakdown(spark, sf_dir):
+    return run_state.tier_breakdown(_grown_table(spark, sf_dir))
+
+
+def q_state_category_performance(spark, sf_dir):
+    return run_state.category_performance(_grown_table(spark, sf_dir))
+
+
+def q_state_status_drift(spark, sf_dir):
+    return run_state.status_drift(_grown_table(spark, sf_dir))
+
+
+def q_declared_defaults(spark, sf_dir):
+    """Orders without created_at and the flag, inserted into the declared table."""
+    name = f"orders_declared_{uuid.uuid4().hex[:12]}"
+    path = new_output_path(spark, "declared")
+    declared.create_orders_table(spark, name, path, {"created_at": f"TIMESTAMP '{DEFAULTS_AS_OF}'", "is_loyalty_member": "false"})
+    try:
+        declared.insert_orders(spark, name, _orders(spark, sf_dir).drop("created_at", "is_loyalty_member"))
+        rows = spark.read.schema(spark.table(name).schema).parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return rows.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
 # -- projections -------------------------------------------------------------------
 
 def _project(*cols):
@@ -178,6 +253,14 @@ def q_qc_report(spark, sf_dir):
     return quality.qc_report(_df_flavour(spark, sf_dir, corrupted=True))
 
 
+def q_quality_suite(spark, sf_dir):
+    return quality.quality_suite(_orders(spark, sf_dir, corrupted=True))
+
+
+def q_key_uniqueness(spark, sf_dir):
+    return quality.key_uniqueness(_orders(spark, sf_dir, corrupted=True))
+
+
 def q_qc_gate(spark, sf_dir):
     """The gate passes on the clean table and hands the derived frame on."""
     return quality.qc_gate(_df_flavour(spark, sf_dir))
@@ -203,6 +286,45 @@ def q_violations(spark, sf_dir):
     return quality.violations(_orders(spark, sf_dir, corrupted=True))
 
 
+def q_validation_suite(spark, sf_dir):
+    return validate.long_form(validate.validation_suite(_orders(spark, sf_dir), seed=SAMPLE_SEED))
+
+
+# -- the SQL job's own text ---------------------------------------------------------
+
+def _sql_view(spark, df):
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+def _sql_over(spark, df, make):
+    """A statement over a view of its own, which goes once the statement is analysed."""
+    view = _sql_view(spark, df)
+    try:
+        return make(view)
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def _sql_rows(spark, sf_dir, corrupted=False):
+    return _sql_over(spark, _orders(spark, sf_dir, corrupted), lambda v: sql_job.projection(spark, v))
+
+
+def q_sql_projection(spark, sf_dir):
+    return _sql_rows(spark, sf_dir)
+
+
+def q_sql_gates(spark, sf_dir):
+    return _sql_over(spark, _sql_rows(spark, sf_dir, corrupted=True), lambda v: sql_job.gates(spark, v))
+
+
+def _q_sql_report(name):
+    def q(spark, sf_dir):
+        return _sql_over(spark, _sql_rows(spark, sf_dir), lambda v: sql_job.reports(spark, v)[name])
+    return q
+
+
 # -- composed jobs -------------------------------------------------------------------------
 
 def q_extract_df(spark, sf_dir):
@@ -252,6 +374,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "consistency_report": q_consistency_report,
     "status_drift": q_status_drift,
     "violations": q_violations,
+    "atomic_publish": q_atomic_publish,
+    "compacted_publish": q_compacted_publish,
+    "quality_suite": q_quality_suite,
+    "key_uniqueness": q_key_uniqueness,
+    "quarantine_orders": q_quarantine_orders,
+    "validation_suite": q_validation_suite,
+    "declared_defaults": q_declared_defaults,
+    "sql_projection": q_sql_projection,
+    "sql_gates": q_sql_gates,
+    "sql_status_distribution": _q_sql_report("status_distribution"),
+    "sql_tier_breakdown": _q_sql_report("tier_breakdown"),
+    "sql_category_performance": _q_sql_report("category_performance"),
+    "state_status_distribution": q_state_status_distribution,
+    "state_tier_breakdown": q_state_tier_breakdown,
+    "state_category_performance": q_state_category_performance,
+    "state_status_drift": q_state_status_drift,
     "extract_df": q_extract_df,
     "extract_sql": q_extract_sql,
 }

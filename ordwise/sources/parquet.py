@@ -67,6 +67,9 @@ def _place(df: DataFrame, partition_by: str, placement: str | int) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """Read a written dataset; the partition column comes back last, from the path."""
-    return spark.read.parquet(path)
+    """Read a written dataset; the partition column comes back last, from the path. A published table
+    (see :mod:`ordwise.sources.published`) is read through its manifest."""
+    from ordwise.sources.published import PublishedTable
 
+    table = PublishedTable(spark, path)
+    return table.read() if table.manifest() else spark.read.parquet(path)
