@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ordwise.llm.store import saved
 
+ROWS_A_TASK = 500_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) of every id in the links (a, b): comp is the smallest id
@@ -15,11 +17,14 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the least label among the neighbours (a partial aggregate,
     so a hub's links meet map-side) and then the label of that label, which
     halves the paths. Labels are written out each round; only the count of
-    changes reaches the driver.
+    changes reaches the driver. Links that fit one partition by their counted rows are
+kept in one, so that small graphs need no shuffle a round.
     """
     links = links.where("a is not null and b is not null and a <> b")
     both = saved(links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(
         links.select(F.col("b").alias("id"), F.col("a").alias("other"))).distinct(), "cc-links")
+    if both.count() <= ROWS_A_TASK:
+        both = both.coalesce(1)
     labels = saved(both.groupBy("id").agg(F.least(F.min("other"), F.col("id")).alias("comp"))
                    .select("id", "comp"), "cc-labels")
     while True:

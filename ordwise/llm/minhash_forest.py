@@ -2,15 +2,14 @@
 
 A document's set is its distinct five-word shingles. Equal sets are one class.
 Class representatives get ``TREES * DEPTH`` min-hash values; tree t orders them
-by the signature rotated to start at value ``DEPTH * t``. Documents that share
-the first DEPTH values of an order are a region of that tree, sorted by the
-values that follow. In a region of up to ``SMALL`` documents all pairs are
-candidates, in a larger one each document and the ``NEAR`` next in the order,
-those with the longest common prefix. A region of more than ``REGION`` documents
-is also read at twice the depth, again and again up to ``MAX_DEPTH``, for longer
-prefixes; itself it is cut into ranges of its order, and neighbours across a cut
-are compared, so no region meets in one task and a member alone at the greater
-depth keeps its neighbours. Candidates grow in proportion to the documents.
+by the signature rotated to start at value ``DEPTH * t``. The order goes by hashes
+of the first 4, 8, 16 and 32 values, each of which holds the one before, so
+members that share a longer prefix stand closer together: a region is read as
+deep as its members agree, however dense it is. All entries of all trees are
+sorted at once over ranges of the order, so a region of any size spans as many
+tasks as it needs, and neighbours across a cut are compared too. Candidates are
+each document and the ``NEAR`` next ones of its region (the same first DEPTH values) in
+the order, those with the longest common prefix; they grow in proportion to the documents.
 
 Candidates whose signatures agree in less than 0.6 of the values are dropped (a
 pair at the threshold is four standard deviations away), the others are
@@ -18,13 +17,11 @@ confirmed on the full sets, in three steps that keep the texts moved small:
 
 1. each document against its most similar candidate of smaller id,
 2. each component against its most similar candidate component of smaller id,
-3. every candidate still between two components, and in the larger regions the
-   neighbours across components once runs of one component are reduced to
-   their ends.
+3. every candidate still between two components, and the neighbours across
+   components once runs of one component in the order are reduced to their ends.
 
 Only connectivity is asked for, so a candidate inside a component needs no
-check. A first form of step 3 compared all members of different components in a
-region; it grew with the square of a hot group and was given up. What remains
+check, and each step's links join the components of the step before. What remains
 open: a document of a large region whose only link is to a member that is near
 it in none of the 32 orders.
 
@@ -33,8 +30,10 @@ about 5e-6; at 0.8 it is 5e-8.
 
 Edge cases: null or empty text has an empty set, links with nothing and is its
 own component; fewer than five words are one shingle; repeated rows and copies
-are one class; a null id links with nothing (null component, kept); an empty
-table gives an empty result; extra columns are not read by :func:`near_groups`.
+are one class; rows that share an id but not the text are documents of their own,
+whose components have that id as a member; a null id links with nothing (null
+component, kept); an empty table gives an empty result; extra columns are not
+read by :func:`near_groups`.
 """
 
 from __future__ import annotations
@@ -53,10 +52,8 @@ from ordwise.llm.words import LOWER, combine, mix, slices, split_words, text_buf
 SHINGLE = 5
 TREES, DEPTH = 32, 4
 VALUES = TREES * DEPTH
-SMALL = 8
-NEAR = 2
-REGION = 1000
-MAX_DEPTH = 32
+NEAR = 4
+LEVELS = (DEPTH, 8, 16, 32)
 AGREE = int(VALUES * 0.6)
 SIMILAR = (75, 100)
 
@@ -109,112 +106,88 @@ def _sum(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-SETS = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
+SETS = "doc_id long, tie long, n_shingles long, k1 long, k2 long, sig binary"
 
 
 def set_pass(docs: DataFrame) -> DataFrame:
-    """Per row the set's size, a 128-bit key of it, and its signature."""
+    """Per row a hash of its text, the set's size, a 128-bit key of it, and its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buf, offs = text_buffer(b.column(1))
+            buf, offs = text_buffer(b.column(2))
             for i, j in slices(offs, 2 << 20):
                 flat, bounds = shingle_sets(buf[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 n = np.diff(bounds)
                 sig = signatures(flat, bounds)
                 keys = [_sum(mix(flat ^ np.uint64(s)), bounds).view(np.int64) for s in (0x51, 0xA7)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array(n), *[pa.array(k) for k in keys],
+                    [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n), *[pa.array(k) for k in keys],
                      pa.array([r.tobytes() for r in sig], pa.binary())],
-                    names=["doc_id", "n_shingles", "k1", "k2", "sig"])
+                    names=["doc_id", "tie", "n_shingles", "k1", "k2", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text").mapInArrow(run, SETS)
 
 
-ENTRY = "key long, tree int, o1 long, o2 long, id long"
+ORDER = [f"h{n}" for n in LEVELS] + ["id"]
+ENTRY = ", ".join(f"{c} long" for c in ORDER)
 
 
-def _rotated(sig: np.ndarray, tree: int, start: int, n: int) -> np.ndarray:
-    at = (DEPTH * tree + start + np.arange(n)) % VALUES
-    return sig[:, at]
-
-
-def _fold(values: np.ndarray, seed: int) -> np.ndarray:
-    h = np.full(len(values), seed, np.uint64)
-    for k in range(values.shape[1]):
-        h = combine(h, values[:, k].astype(np.uint64))
-    return h
+def prefixes(sig: np.ndarray, tree: int) -> list[np.ndarray]:
+    """Hashes of the first values of each level in the tree's order, two values at a time."""
+    at = (DEPTH * tree + np.arange(LEVELS[-1])) % VALUES
+    pairs = np.ascontiguousarray(sig[:, at]).view(np.uint64)
+    h, out = np.full(len(sig), tree + 1, np.uint64), []
+    for k in range(pairs.shape[1]):
+        h = combine(h, pairs[:, k])
+        if 2 * (k + 1) in LEVELS:
+            out.append(h)
+    return out
 
 
-def entries(reps: DataFrame, depth: int) -> DataFrame:
-    """One row per representative and tree: the region at ``depth`` and the order in it."""
+def entries(reps: DataFrame) -> DataFrame:
+    """One row per representative and tree: its place in the tree's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(b.num_rows, VALUES)
-            trees = [b.column(2).to_numpy()] if b.num_columns > 2 else [np.full(b.num_rows, t) for t in range(TREES)]
-            for t in trees:
-                for one in np.unique(t):
-                    at = np.flatnonzero(t == one)
-                    rest = _rotated(sig[at], int(one), depth, 4).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_fold(_rotated(sig[at], int(one), 0, depth), int(one) + 1).view(np.int64)),
-                         pa.array(np.full(len(at), one, np.int32)),
-                         pa.array(rest[:, 0] << 31 | rest[:, 1] >> 1), pa.array(rest[:, 2] << 31 | rest[:, 3] >> 1),
-                         b.column(0).take(pa.array(at))], names=["key", "tree", "o1", "o2", "id"])
-
-    cols = ["id", "sig"] + (["tree"] if "tree" in reps.columns else [])
-    return reps.select(*cols).mapInArrow(run, ENTRY)
-
-
-def regions(reps: DataFrame) -> DataFrame:
-    """Entries of regions with two members or more; ``n`` is the region's size.
-    The entries of a region of more than REGION are read at twice the depth too,
-    down to MAX_DEPTH; they also stay, so that a member alone at the greater depth
-    has its neighbours here."""
-    depth, rows, out = DEPTH, entries(reps, DEPTH), None
-    while True:
-        rows = saved(rows, f"forest-{depth}")
-        sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        rows = saved(rows.join(sizes, "key"), f"forest-sized-{depth}")
-        out = rows if out is None else out.unionByName(rows)
-        dense = rows.where(F.col("n") > REGION).select("id", "tree")
-        if depth >= MAX_DEPTH or not dense.limit(1).count():
-            return saved(out, "forest-regions")
-        depth *= 2
-        rows = entries(dense.join(reps, "id"), depth)
-
-
-def _sorted_pairs(rows: DataFrame, near: int) -> DataFrame:
-    """(a, b) of members of different components, at most ``near`` apart in a
-    region's order once runs of one component are reduced to their two ends.
+            for t in range(TREES):
+                yield pa.RecordBatch.from_arrays([*[pa.array(h.view(np.int64)) for h in prefixes(sig, t)], b.column(0)], names=ORDER)
+
+    return reps.select("id", "sig").mapInArrow(run, ENTRY)
+
+
+def sorted_pairs(rows: DataFrame, near: int = NEAR) -> DataFrame:
+    """Distinct (a, b), a < b, of members of different components (column comp), at most
+    ``near`` apart in a region's order once runs of one component are reduced to their two ends.
 
     For regions of any size: all entries are sorted over ranges of the order and
     each range is read once. A range also gives its first and last few ends,
     and what meets across ranges is found among those."""
-    cols, border = ["key", "o1", "o2", "id", "comp"], near + 4
+    cols, border = [*ORDER, "comp"], near + 4
+    at_id, at_comp = len(ORDER) - 1, len(ORDER)
 
     def pairs(x: np.ndarray, new: int) -> pa.RecordBatch:
         a, b = [], []
         for k in range(1, near + 1):
             at = np.arange(max(new, k), len(x))
-            at = at[(x[at, 0] == x[at - k, 0]) & (x[at, 4] != x[at - k, 4])]
-            a.append(x[at, 3])
-            b.append(x[at - k, 3])
+            at = at[(x[at, 0] == x[at - k, 0]) & (x[at, at_comp] != x[at - k, at_comp])]
+            a.append(x[at, at_id])
+            b.append(x[at - k, at_id])
         a, b = np.concatenate(a), np.concatenate(b)
-        none = pa.nulls(len(a), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, pa.array(a), none, pa.array(b)], names=[*cols, "other"])
+        pair = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+        none = pa.nulls(len(pair), pa.int64())
+        return pa.RecordBatch.from_arrays([*[none] * at_id, pa.array(pair[:, 0]), none, pa.array(pair[:, 1])], names=[*cols, "other"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = head = tail = np.zeros((0, 5), np.int64)  # x: the last row, whose successor is not known yet
+        x = head = tail = np.zeros((0, len(cols)), np.int64)  # x: the last row, whose successor is not known yet
         starts, n = True, 0
         for b in batches:
             if not b.num_rows:
                 continue
             x = np.concatenate([x, np.column_stack([c.to_numpy() for c in b.columns])])
-            turn = (x[1:, 0] != x[:-1, 0]) | (x[1:, 4] != x[:-1, 4])
+            turn = (x[1:, 0] != x[:-1, 0]) | (x[1:, at_comp] != x[:-1, at_comp])
             first = np.concatenate([[starts], turn])
             ends = np.concatenate([tail, x[:-1][first[:-1] | turn]])
             n += len(ends) - len(tail)
@@ -228,17 +201,16 @@ def _sorted_pairs(rows: DataFrame, near: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in rim.T], pa.nulls(len(rim), pa.int64())],
                                              names=[*cols, "other"])
 
-    sorted_ = rows.select(*cols).repartitionByRange(*cols[:4]).sortWithinPartitions(*cols[:4])
-    found = saved(sorted_.mapInArrow(run, "key long, o1 long, o2 long, id long, comp long, other long"), "forest-sorted")
-    across = _run_pairs(found.where("other is null"), near)
-    inside = found.where("other is not null")
-    return inside.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).unionByName(across)
+    dealt = rows.select(*cols).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    found = saved(dealt.mapInArrow(run, ", ".join(f"{c} long" for c in [*cols, "other"])), "forest-sorted")
+    inside = found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))
+    return inside.unionByName(_across(found.where("other is null"), near)).distinct()
 
 
-def _run_pairs(rows: DataFrame, near: int) -> DataFrame:
-    """The same pairs by one window for each region."""
-    order = Window.partitionBy("key").orderBy("o1", "o2", "id")
-    ends = (rows.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
+def _across(rims: DataFrame, near: int) -> DataFrame:
+    """The same pairs among the ends at the ranges' borders, by one window for each region."""
+    order = Window.partitionBy(ORDER[0]).orderBy(*ORDER[1:])
+    ends = (rims.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
             .where("before is null or after is null or comp <> before or comp <> after"))
     others = F.array(*[F.lag(F.struct("id", "comp"), k).over(order) for k in range(1, near + 1)])
     return (ends.withColumn("near", others).select("id", "comp", F.explode("near").alias("o"))
@@ -246,21 +218,6 @@ def _run_pairs(rows: DataFrame, near: int) -> DataFrame:
             .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")))
 
 
-def neighbours(forest: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of members close together in a region's order:
-    all pairs of a region of up to SMALL members, else the NEAR next ones."""
-    order = Window.partitionBy("key").orderBy("o1", "o2", "id")
-    near = F.array(*[F.lag("id", k).over(order) if k <= NEAR else
-                     F.when(F.col("n") <= SMALL, F.lag("id", k).over(order)) for k in range(1, SMALL)])
-    pairs = forest.where(F.col("n") <= REGION).select("id", near.alias("near")).select(
-        "id", F.explode("near").alias("other")).where("other is not null and other <> id")
-    pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    dense = forest.where(F.col("n") > REGION)
-    if dense.limit(1).count():
-        pairs = pairs.unionByName(_sorted_pairs(dense.withColumn("comp", F.col("id")), NEAR))
-    return pairs.distinct()
-
-
 def similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """(a, b, agree) of the pairs whose signatures agree in at least AGREE of the
     values, compared by the values' low bytes."""
@@ -313,55 +270,57 @@ def _comp_of(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return out.where("ca <> cb")
 
 
-def _run_ends(forest: DataFrame, comps: DataFrame) -> DataFrame:
-    """Neighbours across components in large regions: where neighbours of one
-    component follow each other only the two ends of the run stay, so the NEAR
-    next members are of other components however long the runs are."""
-    wide = forest.where(F.col("n") > SMALL).join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    pairs = _run_pairs(wide.where(F.col("n") <= REGION), NEAR + 1)
-    dense = wide.where(F.col("n") > REGION)
-    if dense.limit(1).count():
-        pairs = pairs.unionByName(_sorted_pairs(dense, NEAR + 1))
-    return pairs.distinct()
-
-
-def link_classes(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, comp) of the representatives that are linked to others."""
-    forest = regions(reps)
-    cand = saved(similar(neighbours(forest), reps), "forest-candidates")
-    ids = forest.select("id").distinct()
-    texts = saved(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-                  .dropDuplicates(["id"]), "forest-texts")
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after these links: only the components are linked anew, members follow."""
+    apart = _comp_of(links, comps)
+    tops = components(apart.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    ids = comps.select("id", "comp").unionByName(tops.select("id", F.col("id").alias("comp")).join(comps, "id", "left_anti"))
+    top = tops.select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+    return saved(ids.join(top, "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")), "forest-comps")
+
+
+def link_classes(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, comp) of the representatives (id, sig) that are linked to others; texts has (id, text)."""
+    forest = saved(entries(reps), "forest-entries")
+    near = saved(sorted_pairs(forest.withColumn("comp", F.col("id"))), "forest-near")
+    cand = saved(similar(near, reps), "forest-candidates")
+    ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
+    texts = saved(texts.join(ids, "id", "left_semi"), "forest-texts")
     first = saved(cand.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b"), "forest-1")
-    links = saved(confirmed(first, texts), "forest-links-1")
-    comps = components(links)
+    comps = components(saved(confirmed(first, texts), "forest-links-1"))
     open_ = saved(_comp_of(cand.join(first, ["a", "b"], "left_anti"), comps), "forest-open")
     if open_.limit(1).count():
         best = open_.withColumn("hi", F.greatest("ca", "cb")).groupBy("hi").agg(
             F.max_by(F.struct("a", "b"), F.struct("agree", "a", "b")).alias("p")).select("p.a", "p.b")
         second = saved(best, "forest-2")
-        links = saved(links.unionByName(confirmed(second, texts)), "forest-links-2")
-        comps = components(links)
+        comps = _joined(comps, saved(confirmed(second, texts), "forest-links-2"))
         first = first.unionByName(second)
-    rest = _comp_of(cand.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
-    wide = similar(_run_ends(forest, comps).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
+    rest = _comp_of(open_.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
+    placed = forest.join(ids, "id", "left_semi").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    wide = similar(sorted_pairs(placed).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
     third = saved(confirmed(saved(rest.unionByName(wide).distinct(), "forest-3"), texts), "forest-links-3")
-    if third.limit(1).count():
-        comps = components(links.unionByName(third))
-    return comps
+    return _joined(comps, third) if third.limit(1).count() else comps
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     sets = saved(set_pass(docs), "forest-sets")
     some = sets.where("n_shingles > 0 and doc_id is not null")
-    classes = saved(some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("id")), "forest-classes")
-    reps = saved(some.select("k1", "k2", "n_shingles", F.col("doc_id").alias("id"), "sig").join(
-        classes, ["k1", "k2", "n_shingles", "id"]).dropDuplicates(["id"]).select("id", "sig"), "forest-reps")
-    comps = link_classes(reps, docs)
-    top = classes.join(comps, "id", "left").select("k1", "k2", "n_shingles", F.coalesce("comp", "id").alias("comp"))
+    # A class is a set; its number stands for it, its first row's id and text hash name its text.
+    classes = saved(some.groupBy("k1", "k2", "n_shingles").agg(
+        F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "tie")).alias("row"), F.first("sig").alias("sig")).select(
+        "k1", "k2", "n_shingles", "low", F.col("row.doc_id").alias("doc_id"), F.col("row.tie").alias("tie"),
+        F.monotonically_increasing_id().alias("id"), "sig"), "forest-classes")
+    named = classes.select("doc_id", "tie", "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text").join(
+        named, ["doc_id", "tie"]).select("id", "text")
+    comps = link_classes(classes.select("id", "sig"), texts)
+    # A component is named by its least document.
+    member = classes.select("k1", "k2", "n_shingles", "low", "id").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    least = member.groupBy("comp").agg(F.min("low").alias("component_id"))
+    top = saved(member.join(least, "comp").select("k1", "k2", "n_shingles", "component_id"), "forest-top")
     full = some.select("doc_id", "n_shingles", "k1", "k2").join(top, ["k1", "k2", "n_shingles"]).select(
-        "doc_id", "n_shingles", F.col("comp").alias("component_id"))
+        "doc_id", "n_shingles", "component_id")
     bare = sets.where("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionByName(bare)

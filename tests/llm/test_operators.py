@@ -546,10 +546,9 @@ def test_minhash_edges(spark, docs):
     assert minhash_forest.near_groups(docs.limit(0).select("doc_id", "text")).count() == 0
 
 
-def test_minhash_hot_group(spark, monkeypatch):
+def test_minhash_hot_group(spark):
     """A dense group, read at greater depth, with documents at the threshold around it."""
     ship(spark)
-    monkeypatch.setattr(minhash_forest, "REGION", 40)
     r = random.Random(11)
     base = _words(50, 150).split()
     rows = []
@@ -564,21 +563,28 @@ def test_minhash_hot_group(spark, monkeypatch):
     assert got == _brute_groups(rows)
 
 
-def test_minhash_copies_edited_at_one_place(spark, monkeypatch):
-    """A region over REGION at the greatest depth is cut by its order, and the
-    members on both sides of a cut are compared."""
+def test_minhash_shared_ids(spark):
+    """Rows that share an id, or have none, keep the links of each of their texts."""
+    ship(spark)
+    a, b, c = (_words(70 + k, 60) for k in range(3))
+    rows = [(9, a), (9, b), (4, a + " tail"), (3, b + " tail"), (8, c), (8, c), (None, a), (None, b), (2, c + " x"), (9, ""), (1, None)]
+    got = sorted((tuple(x) for x in minhash_forest.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == _brute_groups(rows)
+    assert {x[2] for x in got if x[0] == 9 and x[1]} == {3, 4}
+
+
+def test_minhash_copies_edited_at_one_place(spark):
+    """Members of a dense region that agree to the greatest depth, over several ranges of the order."""
     ship(spark)
-    monkeypatch.setattr(minhash_forest, "REGION", 40)
     base = _words(60, 1000).split()
     rows = [(7 * i + 3, " ".join([*base[:500], f"page{i}", *base[501:]])) for i in range(130)]
     got = minhash_forest.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == 130 and {r.component_id for r in got} == {3}
 
 
-def test_minhash_members_alone_at_greater_depth(spark, monkeypatch):
+def test_minhash_members_alone_at_greater_depth(spark):
     """A member of a dense region that shares no longer prefix keeps its neighbours there."""
     ship(spark)
-    monkeypatch.setattr(minhash_forest, "REGION", 40)
     base = _words(61, 100).split()
     rows = [(5 * i + 2, " ".join([*base[:50], f"page{i}", *base[51:]])) for i in range(300)]
     got = minhash_forest.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -592,15 +598,15 @@ def test_minhash_sorted_pairs_brute(spark):
     rows, comp = [], 0
     for i in range(600):
         comp = comp if r.random() < (0.98 if 200 < i < 400 else 0.3) else r.randrange(6)
-        rows.append((i // 450, i // 7, i % 7 // 3, i, comp))
-    df = spark.createDataFrame(rows, "key long, o1 long, o2 long, id long, comp long")
+        rows.append((i // 450, i // 7, i % 7 // 3, 0, i, comp))
+    df = spark.createDataFrame(rows, "h4 long, h8 long, h16 long, h32 long, id long, comp long")
     for near in (2, 3):
         want = set()
         for key in (0, 1):
-            x = [(i, c) for k, _, _, i, c in rows if k == key]
+            x = [(i, c) for k, _, _, _, i, c in rows if k == key]
             ends = [x[j] for j in range(len(x)) if j in (0, len(x) - 1) or not x[j - 1][1] == x[j][1] == x[j + 1][1]]
             want |= {(a, b) for j, (b, c) in enumerate(ends) for a, d in ends[max(j - near, 0): j] if c != d}
-        got = {(p.a, p.b) for p in minhash_forest._sorted_pairs(df, near).collect()}
+        got = {(p.a, p.b) for p in minhash_forest.sorted_pairs(df, near).collect()}
         assert want <= got and len(got) < len(want) + 8 * 8 * near
 
 
