@@ -8,8 +8,10 @@ members that share a longer prefix stand closer together: a region is read as
 deep as its members agree, however dense it is. All entries of all trees are
 sorted at once over ranges of the order, so a region of any size spans as many
 tasks as it needs, and neighbours across a cut are compared too. Candidates are
-each document and the ``NEAR`` next ones of its region (the same first DEPTH values) in
-the order, those with the longest common prefix; they grow in proportion to the documents.
+neighbours in the order within a region (the same first DEPTH values), those with the
+longest common prefix: at first each document and the next one, and once most
+of a dense group is one component, all members of different components up to ``NEAR``
+apart. They grow in proportion to the documents.
 
 Candidates whose signatures agree in less than 0.6 of the values are dropped (a
 pair at the threshold is four standard deviations away), the others are
@@ -17,8 +19,9 @@ confirmed on the full sets, in three steps that keep the texts moved small:
 
 1. each document against its most similar candidate of smaller id,
 2. each component against its most similar candidate component of smaller id,
-3. every candidate still between two components, and the neighbours across
-   components once runs of one component in the order are reduced to their ends.
+3. every candidate still between two components, and all members of different
+   components up to NEAR apart in an order, both as they stand and once
+   runs of one component are reduced to their ends.
 
 Only connectivity is asked for, so a candidate inside a component needs no
 check, and each step's links join the components of the step before. What remains
@@ -158,12 +161,13 @@ def entries(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig").mapInArrow(run, ENTRY)
 
 
-def sorted_pairs(rows: DataFrame, near: int = NEAR) -> DataFrame:
+def sorted_pairs(rows: DataFrame, near: int, members: bool = False) -> DataFrame:
     """Distinct (a, b), a < b, of members of different components (column comp), at most
-    ``near`` apart in a region's order once runs of one component are reduced to their two ends.
+    ``near`` apart in a region's order once runs of one component are reduced to their two
+    ends; with ``members`` also those at most ``near`` apart as the members stand.
 
     For regions of any size: all entries are sorted over ranges of the order and
-    each range is read once. A range also gives its first and last few ends,
+    each range is read once. A range also gives its first and last few ends (and members),
     and what meets across ranges is found among those."""
     cols, border = [*ORDER, "comp"], near + 4
     at_id, at_comp = len(ORDER) - 1, len(ORDER)
@@ -182,11 +186,17 @@ def sorted_pairs(rows: DataFrame, near: int = NEAR) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = head = tail = np.zeros((0, len(cols)), np.int64)  # x: the last row, whose successor is not known yet
+        front = back = x
         starts, n = True, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.concatenate([x, np.column_stack([c.to_numpy() for c in b.columns])])
+            new = np.column_stack([c.to_numpy() for c in b.columns])
+            if members:
+                both = np.concatenate([back, new])
+                yield pairs(both, len(back))
+                front, back = np.concatenate([front, new])[:near], both[-near:]
+            x = np.concatenate([x, new])
             turn = (x[1:, 0] != x[:-1, 0]) | (x[1:, at_comp] != x[:-1, at_comp])
             first = np.concatenate([[starts], turn])
             ends = np.concatenate([tail, x[:-1][first[:-1] | turn]])
@@ -197,24 +207,26 @@ def sorted_pairs(rows: DataFrame, near: int = NEAR) -> DataFrame:
         if len(x):
             ends = np.concatenate([tail, x])
             yield pairs(ends, len(tail))
-            rim = np.concatenate([head, ends[-min(border, max(n + 1 - len(head), 1)):]])
+            rim = np.unique(np.concatenate([head, ends[-min(border, max(n + 1 - len(head), 1)):], front, back]), axis=0)
             yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in rim.T], pa.nulls(len(rim), pa.int64())],
                                              names=[*cols, "other"])
 
     dealt = rows.select(*cols).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
     found = saved(dealt.mapInArrow(run, ", ".join(f"{c} long" for c in [*cols, "other"])), "forest-sorted")
     inside = found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))
-    return inside.unionByName(_across(found.where("other is null"), near)).distinct()
+    return inside.unionByName(_across(found.where("other is null"), near, members)).distinct()
 
 
-def _across(rims: DataFrame, near: int) -> DataFrame:
-    """The same pairs among the ends at the ranges' borders, by one window for each region."""
+def _across(rims: DataFrame, near: int, members: bool) -> DataFrame:
+    """The same pairs among the rows at the ranges' borders, by one window for each region."""
     order = Window.partitionBy(ORDER[0]).orderBy(*ORDER[1:])
     ends = (rims.withColumn("before", F.lag("comp").over(order)).withColumn("after", F.lead("comp").over(order))
             .where("before is null or after is null or comp <> before or comp <> after"))
     others = F.array(*[F.lag(F.struct("id", "comp"), k).over(order) for k in range(1, near + 1)])
-    return (ends.withColumn("near", others).select("id", "comp", F.explode("near").alias("o"))
-            .where("o.id is not null and o.comp <> comp")
+    found = ends.withColumn("near", others).select("id", "comp", "near")
+    if members:
+        found = found.unionByName(rims.withColumn("near", others).select("id", "comp", "near"))
+    return (found.select("id", "comp", F.explode("near").alias("o")).where("o.id is not null and o.comp <> comp")
             .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")))
 
 
@@ -282,7 +294,7 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
 def link_classes(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, comp) of the representatives (id, sig) that are linked to others; texts has (id, text)."""
     forest = saved(entries(reps), "forest-entries")
-    near = saved(sorted_pairs(forest.withColumn("comp", F.col("id"))), "forest-near")
+    near = saved(sorted_pairs(forest.withColumn("comp", F.col("id")), 1), "forest-near")
     cand = saved(similar(near, reps), "forest-candidates")
     ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
     texts = saved(texts.join(ids, "id", "left_semi"), "forest-texts")
@@ -297,7 +309,7 @@ def link_classes(reps: DataFrame, texts: DataFrame) -> DataFrame:
         first = first.unionByName(second)
     rest = _comp_of(open_.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
     placed = forest.join(ids, "id", "left_semi").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    wide = similar(sorted_pairs(placed).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
+    wide = similar(sorted_pairs(placed, NEAR, members=True).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
     third = saved(confirmed(saved(rest.unionByName(wide).distinct(), "forest-3"), texts), "forest-links-3")
     return _joined(comps, third) if third.limit(1).count() else comps
 

@@ -608,6 +608,10 @@ def test_minhash_sorted_pairs_brute(spark):
             want |= {(a, b) for j, (b, c) in enumerate(ends) for a, d in ends[max(j - near, 0): j] if c != d}
         got = {(p.a, p.b) for p in minhash_forest.sorted_pairs(df, near).collect()}
         assert want <= got and len(got) < len(want) + 8 * 8 * near
+        raw = {(a, b) for key in (0, 1) for x in [[(i, c) for k, _, _, _, i, c in rows if k == key]]
+               for j, (b, c) in enumerate(x) for a, d in x[max(j - near, 0): j] if c != d}
+        both = {(p.a, p.b) for p in minhash_forest.sorted_pairs(df, near, members=True).collect()}
+        assert want | raw <= both and len(both) < len(want | raw) + 8 * 16 * near
 
 
 def test_components_chain_and_star(spark):
