@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordwise.llm.components import components
-from ordwise.llm.store import read, saved
+from ordwise.llm.store import read, saved, tidied
 from ordwise.llm.words import LOWER, combine, mix, slices, split_words, text_buffer
 
 SHINGLE = 5
@@ -128,7 +128,7 @@ def set_pass(docs: DataFrame) -> DataFrame:
                      pa.array([r.tobytes() for r in sig], pa.binary())],
                     names=["doc_id", "tie", "n_shingles", "k1", "k2", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text").mapInArrow(run, SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text").mapInArrow(tidied(run), SETS)
 
 
 ORDER = [f"h{n}" for n in LEVELS] + ["id"]
@@ -158,7 +158,7 @@ def entries(reps: DataFrame) -> DataFrame:
             for t in range(TREES):
                 yield pa.RecordBatch.from_arrays([*[pa.array(h.view(np.int64)) for h in prefixes(sig, t)], b.column(0)], names=ORDER)
 
-    return reps.select("id", "sig").mapInArrow(run, ENTRY)
+    return reps.select("id", "sig").mapInArrow(tidied(run), ENTRY)
 
 
 def sorted_pairs(rows: DataFrame, near: int, members: bool = False) -> DataFrame:
@@ -212,7 +212,7 @@ def sorted_pairs(rows: DataFrame, near: int, members: bool = False) -> DataFrame
                                              names=[*cols, "other"])
 
     dealt = rows.select(*cols).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
-    found = saved(dealt.mapInArrow(run, ", ".join(f"{c} long" for c in [*cols, "other"])), "forest-sorted")
+    found = saved(dealt.mapInArrow(tidied(run), ", ".join(f"{c} long" for c in [*cols, "other"])), "forest-sorted")
     inside = found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))
     return inside.unionByName(_across(found.where("other is null"), near, members)).distinct()
 
@@ -249,10 +249,10 @@ def similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(n).take(at)],
                                                  names=["a", "b", "agree"])
 
-    sig = reps.select("id", "sig").mapInArrow(low, "id long, low binary")
+    sig = reps.select("id", "sig").mapInArrow(tidied(low), "id long, low binary")
     both = (pairs.join(sig.select(F.col("id").alias("a"), F.col("low").alias("la")), "a")
             .join(sig.select(F.col("id").alias("b"), F.col("low").alias("lb")), "b"))
-    return both.select("a", "b", "la", "lb").mapInArrow(agree, "a long, b long, agree long")
+    return both.select("a", "b", "la", "lb").mapInArrow(tidied(agree), "a long, b long, agree long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -270,7 +270,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     both = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "ta", "tb").mapInArrow(tidied(run), "a long, b long")
 
 
 def _comp_of(pairs: DataFrame, comps: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordwise.llm.store import read, saved
+from ordwise.llm.store import read, saved, tidied
 
 LIMIT = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -92,6 +92,10 @@ class WordTokenizer:
         rest = iter(range(256, 512))
         return [chr(b if b in own else next(rest)) for b in range(256)]
 
+    def forget(self) -> None:
+        """Drop the caches, so that a worker that Spark keeps does not keep them too."""
+        self.words, self.pieces = Recent(CACHE_WORDS), Recent(CACHE_PIECES)
+
     def piece(self, s: str) -> bytes:
         got = self.pieces.get(s)
         if got is None:
@@ -146,24 +150,27 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         tok, part = tokenizer(path), TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
         end = array("I", [END_ID]).tobytes()
-        for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = tok.text(text.as_py().encode() if text.is_valid else b"") + end
-                for k, at in enumerate(range(0, len(ids), 4 * limit)):
-                    cut = ids[at: at + 4 * limit]
-                    n = len(cut) // 4
-                    for c, v in zip(out, (doc, k, at // 4, n, zlib.crc32(cut), int(seen[n]))):
-                        c.append(v)
-                    seen[n] += 1
-            n = len(out[0])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64()),
-                 pa.array(np.full(n, part, np.int32)), pa.array(out[5], pa.int64())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "idx"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+        try:
+            for b in batches:
+                out: list[list] = [[], [], [], [], [], []]
+                for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                    ids = tok.text(text.as_py().encode() if text.is_valid else b"") + end
+                    for k, at in enumerate(range(0, len(ids), 4 * limit)):
+                        cut = ids[at: at + 4 * limit]
+                        n = len(cut) // 4
+                        for c, v in zip(out, (doc, k, at // 4, n, zlib.crc32(cut), int(seen[n]))):
+                            c.append(v)
+                        seen[n] += 1
+                n = len(out[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()),
+                     pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64()),
+                     pa.array(np.full(n, part, np.int32)), pa.array(out[5], pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "idx"])
+        finally:
+            tok.forget()
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), PIECES)
 
 
 def enumerate_patterns(hist: np.ndarray, limit: int, top: int = TRIPLES_OF) -> list[tuple[int, ...]]:

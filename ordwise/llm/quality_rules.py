@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordwise.llm.store import read, saved
+from ordwise.llm.store import read, saved, tidied
 from ordwise.llm.words import SPACE, combine, mix, slices, split_words, text_buffer
 
 SHINGLE = 5
@@ -106,7 +106,7 @@ def measured(docs: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(x) for x in m]],
                                                  names=[*part.schema.names, *names])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def base_failed(p: str = "") -> Column:
@@ -211,7 +211,8 @@ def _oracle(documents: str = "documents") -> str:
     return rf"""
 WITH split AS (
   SELECT doc_id, source, coalesce(text, '') AS t,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws FROM {documents}),
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws FROM {documents}),
 grams AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
   FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM split)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
@@ -221,7 +222,8 @@ f AS (
     coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint AS n_symbols,
     (len(ls) - len(list_distinct(ls)))::bigint AS n_dup_lines, coalesce(r.n, 0)::bigint AS n_repeat_words
-  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM split) s
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS ls FROM split) s
   LEFT JOIN repeats r USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
 hosts AS (SELECT source, count(*) AS n, {sums} FROM b WHERE NOT base_failed GROUP BY source), {",".join(prior)},

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import pathlib
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ordwise.session import new_output_path, remove_path
+from ordwise.session import new_output_path, remove_path, set_if_unset
+
+# Batches that Spark hands to Python, by bytes and not only by rows: whole texts are long.
+BATCH_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -38,6 +44,7 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that Python
     workers find it wherever they run."""
+    set_if_unset(spark, BATCH_CONF)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -53,3 +60,23 @@ def ship(spark: SparkSession) -> None:
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def tidied(run):
+    """``run`` over batches, with the task's memory given back to the system at its end: Spark keeps
+    Python workers for the next task, and what they hold adds up over the steps of a job."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass

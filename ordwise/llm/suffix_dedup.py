@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordwise.llm.store import read, saved
+from ordwise.llm.store import read, saved, tidied
 from ordwise.llm.words import combine, mix, slices, text_buffer
 
 SPAN = 100
@@ -242,7 +242,7 @@ def suffix_pass(docs: DataFrame) -> DataFrame:
         if parts:
             yield from combined_runs(parts)
 
-    return docs.mapInArrow(run, ROW)
+    return docs.mapInArrow(tidied(run), ROW)
 
 
 def _gathered(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
@@ -302,7 +302,7 @@ def refine_pass(wanted: DataFrame, split, combined) -> DataFrame:
         if parts:
             yield from combined(parts)
 
-    return wanted.mapInArrow(run, ROW)
+    return wanted.mapInArrow(tidied(run), ROW)
 
 
 def _first_of(rows: DataFrame) -> DataFrame:
@@ -378,7 +378,7 @@ def dedup_report(docs: DataFrame) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 5, kinds)], names=names)
 
     return plain.join(spans, "doc", "left").select("doc", "text", "at").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        tidied(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def apply_dedup(docs: DataFrame) -> DataFrame:
@@ -401,7 +401,7 @@ def apply_dedup(docs: DataFrame) -> DataFrame:
             cols[at_text] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    out = plain.join(spans, "__doc", "left").select(*names, "__at").mapInArrow(run, schema)
+    out = plain.join(spans, "__doc", "left").select(*names, "__at").mapInArrow(tidied(run), schema)
     cols = [F.length(text).cast(docs.schema["n_chars"].dataType).alias("n_chars")
             if c == "n_chars" else F.col(a).alias(c) for c, a in inner.items()]
     return out.select(*cols)
