@@ -31,8 +31,9 @@ under the bucket and the rest under their own identifiers, marked for the next
 step; the last one is exact by itself. So no key meets more than two rows a batch.
 
 Keys have 128 bits and are not compared as text. Edge cases: null text is empty;
-a null id orders after all others; rows that share an id are one document for the
-order, so copies of a row do not remove each other; texts shorter than SPAN stay;
+a null id orders after all others; rows that share an id (or have none) but not the
+text are documents of their own, ordered by a hash of the text; rows equal in both are one
+document for the order, so copies of a row do not remove each other; texts shorter than SPAN stay;
 a text of any length is read in segments; an empty table gives an empty result;
 other columns are not read, and :func:`apply_dedup` keeps them.
 """
@@ -47,6 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordwise.llm.merkle import placed
 from ordwise.llm.store import read, saved, tidied
 from ordwise.llm.words import combine, mix, slices, text_buffer
 
@@ -355,29 +357,37 @@ def kept_bytes(data: bytes, gone: list[tuple[int, int]]) -> bytes:
     return b"".join(parts)
 
 
-def _ordered_id(name: str = "doc_id"):
-    return F.coalesce(F.col(name).cast("long"), F.lit(LAST_ID)).alias("doc")
+def ordered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with their number ``__doc`` in the order of ids. Unique ids are their own numbers; if any repeats,
+    all distinct (id, text) are numbered by ranges of the order."""
+    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
+    if not docs.groupBy(key.alias("k")).count().where("count > 1").limit(1).count():
+        return docs.withColumn("__doc", key)
+    keyed = docs.withColumn("__k", key).withColumn("__tie", F.xxhash64(F.coalesce(text, F.lit(""))))
+    rows = keyed.select(F.lit("").alias("tree"), "__k", "__tie").distinct()
+    numbers = placed(rows, "tree", ["__k", "__tie"], "suffix-order").select("__k", "__tie", F.col("place").alias("__doc"))
+    return saved(keyed.join(numbers, ["__k", "__tie"]).drop("__k", "__tie"), "suffix-numbered")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): sizes, spans and the hash of what is kept."""
-    plain = docs.select(_ordered_id(), "text")
-    spans = covered(plain)
+    plain = ordered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed("__doc", "doc")
+    spans = covered(plain.select("doc", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for doc, text, at in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+            for doc_id, text, at in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 data = text.as_py().encode() if text.is_valid else b""
                 gone = removed(at, len(data))
-                out.append((None if doc == LAST_ID else doc, len(data), sum(y - x for x, y in gone), len(gone),
+                out.append((doc_id, len(data), sum(y - x for x, y in gone), len(gone),
                             hashlib.sha256(kept_bytes(data, gone)).hexdigest()))
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             kinds = [pa.int64()] * 4 + [pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 5, kinds)], names=names)
 
-    return plain.join(spans, "doc", "left").select("doc", "text", "at").mapInArrow(
+    return plain.join(spans, "doc", "left").select("doc_id", "text", "at").mapInArrow(
         tidied(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -385,8 +395,9 @@ def apply_dedup(docs: DataFrame) -> DataFrame:
     """The documents with repeated spans cut out of their text (bytes of a cut
     character are dropped) and n_chars, where there is one, counted anew."""
     inner = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
-    plain = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in inner.items()], _ordered_id().alias("__doc"))
-    spans = covered(docs.select(_ordered_id(), "text")).select(F.col("doc").alias("__doc"), F.col("at").alias("__at"))
+    plain = ordered(docs.select(*[F.col(f"`{c}`").alias(a) for c, a in inner.items()]), inner["doc_id"], inner["text"])
+    spans = covered(plain.select(F.col("__doc").alias("doc"), F.col(inner["text"]).alias("text"))).select(
+        F.col("doc").alias("__doc"), F.col("at").alias("__at"))
     text, names = inner["text"], list(inner.values())
     at_text = names.index(text)
     kinds = [f.dataType.simpleString() for f in docs.schema]

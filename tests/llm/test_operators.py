@@ -94,7 +94,8 @@ def _check_suffix(spark, pairs):
     ship(spark)
     df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)
     got = sorted(suffix_dedup.dedup_report(df).collect(), key=str)
-    order = [(2 ** 63 - 1 if i is None else i, (t or "").encode()) for i, t in pairs]
+    ties = {r.text: r.tie for r in df.selectExpr("coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS tie").collect()}
+    order = [((2 ** 63 - 1 if i is None else i, ties[t or ""]), (t or "").encode()) for i, t in pairs]
     want = []
     for (i, _), (_, data), gone in zip(pairs, order, _brute_removed(order)):
         kept = bytes(x for x, g in zip(data, gone) if not g)
@@ -120,6 +121,19 @@ def test_suffix_dedup_edited_copies(spark):
     _check_suffix(spark, pairs)
 
 
+def test_suffix_dedup_shared_and_null_ids(spark):
+    """Different texts of one id, of no id and of the greatest id, of different lengths."""
+    a, b = _words(300, 200), _words(301, 90)
+    pairs = [(5, a), (5, a[:400]), (5, b + a[100:350]), (3, b), (5, a), (None, b + a), (None, a[200:]), (None, None), (2 ** 63 - 1, a[30:330]),
+             (5, ""), (7, b[40:] + b[:300]), (None, b + a)]
+    _check_suffix(spark, pairs)
+    rows = spark.createDataFrame([(i, t, "x", None if t is None else len(t)) for i, t in pairs], "doc_id long, text string, doc string, n_chars long")
+    out = suffix_dedup.apply_dedup(rows)
+    got = sorted(((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in out.collect()), key=str)
+    want = suffix_dedup.dedup_report(rows.select("doc_id", "text")).collect()
+    assert got == sorted(((r.doc_id, r.kept_sha256) for r in want), key=str)
+
+
 def test_suffix_dedup_long_text_in_segments(spark, monkeypatch):
     text = _words(9, 400)
     offs = np.array([0, len(text)])
