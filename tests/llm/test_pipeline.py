@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 
 def test_registered():
     assert set(registry.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert {k.split("_")[0] for k in registry.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_stages(spark):
