@@ -361,18 +361,24 @@ def ordered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """``docs`` with their number ``__doc`` in the order of ids. Unique ids are their own numbers; if any repeats,
     all distinct (id, text) are numbered by ranges of the order."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    if not docs.groupBy(key.alias("k")).count().where("count > 1").limit(1).count():
+    odd = docs.groupBy(key.alias("k")).agg(F.count("*").alias("n"), F.count(doc_id).alias("ids")).where(
+        (F.col("n") > 1) | (F.col("k") == LAST_ID) & (F.col("ids") > 0))
+    if not odd.limit(1).count():
         return docs.withColumn("__doc", key)
     keyed = docs.withColumn("__k", key).withColumn("__tie", F.xxhash64(F.coalesce(text, F.lit(""))))
     rows = keyed.select(F.lit("").alias("tree"), "__k", "__tie").distinct()
     numbers = placed(rows, "tree", ["__k", "__tie"], "suffix-order").select("__k", "__tie", F.col("place").alias("__doc"))
-    return saved(keyed.join(numbers, ["__k", "__tie"]).drop("__k", "__tie"), "suffix-numbered")
+    return saved(keyed.join(numbers, ["__k", "__tie"]).drop("__k", "__tie").withColumn("__numbered", F.lit(True)), "suffix-numbered")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): sizes, spans and the hash of what is kept."""
     plain = ordered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed("__doc", "doc")
+    if "__numbered" not in plain.columns:
+        # The id again from its number, so that every join takes the same two columns and shares one shuffle.
+        plain = plain.select("doc", "text")
     spans = covered(plain.select("doc", "text"))
+    own = F.col("doc_id") if "doc_id" in plain.columns else F.when(F.col("doc") != LAST_ID, F.col("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -387,7 +393,7 @@ def dedup_report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 5, kinds)], names=names)
 
-    return plain.join(spans, "doc", "left").select("doc_id", "text", "at").mapInArrow(
+    return plain.join(spans, "doc", "left").select(own.alias("doc_id"), "text", "at").mapInArrow(
         tidied(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
