@@ -216,6 +216,56 @@ def test_html_region_wrappers_and_post_headers(spark):
     assert {r.page_id: r.text for r in html_region.extract_pages(df).collect()} == {i: text for i, _ in rows}
 
 
+def _page_weights(spark):
+    """Weights fitted on all given pages, as the query fits them."""
+    counts = html_region.count_tokens(spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html")).collect()
+    return html_region.weights([(r.kind, r.inside, r.n) for r in counts])
+
+
+ODD_PARTS = {  # what an article ends with -> its text
+    "<ul><li>Salt</li><li>Pepper</li></ul>": "Salt\n\nPepper",
+    "<figure><img src=x><img src=y></figure><p>End</p>": "End",
+    "<div class=gallery>" + "<figure><img src=x></figure>" * 400 + "</div><p>End</p>": "End",
+    "<div class=ad>" + "buy this now " * 2000 + "</div><p>End</p>": "End",
+    '<svg/><p>After the icon</p>': "After the icon",
+    '<svg><path d="M0"/><title>Icon</title></svg><p>After the icon</p>': "After the icon",
+    '<script src="x.js"/><p>After the script</p>': "After the script",
+    '<p><svg viewBox="0"><path>unclosed</p><p>After the icon</p>': "After the icon",
+    '<p data-id="related">Kept words</p>': "Kept words",
+    '<section id="related-work"><h2 id="comments">Related work</h2><p>Kept words</p></section>': "Related work\n\nKept words",
+    '<section class="ad-slot">Buy</section><div id="related-posts">More</div><p>Kept words</p>': "Kept words",
+    "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p>": "So x=2 holds",
+    "<p>Last <a href=/next/>link</a></p>": "Last link",
+}
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main><div>%s</div></main>"])
+def test_html_region_keeps_the_ends_of_an_article(spark, around):
+    w = _page_weights(spark)
+    head = "<h1>Head</h1><p>Some words of the first paragraph.</p>"
+    for part, text in ODD_PARTS.items():
+        page = f"<body><nav><a>Home</a></nav>{around % (head + part)}<footer>Foot words</footer></body>"
+        assert html_region.extract(page, w) == "Head\n\nSome words of the first paragraph.\n\n" + text, part
+
+
+def test_html_region_without_a_content_element(spark):
+    """Short last blocks stay in, an unnamed list of links stays out."""
+    w = _page_weights(spark)
+    menu = "<ul>" + "".join(f"<li><a href=x>{x}</a></li>" for x in ("Home", "About us", "News")) + "</ul>"
+    body = "<h1>Head</h1><p>Some words of the first paragraph.</p><img src=x><p>Short</p><ul><li>Salt</li><li>Pepper</li></ul>"
+    assert html_region.extract(f"<body>{menu}<div>{body}</div>{menu}</body>", w) == (
+        "Head\n\nSome words of the first paragraph.\n\nShort\n\nSalt\n\nPepper")
+
+
+def test_html_region_against_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        x = [rng.randint(-4, 4) for _ in range(rng.randint(0, 14))]
+        runs = [(sum(x[i:j]), -j, i) for i in range(len(x)) for j in range(i + 1, len(x) + 1)]
+        total, end, start = max(runs, default=(0, 0, 0))
+        assert html_region.best_region(x) == ((start, -end) if total > 0 else (0, 0))
+
+
 def test_html_region_on_given_pages(spark):
     import html
     rows = {r.page_id: r for r in html_region.q_html_region(spark, SF_SMALL).collect()}
