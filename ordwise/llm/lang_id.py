@@ -7,16 +7,14 @@ as a known one. A text's language is the one with the highest sum; its score is
 the posterior under equal priors.
 
 The classifier is fitted on a bounded sample of the labelled rows: in each
-language an expected ``SAMPLE_DOCS`` documents, chosen by a hash of id and text,
-and keeps the ``TOP_WORDS`` most frequent words and ``TOP_GRAMS`` most frequent
-n-grams of each order and language, so the broadcast model has a fixed bound
-for each language. Predictions read whole texts and nothing but the text.
+language an expected ``SAMPLE_DOCS`` documents, chosen by a hash of id and text. Every
+word and n-gram of the sample is kept, so the sample is the model's only bound.
+Predictions read whole texts and nothing but the text.
 
 Edge cases: null text or text without a letter is ``und`` with score 0; a table
 without labelled rows predicts ``und`` for all; ties go to the smaller language
 code; repeated rows are learned and predicted as rows of their own; very long
-texts are scored in full; a word longer than 64 characters is not kept as a word
-and is scored by the n-grams of the whole of it.
+texts are scored in full; words of any length are kept and scored alike.
 """
 
 from __future__ import annotations
@@ -27,17 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordwise.llm.store import read
 
 SAMPLE_DOCS = 5_000
-TOP_WORDS = 30_000
-TOP_GRAMS = 20_000
 ORDERS = (5, 4, 3, 2, 1)
 MEMO_WORDS = 300_000
-MAX_WORD = 64
+MEMO_CHARS = 64
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -62,7 +58,7 @@ def counts(labelled: DataFrame) -> DataFrame:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 words.setdefault(lang, Counter()).update(words_of(text.as_py() or ""))
             for lang, c in words.items():
-                out = [(0, w, n) for w, n in c.items() if len(w) <= MAX_WORD]
+                out = [(0, w, n) for w, n in c.items()]
                 for k in ORDERS:
                     g: Counter = Counter()
                     for w, n in c.items():
@@ -88,7 +84,7 @@ def sample(labelled: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
 
 
 class Model:
-    """Log frequencies per language; plain data, bounded by the parameters above:
+    """Log frequencies per language; plain data, bounded by the sample's items:
     for each kind the items' row numbers and one matrix (items, languages)."""
 
     def __init__(self, rows: pa.Table):
@@ -108,7 +104,7 @@ class Model:
 
     def word(self, w: str) -> np.ndarray:
         index, logs = self.tables[0]
-        if len(w) <= MAX_WORD and (i := index.get(w)) is not None:
+        if (i := index.get(w)) is not None:
             return logs[i]
         for k in ORDERS:
             index, logs = self.tables[k]
@@ -142,10 +138,10 @@ class Scorer:
         if not words:
             return "und", 0.0
         get = self.memo.get
-        ids = [i if (i := get(w)) is not None else self.index(w) for w in words if len(w) <= MAX_WORD]
+        ids = [i if (i := get(w)) is not None else self.index(w) for w in words if len(w) <= MEMO_CHARS]
         s = self.rows[ids].sum(axis=0)
         for w in words:
-            if len(w) > MAX_WORD:  # not memoised: the memo's size is bounded by its number of words
+            if len(w) > MEMO_CHARS:  # not memoised: the memo's size is bounded by its number of words
                 s = s + self.model.word(w)
         s = np.exp(s - s.max())
         best = int(s.argmax())
@@ -154,10 +150,7 @@ class Scorer:
 
 def fit(labelled: DataFrame, per_lang: int = SAMPLE_DOCS) -> Model:
     """Model from labelled (doc_id, lang, text) rows; lang must not be null."""
-    c = counts(sample(labelled, per_lang))
-    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
-    top = F.when(F.col("kind") == 0, TOP_WORDS).otherwise(TOP_GRAMS)
-    return Model(c.withColumn("r", rank).where(F.col("r") <= top).select("lang", "kind", "item", "n").toArrow())
+    return Model(counts(sample(labelled, per_lang)).select("lang", "kind", "item", "n").toArrow())
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -298,6 +298,53 @@ def test_lang_id_edges(spark, docs):
     assert {r.lang_pred for r in lang_id.predict(d, empty).collect()} == {"und"}
 
 
+def _lang_brute(learn, text):
+    """Language and posterior from plain counters, by the method's rules."""
+    letters = [x for x in re.split(r"[\W\d_]+", (text or "").lower()) if x]
+    langs = sorted({lang for lang, _ in learn})
+    if not letters or not langs:
+        return "und", 0.0
+    table = {(lang, k): Counter() for lang in langs for k in range(6)}
+    for lang, known in learn:
+        for x in re.split(r"[\W\d_]+", known.lower()):
+            if x:
+                table[lang, 0][x] += 1
+                for k in range(1, 6):
+                    y = f"<{x}>" if k > 1 else x
+                    table[lang, k].update(y[i:i + k] for i in range(len(y) - k + 1))
+    total = {key: sum(c.values()) + 1 for key, c in table.items()}
+    log = lambda lang, k, x: math.log((table[lang, k][x] or 0.5) / total[lang, k])
+    known = lambda k, x: any(table[lang, k][x] for lang in langs)
+    sums = dict.fromkeys(langs, 0.0)
+    for x in letters:
+        if known(0, x):
+            k, items = 0, [x]
+        else:
+            for k in (5, 4, 3, 2, 1):
+                y = f"<{x}>" if k > 1 else x
+                items = [g for g in (y[i:i + k] for i in range(len(y) - k + 1)) if known(k, g)]
+                if items:
+                    break
+        for lang in langs if items else ():
+            sums[lang] += sum(log(lang, k, g) for g in items) / len(items)
+    top = max(sums.values())
+    best = min(lang for lang in langs if sums[lang] == top)
+    return best, 1 / sum(math.exp(v - top) for v in sums.values())
+
+
+def test_lang_id_against_brute_force(spark):
+    rng = random.Random(5)
+    make = lambda abc, n: " ".join("".join(rng.choice(abc) for _ in range(rng.randint(1, 6))) for _ in range(n))
+    learn = [("a", make("abcd", 60)), ("b", make("cdef", 40)), ("c", make("efgh", 80)), ("a", "Long" * 40), ("c", "7 _ !")]
+    asked = [make("abcdefghij", n) for n in (1, 2, 3, 5, 8, 13)] * 2 + [make("xyz", 3), "long" * 40, "long" * 39, None, "", "12 _"]
+    rows = [(i, lang, t) for i, (lang, t) in enumerate(learn)]
+    model = lang_id.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    df = spark.createDataFrame([(i, False, t) for i, t in enumerate(asked)], "doc_id long, held_out boolean, text string")
+    for r in lang_id.predict(df, model).collect():
+        lang, score = _lang_brute(learn, asked[r.doc_id])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-4, asked[r.doc_id]
+
+
 def test_lang_id_scores_the_whole_of_a_long_word(spark):
     learn = spark.createDataFrame([(1, "x", "abababab babababa"), (2, "y", "cdcdcdcd dcdcdcdc")], "doc_id long, lang string, text string")
     asked = spark.createDataFrame([(3, False, "abab" * 16 + "cdcd" * 2000)], "doc_id long, held_out boolean, text string")
