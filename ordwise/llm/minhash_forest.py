@@ -316,6 +316,11 @@ def link_classes(reps: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    return tied_groups(docs).drop("tie")
+
+
+def tied_groups(docs: DataFrame) -> DataFrame:
+    """:func:`near_groups` with ``tie``, the hash of the row's text: rows may share an id."""
     sets = saved(set_pass(docs), "forest-sets")
     some = sets.where("n_shingles > 0 and doc_id is not null")
     # A class is a set; its number stands for it, its first row's id and text hash name its text.
@@ -331,20 +336,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
     member = classes.select("k1", "k2", "n_shingles", "low", "id").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     least = member.groupBy("comp").agg(F.min("low").alias("component_id"))
     top = saved(member.join(least, "comp").select("k1", "k2", "n_shingles", "component_id"), "forest-top")
-    full = some.select("doc_id", "n_shingles", "k1", "k2").join(top, ["k1", "k2", "n_shingles"]).select(
-        "doc_id", "n_shingles", "component_id")
+    full = some.select("doc_id", "tie", "n_shingles", "k1", "k2").join(top, ["k1", "k2", "n_shingles"]).select(
+        "doc_id", "tie", "n_shingles", "component_id")
     bare = sets.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        "doc_id", "tie", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionByName(bare)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one of smallest id, with the input's columns."""
+    """One document of each group, the one of smallest id, with the input's columns. Rows that
+    share an id are judged by their own texts; those of a group's smallest id all stay."""
     inner = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
-    groups = near_groups(docs.select("doc_id", "text"))
-    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    groups = tied_groups(docs.select("doc_id", "text"))
+    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("__gone"), F.col("tie").alias("__tie")).distinct()
     out = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in inner.items()])
-    out = out.join(gone, F.col(inner["doc_id"]).cast("long") == F.col("__gone"), "left_anti")
+    same = (F.col(inner["doc_id"]).cast("long") == F.col("__gone")) & (F.xxhash64(inner["text"]) == F.col("__tie"))
+    out = out.join(gone, same, "left_anti")
     return out.select(*[F.col(a).alias(c) for c, a in inner.items()])
 
 
