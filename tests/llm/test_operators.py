@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ordwise.llm import (
     components,
@@ -494,6 +495,52 @@ def test_vector_graph_recall(spark, monkeypatch):
     assert links <= truth and len(links) >= 0.99 * len(truth) > 0
 
 
+@pytest.mark.parametrize("overlap,members", [(2, 8000), (3, 20)])
+def test_vector_graph_counts_and_borders(spark, monkeypatch, overlap, members):
+    """Sums a vector, the spanning links and the search across borders against all pairs: dense
+    groups that many shards cut, of vectors with sizes, in two parts."""
+    ship(spark)
+    r = np.random.default_rng(9)
+    base = r.normal(size=(8, 24))
+    x = np.array([base[i % 8] + 0.12 * r.normal(size=24) for i in range(800)])
+    rows = [(7 * i, x[i].tolist(), i % 2, 1 + i % 3) for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, size long")
+    monkeypatch.setattr(vector_graph, "SHARD", 30)
+    monkeypatch.setattr(vector_graph, "MEMBERS", members)
+    reps = vector_graph.usable(df).join(df.select("vec_id", "size"), "vec_id")
+    centres = vector_graph.fit_centroids(reps)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= vector_graph.COSINE) & (np.arange(800) % 2 == np.arange(800)[:, None] % 2)
+    truth = {(7 * i, 7 * j) for i, j in zip(*np.nonzero(near)) if i < j}
+    assert len(truth) > 1000
+    pairs = [(p.a, p.b) for p in vector_graph.graph_links(reps, centres, overlap).collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) <= truth and len(pairs) >= 0.99 * len(truth)
+    far, span = vector_graph.graph_counts(reps, centres, overlap)
+    want: dict[int, int] = {}
+    for a, b in pairs:
+        want[a] = want.get(a, 0) + 1 + b // 7 % 3
+        want[b] = want.get(b, 0) + 1 + a // 7 % 3
+    assert {p.vec_id: p.far for p in far.collect()} == want
+    assert _classes(span.select("a", "b").collect()) == _classes(pairs)
+    if overlap == 2:  # some pairs share no shard
+        found = vector_graph.search_shards(reps, centres, overlap)
+        assert vector_graph.border_links(reps, found).count() > 0
+
+
+def _classes(links):
+    low: dict[int, int] = {}
+
+    def find(k):
+        while low.setdefault(k, k) != k:
+            k = low[k]
+        return k
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        low[max(a, b)] = min(a, b)
+    return {k: find(k) for k in list(low)}
+
+
 def test_vector_graph_audit(spark, monkeypatch):
     """Recall is a mean over all audit vectors with links, and a short one after the last rebuild fails."""
     ship(spark)
@@ -503,12 +550,13 @@ def test_vector_graph_audit(spark, monkeypatch):
     for k in range(1, 5):
         rows += [(100 * (k + 1) + j, (base[k] + 0.001 * r.normal(size=32)).tolist(), 1) for j in (0, 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    reps = vector_graph.usable(df)
-    found = spark.createDataFrame([(100, i) for i in range(101, 141)] + [(200, 201)], "a long, b long")
+    reps = vector_graph.usable(df).withColumn("size", F.lit(1).cast("long"))
+    found = spark.createDataFrame([(100, 40), (200, 1), (201, 1)] + [(i, 1) for i in range(101, 141)], "vec_id long, far long")
+    span = spark.createDataFrame([(100, 101)], "a long, b long")
     for block in (2, 5000):
         monkeypatch.setattr(vector_graph, "AUDIT", block)
         assert vector_graph.audit(reps, found) == pytest.approx(2 / 5)
-    monkeypatch.setattr(vector_graph, "graph_links", lambda *_: found)
+    monkeypatch.setattr(vector_graph, "graph_counts", lambda *_: (found, span))
     with pytest.raises(RuntimeError, match="recall"):
         vector_graph.near_vectors(df)
 
