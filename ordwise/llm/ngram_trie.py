@@ -1,27 +1,28 @@
 """Language-model scoring with a sharded Elias-Fano n-gram trie.
 
-The model is an interpolated trigram model over exact words with bounded
-context classes: the word before is its own class if it is frequent (at least
-one in ``HEAVY`` tokens, so at most ``HEAVY`` such words exist) and else one of
-``CLASSES`` hash classes; the two words before are one of ``CONTEXTS`` hash
-classes. With c the training count and m(c) = k * c^b the weight of the lower order,
-
-    P1(w)      = (c(w) + 0.1) / (N + 0.1 * (V + 1))
-    P2(w | g)  = (c(g, w) + m2(c(g)) * P1(w)) / (c(g) + m2(c(g)))
-    P3(w | h)  = (c(h, w) + m3(c(h)) * P2(w | g)) / (c(h) + m3(c(h)))
-
-which sums to one in every context. c(g) and c(h) are tables of fixed size and
-go to every task; the counts of words and n-grams grow with the corpus and stay
-sharded by word (a frequent word by word and class, so no word fills a task).
-
-Pass 1 counts words and contexts. Pass 2 sorts each slice of documents by shard
-and sends one packed block per slice and shard: distinct (w, g, h), and the
-documents they occur in. A shard merges its blocks' training counts into a trie
-of three levels, writes the levels to a file in the task's temporary folder,
-maps them, and looks up every block's n-grams: a level's keys are the monotone
-sequence (parent position, child), kept in Elias-Fano form, and a child is found
-by successor search relative to its parent. Levels 2 and 3 hold smoothed log
-probabilities, quantised to 1/4000 of a decade. Partial sums go back by slice.
+The model is an interpolated trigram model over exact words and exact histories. With c
+the training count and m(c) = k * c^b the weight of the lower order,
+
+    P1(w)       = (c(w) + 0.1) / (N + 0.1 * (V + 1))
+    P2(w | v)   = (c(v, w) + m2(c(v)) * P1(w)) / (c(v) + m2(c(v)))
+    P3(w | u v) = (c(u, v, w) + m3(c(u, v)) * P2(w | v)) / (c(u, v) + m3(c(u, v)))
+
+which sums to one in every context. Words are 64-bit hashes; no word or history shares
+its counts with another.
+
+Every place of a text is a path of three words in the trie, and the counts a token needs are
+those of the paths that start at it and at the two words before it. Paths are sharded by their
+first word. A frequent word's (at least one in ``HEAVY`` tokens, so at most ``HEAVY`` such words
+exist) are sharded by the first two, and a frequent pair's (by the same measure) by all three,
+so no word or pair fills a task; the counts of these words and pairs go to every task.
+
+Pass 1 counts words, then the pairs of frequent words. Pass 2 sends one packed block per slice
+of documents and shard: distinct paths and how often each occurs in training documents, and one
+block per slice that tells which path starts where. A shard merges its blocks' counts into a trie
+of three levels, writes the levels to a file in the task's temporary folder, maps them, and looks
+up every block's paths: a level's keys are the monotone sequence (parent position, child), kept in
+Elias-Fano form, and a child is found by successor search relative to its parent. The counts go
+back by slice, where each token's probability is put together.
 
 Edge cases: null text is empty and scores its end token alone; with no training
 documents every word is unknown (N = V = 0); repeated rows are documents of
@@ -46,16 +47,13 @@ from ordwise.llm.store import read, saved
 from ordwise.llm.words import LOWER, combine, mix, slices, split_words, text_buffer
 
 HEAVY = 10_000
-CLASS_BITS, CONTEXT_BITS = 16, 18
-CLASSES, CONTEXTS = 1 << CLASS_BITS, 1 << CONTEXT_BITS
 SHARD_TOKENS = 2_000_000
 SLICE = 8 << 20
 M2 = (2.0, 0.85)
 M3 = (2.0, 0.8)
-STEP = 4000.0
 ADD = 0.1
 
-END, BOS = (np.uint64(x) for x in (0x5E1D0000000000E1, 0x5E1D0000000000B0))
+END, BOS, PAD = (np.uint64(x) for x in (0x5E1D0000000000E1, 0x5E1D0000000000B0, 0x5E1D0000000000F0))
 
 
 def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -77,55 +75,85 @@ def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def context(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return (combine(u, v) >> np.uint64(64 - CONTEXT_BITS)).astype(np.int64)
+    """The key of a history of two words."""
+    return combine(u, v).view(np.int64)
+
+
+def _each_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(doc_id, training flags, bytes, offsets) of each slice of (doc_id, held_out, text)."""
+    for b in batches:
+        train = ~b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        ids = b.column(0).cast(pa.int64())
+        buf, offs = text_buffer(b.column(2))
+        for i, j in slices(offs, SLICE):
+            yield ids.slice(i, j - i), train[i:j], buf[offs[i]: offs[j]], offs[i: j + 1] - offs[i]
 
 
 def count_pass(docs: DataFrame) -> DataFrame:
-    """(kind, key, n) over training documents: kind 0 words, kind 1 contexts of two."""
+    """(kind, key, n) over training documents: kind 0 all words, kind 1 the frequent histories of two."""
+    rows = docs.select("doc_id", "held_out", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ctx = np.zeros(CONTEXTS, np.int64)
-        for b in batches:
-            train = ~b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            buf, offs = text_buffer(b.column(2))
-            for i, j in slices(offs, SLICE):
-                w, v, u, row = tokens(buf[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
-                mine = train[i:j][row]
-                key, n = np.unique(w[mine], return_counts=True)
-                ctx += np.bincount(context(u[mine], v[mine]), minlength=CONTEXTS)
-                yield _counts(0, key.view(np.int64), n)
-        at = np.flatnonzero(ctx)
-        yield _counts(1, at, ctx[at])
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, train, buf, offs in _each_slice(batches):
+            w, _, _, row = tokens(buf, offs)
+            yield _counts(*np.unique(w[train[row]], return_counts=True))
+
+    counted = saved(rows.mapInArrow(words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
+    n = int(counted.agg(F.sum("n")).first()[0] or 0)
+    t = docs.sparkSession.sparkContext.broadcast(Tables(n, 0, 0, _frequent(counted, n), []))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, train, buf, offs in _each_slice(batches):
+            w, v, u, row = tokens(buf, offs)
+            mine = train[row]
+            known = t.value.class_of(w, t.value.heavy_at(w)) >= 0
+            at_v = np.concatenate([[True], known[:-1]]) | (v == BOS)
+            at_u = np.concatenate([[True], at_v[:-1]]) | (u == BOS)
+            mine &= at_v & at_u  # a frequent pair's words are frequent
+            yield _counts(*np.unique(context(u[mine], v[mine]), return_counts=True))
+
+    often = (rows.mapInArrow(pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+             .where(F.col("n") * HEAVY >= F.lit(max(n, 1))))
+    return counted.select(F.lit(0).alias("kind"), "key", "n").union(often.select(F.lit(1).alias("kind"), "key", "n"))
+
+
+def _counts(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-    rows = docs.select("doc_id", "held_out", "text").mapInArrow(run, "kind int, key long, n long")
-    return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
+def _frequent(words: DataFrame, n: int) -> list[tuple[int, int]]:
+    return [(r["key"], r["n"]) for r in words.where(F.col("n") * HEAVY >= F.lit(max(n, 1))).collect()]
 
-def _counts(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))],
-        names=["kind", "key", "n"])
+
+class Counts:
+    """Counts by key, 0 for any other key."""
+
+    def __init__(self, counts: list[tuple[int, int]]):
+        counts = sorted(counts)
+        self.key = np.array([k for k, _ in counts], np.int64)
+        self.n = np.array([n for _, n in counts], np.int64)
+
+    def __iter__(self) -> Iterator[int]:
+        return iter(self.n.tolist())
+
+    def __getitem__(self, key) -> np.ndarray:
+        if not len(self.key):
+            return np.zeros(np.shape(key), np.int64)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.n[at], 0)
 
 
 class Tables:
-    """What every task needs: totals and tables whose size does not depend on the corpus."""
+    """What every task needs: totals, and the frequent words and histories, at most ``HEAVY`` of each."""
 
     def __init__(self, n_tokens: int, n_types: int, n_docs: int, heavy: list[tuple[int, int]],
-                 class_counts: list[tuple[int, int]], context_counts: list[tuple[int, int]]):
-        self.n, self.v = n_tokens, n_types
+                 contexts: list[tuple[int, int]]):
+        self.n, self.v, self.docs = n_tokens, n_types, n_docs
         heavy = sorted((np.int64(k).astype(np.uint64), c) for k, c in heavy)
         self.heavy = np.array([k for k, _ in heavy], np.uint64)
-        self.heavy_count = np.array([c for _, c in heavy], np.int64)
-        self.classes = np.zeros(CLASSES, np.int64)
-        for k, c in class_counts:
-            self.classes[k] += c
-        for i, c in enumerate(self.heavy_count):
-            if self.heavy[i] != END:
-                self.classes[1 + i] += c
-        self.classes[0] += n_docs
-        self.contexts = np.zeros(CONTEXTS, np.int64)
-        for k, c in context_counts:
-            self.contexts[k] = c
+        # Counts as a history: the start's, then the frequent words'; the end is followed by nothing.
+        self.classes = np.array([n_docs, *(c if k != END else 0 for k, c in heavy)], np.int64)
+        self.contexts = Counts(contexts)
 
     def heavy_at(self, w: np.ndarray) -> np.ndarray:
         """Place among the frequent words, or -1."""
@@ -135,43 +163,21 @@ class Tables:
         return np.where(self.heavy[k] == w, k, -1)
 
     def class_of(self, v: np.ndarray, heavy: np.ndarray) -> np.ndarray:
-        """Class 0 is the start, then the frequent words, then hash classes."""
-        base = 1 + len(self.heavy)
-        other = base + light_class(v, CLASSES - base)
-        return np.where(v == BOS, 0, np.where(heavy >= 0, heavy + 1, other))
+        """Place in ``classes``: 0 for the start, then the frequent words; -1 for all others."""
+        return np.where(v == BOS, 0, np.where(heavy >= 0, heavy + 1, -1))
 
     def p1(self, c: np.ndarray) -> np.ndarray:
         return (c + ADD) / (self.n + ADD * (self.v + 1))
 
 
-def light_class(v: np.ndarray, n: int) -> np.ndarray:
-    return ((mix(v) >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
-
-
 def tables(counts: DataFrame) -> Tables:
-    """Totals and bounded tables from the counts: at most HEAVY words, one row
-    for each class and context."""
+    """Totals, and the bounded tables of frequent words and histories."""
     words = counts.where("kind = 0")
     n, v = words.agg(F.sum("n"), F.count("*")).first()
     n, v = int(n or 0), int(v)
     end = words.where(F.col("key") == F.lit(int(END.astype(np.int64)))).select("n").first()
-    heavy = [(r["key"], r["n"]) for r in words.where(F.col("n") * HEAVY >= F.lit(max(n, 1))).collect()]
-    base = 1 + len(heavy)
-
-    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.sort(np.array([k for k, _ in heavy], np.int64))
-        total = np.zeros(CLASSES, np.int64)
-        for b in batches:
-            key, m = b.column(0).to_numpy(), b.column(1).to_numpy()
-            light = ~np.isin(key, known) & (key.view(np.uint64) != END)
-            np.add.at(total, base + light_class(key[light].view(np.uint64), CLASSES - base), m[light])
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["key", "n"])
-
-    light = words.select("key", "n").mapInArrow(by_class, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    ctx = counts.where("kind = 1").select("key", "n")
-    return Tables(n, v, int(end["n"]) if end else 0, heavy,
-                  [(r["key"], r["n"]) for r in light.collect()], [(r["key"], r["n"]) for r in ctx.collect()])
+    often = [(r["key"], r["n"]) for r in counts.where("kind = 1").collect()]
+    return Tables(n, v, int(end["n"]) if end else 0, _frequent(words, n), often)
 
 
 # -- blocks -------------------------------------------------------------------------
@@ -193,75 +199,89 @@ def unpack_arrays(data: bytes, raw: int, spec: list[tuple[str, int]]) -> list[np
     return out
 
 
-BLOCK = "shard int, chunk long, kind int, n int, m int, docs int, raw int, data binary"
+BLOCK = "shard int, chunk long, kind int, n int, m int, raw int, data binary"
 
 
 def block_pass(docs: DataFrame, t, n_shards: int) -> DataFrame:
-    """One block per slice and shard, and one per slice with its documents (kind 1)."""
+    """One block per slice and shard with its paths, and one per slice with where they start (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tab, chunk = t.value, TaskContext.get().partitionId() << 24
-        for b in batches:
-            train = ~b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            ids = b.column(0).cast(pa.int64())
-            buf, offs = text_buffer(b.column(2))
-            for i, j in slices(offs, SLICE):
-                rows = _blocks(tab, buf[offs[i]: offs[j]], offs[i: j + 1] - offs[i], train[i:j], chunk, n_shards)
-                sink = pa.BufferOutputStream()
-                part = pa.RecordBatch.from_arrays([ids.slice(i, j - i)], names=["doc_id"])
-                with pa.ipc.new_stream(sink, part.schema) as out:
-                    out.write_batch(part)
-                rows.append((chunk % n_shards, chunk, 1, 0, 0, j - i, 0, sink.getvalue().to_pybytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.int32(),
-                                                                 pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
-                    names=["shard", "chunk", "kind", "n", "m", "docs", "raw", "data"])
-                chunk += 1
+        for ids, train, buf, offs in _each_slice(batches):
+            rows = _blocks(tab, ids, buf, offs, train, chunk, n_shards)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.int32(),
+                                                             pa.int32(), pa.int32(), pa.binary()))],
+                names=["shard", "chunk", "kind", "n", "m", "raw", "data"])
+            chunk += 1
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, BLOCK)
 
 
-def _blocks(tab: Tables, buf, offsets, train, chunk: int, n_shards: int) -> list[tuple]:
-    w, v, u, row = tokens(buf, offsets)
-    hw = tab.heavy_at(w)
-    hv = np.concatenate([[-1], hw[:-1]])
-    g = tab.class_of(v, hv).astype(np.uint64)
-    h = context(u, v).astype(np.uint64)
-    spread = np.where(hw >= 0, combine(w, g), w)
-    shard = (mix(spread) % np.uint64(n_shards)).astype(np.int32)
-    ctx = g << np.uint64(CONTEXT_BITS) | h
-    bits = np.uint64(CLASS_BITS + CONTEXT_BITS)
-    order = np.argsort((w >> bits << bits) | ctx)
-    order = order[np.argsort(shard[order], kind="stable")]
-    w, ctx, row, shard = w[order], ctx[order], row[order], shard[order]
-    new = np.ones(len(w), bool)
-    new[1:] = (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1]) | (shard[1:] != shard[:-1])
-    at = np.flatnonzero(new)
-    occ = np.diff(np.append(at, len(w))).astype(np.uint32)
-    w, ctx = w[at], ctx[at]
-    cut = np.searchsorted(shard[at], np.arange(n_shards + 1))
-    n_docs = len(train)
-    doc = row.astype(np.uint16 if n_docs <= 1 << 16 else np.uint32)
-    flags = np.packbits(train)
-    out = []
+def paths(w: np.ndarray, v: np.ndarray, u: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first, second, third word, row) of the paths of a slice's tokens: a text's tokens with the
+    two words before them, then the path from its last word, which ends behind the text."""
+    own = np.arange(len(w)) + row
+    last = np.flatnonzero(w == END)
+    a, b, c = (np.empty(len(w) + len(last), np.uint64) for _ in range(3))
+    a[own], b[own], c[own] = u, v, w
+    a[own[last] + 1], b[own[last] + 1], c[own[last] + 1] = v[last], END, PAD
+    at = np.zeros(len(a), np.int64)
+    at[own], at[own[last] + 1] = row, row[last]
+    return a, b, c, at
+
+
+def shard_of(tab: Tables, a: np.ndarray, b: np.ndarray, c: np.ndarray, n_shards: int) -> np.ndarray:
+    one = tab.class_of(a, tab.heavy_at(a)) >= 0
+    two = tab.contexts[context(a, b)] > 0
+    key = np.where(two, combine(combine(a, b), c), np.where(one, combine(a, b), a))
+    return (mix(key) % np.uint64(n_shards)).astype(np.int32)
+
+
+def _blocks(tab: Tables, ids: pa.Array, buf, offsets, train, chunk: int, n_shards: int) -> list[tuple]:
+    a, b, c, row = paths(*tokens(buf, offsets))
+    words, place = np.unique(np.concatenate([a, b, c]), return_inverse=True)
+    a, b, c = place.reshape(3, -1)
+    pair, at = np.unique(a * len(words) + b, return_inverse=True)
+    path, at = np.unique(at * len(words) + c, return_inverse=True)
+    n = np.bincount(at, weights=train[row], minlength=len(path)).astype(np.uint32)
+    pair, c = pair[path // len(words)], path % len(words)
+    a, b = pair // len(words), pair % len(words)
+    shard = shard_of(tab, words[a], words[b], words[c], n_shards)
+    order = np.argsort(shard, kind="stable")
+    place = np.empty(len(path), np.uint32)
+    place[order] = np.arange(len(path))
+    a, b, c, n = a[order], b[order], c[order], n[order]
+    cut = np.searchsorted(shard[order], np.arange(n_shards + 1))
+    null = np.asarray(ids.is_null())
+    data, raw = pack_arrays([ids.fill_null(0).to_numpy(zero_copy_only=False), null, np.bincount(row, minlength=len(ids)).astype(np.uint32),
+                             place[at]])
+    out = [(chunk % n_shards, chunk, 1, len(at), len(ids), raw, data)]
     for s in range(n_shards):
-        a, z = cut[s], cut[s + 1]
-        if a == z:
+        i, j = cut[s], cut[s + 1]
+        if i == j:
             continue
-        o0, o1 = at[a], at[z] if z < len(at) else len(row)
-        step = np.diff(w[a:z], prepend=np.uint64(0))
-        data, raw = pack_arrays([step, (ctx[a:z] >> np.uint64(CONTEXT_BITS)).astype(np.uint16),
-                                 (ctx[a:z] & np.uint64(CONTEXTS - 1)).astype(np.uint32), occ[a:z], doc[o0:o1], flags])
-        out.append((s, chunk, 0, int(z - a), int(o1 - o0), n_docs, raw, data))
+        used = np.zeros(len(words), bool)
+        for x in (a, b, c):
+            used[x[i:j]] = True
+        here = np.flatnonzero(used)
+        k = _index(len(here))
+        local = (np.cumsum(used) - 1).astype(k)
+        data, raw = pack_arrays([np.diff(words[here], prepend=np.uint64(0)), np.diff(local[a[i:j]], prepend=local.dtype.type(0)),
+                                 local[b[i:j]], local[c[i:j]], n[i:j]])
+        out.append((s, chunk, 0, int(j - i), len(here), raw, data))
     return out
 
 
+def _index(n: int) -> str:
+    return "u2" if n <= 1 << 16 else "u4"
+
+
 def _open_block(r) -> tuple[np.ndarray, ...]:
-    step, g, h, occ, doc, flags = unpack_arrays(
-        r.data, r.raw, [("u8", r.n), ("u2", r.n), ("u4", r.n), ("u4", r.n),
-                        ("u2" if r.docs <= 1 << 16 else "u4", r.m), ("u1", (r.docs + 7) // 8)])
-    train = np.unpackbits(flags, count=r.docs).astype(bool)
-    return np.cumsum(step, dtype=np.uint64), g.astype(np.uint64), h.astype(np.uint64), occ.astype(np.int64), doc, train
+    """(words, first, second and third word's place among them, training count) of a block's paths."""
+    k = _index(r.m)
+    step, a, b, c, n = unpack_arrays(r.data, r.raw, [("u8", r.m), (k, r.n), (k, r.n), (k, r.n), ("u4", r.n)])
+    return np.cumsum(step, dtype=np.uint64), np.cumsum(a, dtype=k), b, c, n.astype(np.int64)
 
 
 # -- the trie -----------------------------------------------------------------------
@@ -330,48 +350,55 @@ def _sum_runs(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trie:
-    """Words, then classes within a word, then contexts within those."""
-
-    def __init__(self, folder: str, tab: Tables, w, g, h, n):
-        order = np.lexsort((h, g, w))
-        w, g, h, n = w[order], g[order], h[order], n[order]
-        self.tab = tab
-        words, self.count = _sum_runs(w, n)
-        at = np.searchsorted(words, w).astype(np.uint64)
-        known = tab.heavy_at(words)
-        if (known >= 0).any():  # a frequent word's count is the whole corpus's, not this shard's
-            self.count = np.where(known >= 0, tab.heavy_count[known], self.count)
-        pair, c2 = _sum_runs(at << np.uint64(CLASS_BITS) | g, n)
-        at2 = np.searchsorted(pair, at << np.uint64(CLASS_BITS) | g).astype(np.uint64)
-        triple, c3 = _sum_runs(at2 << np.uint64(CONTEXT_BITS) | h, n)
-        p1 = tab.p1(self.count)[(pair >> np.uint64(CLASS_BITS)).astype(np.int64)]
-        p2 = smooth(c2, tab.classes[(pair & np.uint64(CLASSES - 1)).astype(np.int64)], p1, M2)
-        p3 = smooth(c3, tab.contexts[(triple & np.uint64(CONTEXTS - 1)).astype(np.int64)],
-                    p2[(triple >> np.uint64(CONTEXT_BITS)).astype(np.int64)], M3)
-        self.level = [Level(os.path.join(folder, str(k)), x) for k, x in enumerate((words, pair, triple))]
-        self.q = [None, *(np.rint(-np.log10(p) * STEP).clip(0, 65535).astype(np.uint16) for p in (p2, p3))]
-
-    def score(self, w, g, h) -> tuple[np.ndarray, np.ndarray]:
-        """(count of the word, log10 probability) of each n-gram."""
-        tab = self.tab
-        k1 = self.level[0].find(w)
-        c = np.where(k1 >= 0, self.count[k1] if len(self.count) else 0, 0)
-        heavy = tab.heavy_at(w)
-        if len(tab.heavy):
-            c = np.where(heavy >= 0, tab.heavy_count[heavy], c)
-        gi, hi = g.astype(np.int64), h.astype(np.int64)
-        log_p = np.log10(tab.p1(c)) + _back(tab.classes[gi], M2)
-        some = np.flatnonzero(k1 >= 0)
-        k2 = np.full(len(w), -1)
-        k2[some] = self.level[1].find(k1[some].astype(np.uint64) << np.uint64(CLASS_BITS) | g[some])
-        some = np.flatnonzero(k2 >= 0)
-        log_p[some] = self.q[1][k2[some]] / -STEP
-        log_p += _back(tab.contexts[hi], M3)
-        k3 = np.full(len(w), -1)
-        k3[some] = self.level[2].find(k2[some].astype(np.uint64) << np.uint64(CONTEXT_BITS) | h[some])
-        some = np.flatnonzero(k3 >= 0)
-        log_p[some] = self.q[2][k3[some]] / -STEP
-        return c, log_p
+    """Words, then the words after each, then those after each pair; paths are given as places in ``words``."""
+
+    def __init__(self, folder: str, tab: Tables, words, a, b, c, n):
+        self.bits = np.uint64(max(len(words).bit_length(), 1))
+        first = a << self.bits | b
+        pair, c2 = _total(first, n)
+        path, c3 = _total(np.searchsorted(pair, first).astype(np.uint64) << self.bits | c, n)
+        top = (pair >> self.bits).astype(np.int64)
+        c1 = np.bincount(top, weights=c2, minlength=len(words)).astype(np.int64)
+        # A frequent word's or pair's count is the whole corpus's, not this shard's.
+        known = tab.class_of(words, tab.heavy_at(words))
+        c1 = np.where(known >= 0, tab.classes[known], c1)
+        low = (pair & ((np.uint64(1) << self.bits) - np.uint64(1))).astype(np.int64)
+        known = tab.contexts[context(words[top], words[low])]
+        c2 = np.where(known > 0, known, c2)
+        self.tab, self.count = tab, (c1, c2, c3)
+        self.level = [Level(os.path.join(folder, str(k)), x) for k, x in enumerate((words, pair, path))]
+
+    def counts(self, words, a, b, c) -> list[np.ndarray]:
+        """Counts of each path's first word, first two words, and all three."""
+        k0 = self.level[0].find(words)
+        c1 = np.where(k0 >= 0, _pick(self.count[0], k0), 0)
+        known = self.tab.class_of(words, self.tab.heavy_at(words))
+        c1 = np.where(known >= 0, self.tab.classes[known], c1)
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        k1 = self._under(1, k0[a[new]], k0[b[new]])
+        c2 = np.where(k1 >= 0, _pick(self.count[1], k1), 0)
+        often = self.tab.contexts[context(words[a[new]], words[b[new]])]
+        c2 = np.where(often > 0, often, c2)
+        each = np.diff(np.append(new, len(a)))
+        k2 = self._under(2, np.repeat(k1, each), k0[c])
+        return [c1[a], np.repeat(c2, each), np.where(k2 >= 0, _pick(self.count[2], k2), 0)]
+
+    def _under(self, level: int, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """Position of each child below its parent, or -1."""
+        out = np.full(len(parent), -1, np.int64)
+        some = np.flatnonzero((parent >= 0) & (child >= 0))
+        out[some] = self.level[level].find(parent[some].astype(np.uint64) << self.bits | child[some].astype(np.uint64))
+        return out
+
+
+def _pick(count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return count[at] if len(count) else np.zeros(len(at), np.int64)
+
+
+def _total(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a key, ascending, and the sums of n."""
+    order = np.argsort(key, kind="stable")  # blocks are runs in order
+    return _sum_runs(key[order], n[order])
 
 
 def weight(c: np.ndarray, m: tuple[float, float]) -> np.ndarray:
@@ -383,70 +410,78 @@ def smooth(c, total, lower, m) -> np.ndarray:
     return (c + k * lower) / (total + k)
 
 
-def _back(total, m) -> np.ndarray:
-    k = weight(total, m)
-    return np.log10(k / (total + k))
-
+PARTIAL = "chunk long, kind int, shard int, n int, m int, raw int, data binary"
 
-PARTIAL = "chunk long, kind int, n int, raw int, data binary"
 
-
-def score_shards(blocks: DataFrame, t) -> DataFrame:
-    """Partial sums of each slice's documents from each shard."""
+def count_shards(blocks: DataFrame, t) -> DataFrame:
+    """The counts of each slice's paths from each shard, in the order of its block."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tab = t.value
-        out = [(r.chunk, 1, r.docs, 0, r.data) for r in pdf.itertuples() if r.kind == 1]
-        grams = [[], [], [], []]
-        for r in pdf.itertuples():
-            if r.kind:
-                continue
-            w, g, h, occ, doc, train = _open_block(r)
-            n = np.add.reduceat(train[doc].astype(np.int64), np.cumsum(occ) - occ)
-            seen = n > 0
-            for x, y in zip(grams, (w, g, h, n)):
-                x.append(y[seen])
-        if grams[0]:
+        out = [(r.chunk, 1, 0, r.n, r.m, r.raw, r.data) for r in pdf.itertuples() if r.kind == 1]
+        mine = [r for r in pdf.itertuples() if not r.kind]
+        if mine:
             with tempfile.TemporaryDirectory() as folder:
-                trie = Trie(folder, tab, *[np.concatenate(x) for x in grams])
-                grams = None
-                for r in pdf.itertuples():
-                    if not r.kind:
-                        out.append(_partial(trie, r))
+                trie = _build(folder, t.value, mine)
+                for r in mine:
+                    out.append(_reply(trie, r))
                 del trie
-        return pd.DataFrame(out, columns=["chunk", "kind", "n", "raw", "data"])
+        return pd.DataFrame(out, columns=["chunk", "kind", "shard", "n", "m", "raw", "data"])
 
     return blocks.groupBy("shard").applyInPandas(run, PARTIAL)
 
 
-def _partial(trie: Trie, r) -> tuple:
-    w, g, h, occ, doc, _ = _open_block(r)
-    c, log_p = trie.score(w, g, h)
-    base = np.log10(trie.tab.p1(c))
-    each = np.repeat(np.arange(len(occ)), occ)
-    sums = [np.bincount(doc, weights=x[each], minlength=r.docs) for x in (base, log_p)]
-    known = np.bincount(doc, weights=(c > 0)[each], minlength=r.docs).astype(np.uint32)
-    count = np.bincount(doc, minlength=r.docs).astype(np.uint32)
-    at = np.flatnonzero(count).astype(np.uint32)
-    data, raw = pack_arrays([at, count[at], known[at], sums[0][at], sums[1][at]])
-    return r.chunk, 0, len(at), raw, data
-
-
-def collect_scores(partials: DataFrame) -> DataFrame:
-    """One row per document from its slice's partial sums."""
+def _build(folder: str, tab: Tables, blocks: list) -> Trie:
+    """The trie of a shard's training paths."""
+    parts = []
+    for r in blocks:
+        words, a, b, c, n = _open_block(r)
+        seen = n > 0
+        used = np.zeros(len(words), bool)
+        a, b, c = a[seen], b[seen], c[seen]
+        for x in (a, b, c):
+            used[x] = True
+        local = (np.cumsum(used) - 1).astype(np.uint32)
+        parts.append((words[used], local[a], local[b], local[c], n[seen]))
+    words = np.unique(np.concatenate([p[0] for p in parts]))
+    paths_ = [[], [], [], []]
+    for known, a, b, c, n in parts:
+        place = np.searchsorted(words, known).astype(np.uint64)
+        for x, y in zip(paths_, (place[a], place[b], place[c], n)):
+            x.append(y)
+    return Trie(folder, tab, words, *[np.concatenate(x) for x in paths_])
+
+
+def _reply(trie: Trie, r) -> tuple:
+    words, a, b, c, _ = _open_block(r)
+    counts = trie.counts(words, a, b, c)
+    kind = np.uint32 if max(x.max() for x in counts) < 1 << 32 else np.uint64
+    data, raw = pack_arrays([x.astype(kind) for x in counts])
+    return r.chunk, 0, r.shard, r.n, 0, raw, data
+
+
+def collect_scores(partials: DataFrame, t) -> DataFrame:
+    """One row per document: its slice's counts put together to the probabilities of its tokens."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf[pdf["kind"] == 1].iloc[0]
-        ids = pa.ipc.open_stream(head["data"]).read_all().column(0).combine_chunks()
-        n, known, base, score = (np.zeros(len(ids), k) for k in (np.int64, np.int64, float, float))
-        for r in pdf[pdf["kind"] == 0].sort_values("data").itertuples():
-            at, c, k, b, s = unpack_arrays(r.data, r.raw, [("u4", r.n), ("u4", r.n), ("u4", r.n), ("f8", r.n), ("f8", r.n)])
-            n[at] += c
-            known[at] += k
-            base[at] += b
-            score[at] += s
-        return pd.DataFrame({"doc_id": pd.array(ids.to_pylist(), dtype="Int64"), "n_tokens": n, "n_known": known,
-                             "base_score": base, "score": score})
+        tab = t.value
+        head = next(r for r in pdf.itertuples() if r.kind == 1)
+        ids, null, per_row, at = unpack_arrays(head.data, head.raw, [("i8", head.m), ("?", head.m), ("u4", head.m), ("u4", head.n)])
+        found = [[], [], []]
+        for r in pdf[pdf["kind"] == 0].sort_values("shard").itertuples():
+            for x, y in zip(found, unpack_arrays(r.data, r.raw, [(f"u{r.raw // (3 * r.n)}", r.n)] * 3)):
+                x.append(y)
+        c1, c2, c3 = (np.concatenate(x)[at].astype(np.int64) for x in found)
+        last = np.cumsum(per_row.astype(np.int64)) - 1  # the path behind each text, which is no token's own
+        own = np.delete(np.arange(len(at)), last)
+        word = np.append(c1, [0, 0])[own + 2]
+        word[last - np.arange(len(last)) - 1] = tab.docs  # each text's end
+        p1 = tab.p1(word)
+        p2 = smooth(c2[own + 1], c1[own + 1], p1, M2)
+        p3 = smooth(c3[own], c2[own], p2, M3)
+        first = np.cumsum(per_row.astype(np.int64) - 1) - (per_row.astype(np.int64) - 1)
+        known, base, score = (np.add.reduceat(x, first) for x in ((word > 0).astype(np.int64), np.log10(p1), np.log10(p3)))
+        return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64").copy(), "n_tokens": per_row.astype(np.int64) - 1, "n_known": known,
+                             "base_score": base, "score": score}).assign(doc_id=lambda d: d["doc_id"].mask(null))
 
     return partials.groupBy("chunk").applyInPandas(
         run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
@@ -454,11 +489,10 @@ def collect_scores(partials: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame) -> DataFrame:
     """Scores of (doc_id, held_out, text); rows not held out are learned from."""
-    counts = saved(count_pass(docs), "lm-counts")
-    tab = tables(counts)
+    tab = tables(count_pass(docs))
     t = docs.sparkSession.sparkContext.broadcast(tab)
     n_shards = max(8, -(-tab.n // SHARD_TOKENS))
-    out = collect_scores(score_shards(block_pass(docs, t, n_shards), t))
+    out = collect_scores(count_shards(block_pass(docs, t, n_shards), t), t)
     return out.withColumn("train_tokens", F.lit(tab.n).cast("long"))
 
 

@@ -462,6 +462,45 @@ def test_ngram_model_is_better_and_brute_force(spark):
         assert abs(got[i] - sum(log_p(*x) for x in gs)) <= 0.001 * len(gs)
 
 
+def test_ngram_rare_histories_keep_counts_of_their_own(spark):
+    """Exact scores of plain dictionaries over the words themselves, with words and pairs on both sides of
+    the frequent ones' border: no history shares its counts with another."""
+    ship(spark)
+    r = random.Random(31)
+    vocab = [f"w{k}" for k in range(9000)]
+    rows = [(i, " ".join(vocab[int(9000 * r.random() ** 3)] for _ in range(r.randint(0, 400))), i % 5 == 0) for i in range(300)]
+    df = spark.createDataFrame(rows + [(None, "w1 w2", False), (7, None, False)], "doc_id long, text string, held_out boolean")
+    c1, c2, c3 = Counter(), Counter(), Counter()
+
+    def grams(text):
+        t = ["<", "<", *(text or "").split(), ">"]
+        return list(zip(t, t[1:], t[2:]))
+
+    for _, text, held in [*rows, (None, "w1 w2", False), (7, None, False)]:
+        if not held:
+            for u, v, w in grams(text):
+                c1[w] += 1
+                c2[v, w] += 1
+                c3[u, v, w] += 1
+    total2, total3 = Counter(), Counter()
+    for (v, _), k in c2.items():
+        total2[v] += k
+    for (u, v, _), k in c3.items():
+        total3[u, v] += k
+    n = sum(c1.values())
+    assert len(total2) > 5000 and len(total3) > 20000 and min(total2.values()) * ngram_trie.HEAVY < n < max(total3.values()) * ngram_trie.HEAVY
+
+    def log_p(u, v, w):
+        p = (c1[w] + 0.1) / (n + 0.1 * (len(c1) + 1))
+        for c, total, m in ((c2[v, w], total2[v], ngram_trie.M2), (c3[u, v, w], total3[u, v], ngram_trie.M3)):
+            k = m[0] * total ** m[1] if total else 1.0
+            p = (c + k * p) / (total + k)
+        return math.log10(p)
+
+    want = Counter((i, round(sum(log_p(*g) for g in grams(text)), 5)) for i, text, _ in [*rows, (None, "w1 w2", False), (7, None, False)])
+    assert Counter((x.doc_id, round(x.score, 5)) for x in ngram_trie.score(df).collect()) == want
+
+
 # -- 7 ----------------------------------------------------------------------------------
 
 def test_vector_graph_edges(spark):
