@@ -33,7 +33,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -48,6 +49,8 @@ MODES = ("static", "dynamic", "append")
 MANIFESTS, STAGING, STATE = "_manifest", "_staging", "_state"
 BROADCAST_FILES = 200_000
 TARGET_BYTES = 256 << 20
+# Folders a task writes side by side. Only a task with rows for more folders sorts what is left of its rows.
+OPEN_FILES = 16
 SMALL = 0.75
 
 
@@ -128,6 +131,20 @@ def _nothing(step: str) -> None:
     pass
 
 
+@contextmanager
+def _unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes keep a file open per folder instead of sorting each task's rows by folder: the sort holds
+    all rows of a task in memory, many times the bytes of the file they become."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    if int(before) < OPEN_FILES:
+        spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class PublishedTable:
     """``on_step`` is called before each step of a publish with its name (tests stop it there)."""
 
@@ -183,8 +200,9 @@ class PublishedTable:
         placed = _place(df, self.partition_by, placement)
         metrics = {"rows": F.count(F.lit(1)), **(observe or {})}
         try:
-            (placed.observe(seen, *[c.alias(k) for k, c in metrics.items()]).write.mode("error")
-             .option("compression", compression).partitionBy(self.partition_by).parquet(self._staging(run)))
+            with _unsorted_writes(self.spark):
+                (placed.observe(seen, *[c.alias(k) for k, c in metrics.items()]).write.mode("error")
+                 .option("compression", compression).partitionBy(self.partition_by).parquet(self._staging(run)))
             got = seen.get
             self.on_step("verify")
             staged = Staged(run, schema.json(), self.partition_by, self._counted(run, schema), got)
@@ -296,9 +314,10 @@ class PublishedTable:
         lookup = F.broadcast(lookup) if len(bin_of) <= BROADCAST_FILES else lookup
         run, seen = uuid.uuid4().hex[:16], Observation()
         self.on_step("stage")
-        (old.withColumn("_file", _decoded("/([^/]*/run-[0-9a-f]+/[^/]*)$", 1)).join(lookup, "_file").drop("_file")
-         .repartition("_bin").observe(seen, F.count(F.lit(1)).alias("rows"))
-         .write.mode("error").partitionBy(self.partition_by, "_bin").parquet(self._staging(run)))
+        with _unsorted_writes(self.spark):
+            (old.withColumn("_file", _decoded("/([^/]*/run-[0-9a-f]+/[^/]*)$", 1)).join(lookup, "_file").drop("_file")
+             .repartition("_bin").observe(seen, F.count(F.lit(1)).alias("rows"))
+             .write.mode("error").partitionBy(self.partition_by, "_bin").parquet(self._staging(run)))
         self.on_step("verify")
         for name in self._folders(run):  # the files lose their bin's folder, whose name would read as a column
             for f in self.storage.files(f"{STAGING}/{run}/{name}"):

@@ -216,6 +216,24 @@ def test_compaction_moves_small_files_only(spark, orders):
     assert _ids(t.read()) == before
 
 
+def test_writes_hold_no_task_in_memory_to_sort_it(spark, orders, monkeypatch):
+    """Publishes and compactions write a task's folders side by side; more folders than that are sorted, and whole."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: (seen.append(int(spark.conf.get(name))), write(w, path, *a, **k))[1])
+    t = PublishedTable(spark, new_output_path(spark, "t-unsorted"))
+    for k in range(3):
+        t.write(orders.where(f"order_id % 3 = {k}"), "append", placement="local")
+    assert t.compact().rows == orders.count() and _ids(t.read()) == _ids(orders)
+    assert len(seen) == 4 and min(seen) >= orders.select("order_status").distinct().count()
+    assert spark.conf.get(name) == before
+    many = PublishedTable(spark, new_output_path(spark, "t-many"), partition_by="item_count")
+    wide = orders.withColumn("item_count", (F.col("order_id") % (3 * published.OPEN_FILES)).cast("int")).coalesce(1)
+    assert many.write(wide, "static", placement="local").rows == orders.count() and _ids(many.read()) == _ids(wide)
+
+
 @pytest.mark.parametrize("stop", ["stage", "verify", "move", "seal"])
 def test_killed_compaction_leaves_the_table(spark, orders, stop):
     path = new_output_path(spark, "t-compact-kill")
