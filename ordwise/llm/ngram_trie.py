@@ -18,7 +18,8 @@ so no word or pair fills a task; the counts of these words and pairs go to every
 
 Pass 1 counts words, then the pairs of frequent words. Pass 2 sends one packed block per slice
 of documents and shard: distinct paths and how often each occurs in training documents, and one
-block per slice that tells which path starts where. A shard merges its blocks' counts into a trie
+block per slice that tells which path starts where. Blocks name the ``COMMON`` most frequent words by
+rank and list the hashes of their other words; this shortens them and changes no result. A shard merges its blocks' counts into a trie
 of three levels, writes the levels to a file in the task's temporary folder, maps them, and looks
 up every block's paths: a level's keys are the monotone sequence (parent position, child), kept in
 Elias-Fano form, and a child is found by successor search relative to its parent. The counts go
@@ -47,6 +48,7 @@ from ordwise.llm.store import read, saved
 from ordwise.llm.words import LOWER, combine, mix, slices, split_words, text_buffer
 
 HEAVY = 10_000
+COMMON = 1 << 16
 SHARD_TOKENS = 2_000_000
 SLICE = 8 << 20
 M2 = (2.0, 0.85)
@@ -100,7 +102,7 @@ def count_pass(docs: DataFrame) -> DataFrame:
 
     counted = saved(rows.mapInArrow(words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
     n = int(counted.agg(F.sum("n")).first()[0] or 0)
-    t = docs.sparkSession.sparkContext.broadcast(Tables(n, 0, 0, _frequent(counted, n), []))
+    t = docs.sparkSession.sparkContext.broadcast(Tables(n, 0, 0, _frequent(counted, n), [], []))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, train, buf, offs in _each_slice(batches):
@@ -121,6 +123,10 @@ def _counts(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
 
+def _common(words: DataFrame) -> list[int]:
+    return [r["key"] for r in words.orderBy(F.desc("n"), "key").limit(COMMON).select("key").collect()]
+
+
 def _frequent(words: DataFrame, n: int) -> list[tuple[int, int]]:
     return [(r["key"], r["n"]) for r in words.where(F.col("n") * HEAVY >= F.lit(max(n, 1))).collect()]
 
@@ -144,16 +150,19 @@ class Counts:
 
 
 class Tables:
-    """What every task needs: totals, and the frequent words and histories, at most ``HEAVY`` of each."""
+    """What every task needs: totals, the frequent words and histories, at most ``HEAVY`` of
+    each, and the most frequent words by rank, by which blocks name them."""
 
     def __init__(self, n_tokens: int, n_types: int, n_docs: int, heavy: list[tuple[int, int]],
-                 contexts: list[tuple[int, int]]):
+                 contexts: list[tuple[int, int]], common: list[int]):
         self.n, self.v, self.docs = n_tokens, n_types, n_docs
         heavy = sorted((np.int64(k).astype(np.uint64), c) for k, c in heavy)
         self.heavy = np.array([k for k, _ in heavy], np.uint64)
         # Counts as a history: the start's, then the frequent words'; the end is followed by nothing.
         self.classes = np.array([n_docs, *(c if k != END else 0 for k, c in heavy)], np.int64)
         self.contexts = Counts(contexts)
+        self.common = np.array(common, np.int64).view(np.uint64)
+        self.by_hash = np.argsort(self.common)
 
     def heavy_at(self, w: np.ndarray) -> np.ndarray:
         """Place among the frequent words, or -1."""
@@ -162,6 +171,13 @@ class Tables:
         k = np.minimum(np.searchsorted(self.heavy, w), len(self.heavy) - 1)
         return np.where(self.heavy[k] == w, k, -1)
 
+    def rank(self, w: np.ndarray) -> np.ndarray:
+        """Rank among the most frequent words, or -1."""
+        if not len(self.common):
+            return np.full(len(w), -1)
+        k = self.by_hash[np.minimum(np.searchsorted(self.common, w, sorter=self.by_hash), len(self.common) - 1)]
+        return np.where(self.common[k] == w, k, -1)
+
     def class_of(self, v: np.ndarray, heavy: np.ndarray) -> np.ndarray:
         """Place in ``classes``: 0 for the start, then the frequent words; -1 for all others."""
         return np.where(v == BOS, 0, np.where(heavy >= 0, heavy + 1, -1))
@@ -177,14 +193,14 @@ def tables(counts: DataFrame) -> Tables:
     n, v = int(n or 0), int(v)
     end = words.where(F.col("key") == F.lit(int(END.astype(np.int64)))).select("n").first()
     often = [(r["key"], r["n"]) for r in counts.where("kind = 1").collect()]
-    return Tables(n, v, int(end["n"]) if end else 0, _frequent(words, n), often)
+    return Tables(n, v, int(end["n"]) if end else 0, _frequent(words, n), often, _common(words))
 
 
 # -- blocks -------------------------------------------------------------------------
 
 def pack_arrays(arrays: list[np.ndarray]) -> tuple[bytes, int]:
     """Arrays as byte planes, compressed; sizes and types are known to the reader."""
-    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
+    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
     return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
 
 
@@ -251,7 +267,8 @@ def _blocks(tab: Tables, ids: pa.Array, buf, offsets, train, chunk: int, n_shard
     order = np.argsort(shard, kind="stable")
     place = np.empty(len(path), np.uint32)
     place[order] = np.arange(len(path))
-    a, b, c, n = a[order], b[order], c[order], n[order]
+    abc, n = np.stack([a, b, c])[:, order], n[order]
+    code = tab.rank(words)[abc]
     cut = np.searchsorted(shard[order], np.arange(n_shards + 1))
     null = np.asarray(ids.is_null())
     data, raw = pack_arrays([ids.fill_null(0).to_numpy(zero_copy_only=False), null, np.bincount(row, minlength=len(ids)).astype(np.uint32),
@@ -261,27 +278,21 @@ def _blocks(tab: Tables, ids: pa.Array, buf, offsets, train, chunk: int, n_shard
         i, j = cut[s], cut[s + 1]
         if i == j:
             continue
-        used = np.zeros(len(words), bool)
-        for x in (a, b, c):
-            used[x[i:j]] = True
-        here = np.flatnonzero(used)
-        k = _index(len(here))
-        local = (np.cumsum(used) - 1).astype(k)
-        data, raw = pack_arrays([np.diff(words[here], prepend=np.uint64(0)), np.diff(local[a[i:j]], prepend=local.dtype.type(0)),
-                                 local[b[i:j]], local[c[i:j]], n[i:j]])
+        name = code[:, i:j]
+        rare = name < 0
+        here, at_rare = np.unique(abc[:, i:j][rare], return_inverse=True)
+        name[rare] = len(tab.common) + at_rare
+        name = name.astype(np.uint32)
+        data, raw = pack_arrays([np.diff(words[here], prepend=np.uint64(0)), np.diff(name[0], prepend=np.uint32(0)),
+                                 name[1], name[2], n[i:j]])
         out.append((s, chunk, 0, int(j - i), len(here), raw, data))
     return out
 
 
-def _index(n: int) -> str:
-    return "u2" if n <= 1 << 16 else "u4"
-
-
 def _open_block(r) -> tuple[np.ndarray, ...]:
-    """(words, first, second and third word's place among them, training count) of a block's paths."""
-    k = _index(r.m)
-    step, a, b, c, n = unpack_arrays(r.data, r.raw, [("u8", r.m), (k, r.n), (k, r.n), (k, r.n), ("u4", r.n)])
-    return np.cumsum(step, dtype=np.uint64), np.cumsum(a, dtype=k), b, c, n.astype(np.int64)
+    """(hashes of the block's rarer words, names of its paths' three words, training counts)."""
+    step, a, b, c, n = unpack_arrays(r.data, r.raw, [("u8", r.m), ("u4", r.n), ("u4", r.n), ("u4", r.n), ("u4", r.n)])
+    return np.cumsum(step, dtype=np.uint64), np.stack([np.cumsum(a, dtype=np.uint32), b, c]), n
 
 
 # -- the trie -----------------------------------------------------------------------
@@ -350,43 +361,49 @@ def _sum_runs(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trie:
-    """Words, then the words after each, then those after each pair; paths are given as places in ``words``."""
+    """Words, then the words after each, then those after each pair. Paths are given as places among the words."""
 
-    def __init__(self, folder: str, tab: Tables, words, a, b, c, n):
+    def __init__(self, folder: str, tab: Tables, words: np.ndarray):
+        self.folder, self.tab, self.words = folder, tab, words
         self.bits = np.uint64(max(len(words).bit_length(), 1))
-        first = a << self.bits | b
+        self.level = [Level(os.path.join(folder, "1"), words)]
+        self.common = self.level[0].find(tab.common)
+
+    def places(self, rare: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """Places of a block's words by their names: ranks, then numbers of its rarer words."""
+        own = names >= len(self.common)
+        out = np.empty(names.shape, np.uint32)
+        out[own] = self.level[0].find(rare)[names[own] - np.uint32(len(self.common))]
+        out[~own] = self.common[names[~own]]
+        return out
+
+    def fill(self, a, b, c, n) -> None:
+        """Count the training paths."""
+        first = a.astype(np.uint64) << self.bits | b.astype(np.uint64)
         pair, c2 = _total(first, n)
-        path, c3 = _total(np.searchsorted(pair, first).astype(np.uint64) << self.bits | c, n)
+        path, c3 = _total(np.searchsorted(pair, first).astype(np.uint64) << self.bits | c.astype(np.uint64), n)
         top = (pair >> self.bits).astype(np.int64)
-        c1 = np.bincount(top, weights=c2, minlength=len(words)).astype(np.int64)
-        # A frequent word's or pair's count is the whole corpus's, not this shard's.
-        known = tab.class_of(words, tab.heavy_at(words))
-        c1 = np.where(known >= 0, tab.classes[known], c1)
-        low = (pair & ((np.uint64(1) << self.bits) - np.uint64(1))).astype(np.int64)
-        known = tab.contexts[context(words[top], words[low])]
-        c2 = np.where(known > 0, known, c2)
-        self.tab, self.count = tab, (c1, c2, c3)
-        self.level = [Level(os.path.join(folder, str(k)), x) for k, x in enumerate((words, pair, path))]
-
-    def counts(self, words, a, b, c) -> list[np.ndarray]:
+        c1 = np.bincount(top, weights=c2, minlength=len(self.words)).astype(np.int64)
+        # A frequent word's count is the whole corpus's, not this shard's; so is a frequent pair's, see counts.
+        known = self.tab.class_of(self.words, self.tab.heavy_at(self.words))
+        self.count = np.where(known >= 0, self.tab.classes[known], c1), c2, c3
+        self.level += [Level(os.path.join(self.folder, str(k)), x) for k, x in ((2, pair), (3, path))]
+
+    def counts(self, a, b, c) -> list[np.ndarray]:
         """Counts of each path's first word, first two words, and all three."""
-        k0 = self.level[0].find(words)
-        c1 = np.where(k0 >= 0, _pick(self.count[0], k0), 0)
-        known = self.tab.class_of(words, self.tab.heavy_at(words))
-        c1 = np.where(known >= 0, self.tab.classes[known], c1)
         new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        k1 = self._under(1, k0[a[new]], k0[b[new]])
+        k1 = self._under(1, a[new].astype(np.int64), b[new])
         c2 = np.where(k1 >= 0, _pick(self.count[1], k1), 0)
-        often = self.tab.contexts[context(words[a[new]], words[b[new]])]
+        often = self.tab.contexts[context(self.words[a[new]], self.words[b[new]])]
         c2 = np.where(often > 0, often, c2)
         each = np.diff(np.append(new, len(a)))
-        k2 = self._under(2, np.repeat(k1, each), k0[c])
-        return [c1[a], np.repeat(c2, each), np.where(k2 >= 0, _pick(self.count[2], k2), 0)]
+        k2 = self._under(2, np.repeat(k1, each), c)
+        return [self.count[0][a], np.repeat(c2, each), np.where(k2 >= 0, _pick(self.count[2], k2), 0)]
 
     def _under(self, level: int, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
         """Position of each child below its parent, or -1."""
         out = np.full(len(parent), -1, np.int64)
-        some = np.flatnonzero((parent >= 0) & (child >= 0))
+        some = np.flatnonzero(parent >= 0)
         out[some] = self.level[level].find(parent[some].astype(np.uint64) << self.bits | child[some].astype(np.uint64))
         return out
 
@@ -421,39 +438,29 @@ def count_shards(blocks: DataFrame, t) -> DataFrame:
         mine = [r for r in pdf.itertuples() if not r.kind]
         if mine:
             with tempfile.TemporaryDirectory() as folder:
-                trie = _build(folder, t.value, mine)
-                for r in mine:
-                    out.append(_reply(trie, r))
+                trie, blocks_ = _build(folder, t.value, mine)
+                for r, path in zip(mine, blocks_):
+                    out.append(_reply(trie, r, path))
                 del trie
         return pd.DataFrame(out, columns=["chunk", "kind", "shard", "n", "m", "raw", "data"])
 
     return blocks.groupBy("shard").applyInPandas(run, PARTIAL)
 
 
-def _build(folder: str, tab: Tables, blocks: list) -> Trie:
-    """The trie of a shard's training paths."""
-    parts = []
-    for r in blocks:
-        words, a, b, c, n = _open_block(r)
-        seen = n > 0
-        used = np.zeros(len(words), bool)
-        a, b, c = a[seen], b[seen], c[seen]
-        for x in (a, b, c):
-            used[x] = True
-        local = (np.cumsum(used) - 1).astype(np.uint32)
-        parts.append((words[used], local[a], local[b], local[c], n[seen]))
-    words = np.unique(np.concatenate([p[0] for p in parts]))
-    paths_ = [[], [], [], []]
-    for known, a, b, c, n in parts:
-        place = np.searchsorted(words, known).astype(np.uint64)
-        for x, y in zip(paths_, (place[a], place[b], place[c], n)):
-            x.append(y)
-    return Trie(folder, tab, words, *[np.concatenate(x) for x in paths_])
-
-
-def _reply(trie: Trie, r) -> tuple:
-    words, a, b, c, _ = _open_block(r)
-    counts = trie.counts(words, a, b, c)
+def _build(folder: str, tab: Tables, blocks: list) -> tuple[Trie, list[np.ndarray]]:
+    """The trie of a shard's training paths, and every block's paths as places in it."""
+    opened = [_open_block(r) for r in blocks]
+    trie = Trie(folder, tab, np.unique(np.concatenate([tab.common, *(rare for rare, _, _ in opened)])))
+    placed = [trie.places(rare, names) for rare, names, _ in opened]
+    n = [n for _, _, n in opened]
+    del opened
+    trie.fill(*[np.concatenate([x[m > 0] for x, m in zip((p[k] for p in placed), n)]) for k in range(3)],
+              np.concatenate([m[m > 0] for m in n]).astype(np.int64))
+    return trie, placed
+
+
+def _reply(trie: Trie, r, path: np.ndarray) -> tuple:
+    counts = trie.counts(*path)
     kind = np.uint32 if max(x.max() for x in counts) < 1 << 32 else np.uint64
     data, raw = pack_arrays([x.astype(kind) for x in counts])
     return r.chunk, 0, r.shard, r.n, 0, raw, data
