@@ -14,19 +14,24 @@ of a dense group is one component, all members of different components up to ``N
 apart. They grow in proportion to the documents.
 
 Candidates whose signatures agree in less than 0.6 of the values are dropped (a
-pair at the threshold is four standard deviations away), the others are
-confirmed on the full sets, in three steps that keep the texts moved small:
+pair at the threshold is four standard deviations away). The others are confirmed
+on the full sets, in three steps that keep the texts moved small:
 
 1. each document against its most similar candidate of smaller id,
 2. each component against its most similar candidate component of smaller id,
-3. every candidate still between two components, and all members of different
-   components up to NEAR apart in an order, both as they stand and once
-   runs of one component are reduced to their ends.
-
-Only connectivity is asked for, so a candidate inside a component needs no
-check, and each step's links join the components of the step before. What remains
-open: a document of a large region whose only link is to a member that is near
-it in none of the 32 orders.
+3. components that candidates still hold together, candidates now being also all
+   members of different components up to NEAR apart in an order, both as they stand and
+   once runs of one component are reduced to their ends, are a family: all its pairs
+   between different components are compared, whether the orders name them or not.
+
+Only connectivity is asked for, so a pair inside a component needs no check, and each
+step's links join the components of the step before. Many copies of a text can be linked
+to that text alone: no order puts all of them next to it, so the third step counts the
+shared shingles of whole blocks of a family (:func:`family_links`). Blocks are
+bounded in rows and bytes; pairs within a family's largest component are not formed. The
+work of a family is the number of its members outside that component times all its
+members, and is dealt over as many tasks as it has pairs of blocks. What remains open: a
+document all of whose neighbours in the 32 orders agree with it in less than 0.6.
 
 At similarity 0.75 a pair shares no region of depth DEPTH with probability (1 - 0.75^4)^32,
 about 5e-6; at 0.8 it is 5e-8.
@@ -49,7 +54,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordwise.llm.components import components
-from ordwise.llm.store import read, saved, tidied
+from ordwise.llm.store import give_back, read, saved, tidied
 from ordwise.llm.words import LOWER, combine, mix, slices, split_words, text_buffer
 
 SHINGLE = 5
@@ -59,6 +64,8 @@ NEAR = 4
 LEVELS = (DEPTH, 8, 16, 32)
 AGREE = int(VALUES * 0.6)
 SIMILAR = (75, 100)
+# A family: members dealt as one block, blocks it is dealt over at most while they are small, and bounds of a block.
+WHOLE, SPREAD, BLOCK_ROWS, BLOCK_BYTES = 64, 16, 4096, 16 << 20
 
 _RNG = np.random.default_rng(20240229)
 _MUL = _RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -307,13 +314,150 @@ def link_classes(reps: DataFrame, texts: DataFrame) -> DataFrame:
         second = saved(best, "forest-2")
         comps = _joined(comps, saved(confirmed(second, texts), "forest-links-2"))
         first = first.unionByName(second)
-    rest = _comp_of(open_.select("a", "b").join(first, ["a", "b"], "left_anti"), comps).select("a", "b")
     placed = forest.join(ids, "id", "left_semi").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    wide = similar(sorted_pairs(placed, NEAR, members=True).join(first, ["a", "b"], "left_anti"), reps).select("a", "b")
-    third = saved(confirmed(saved(rest.unionByName(wide).distinct(), "forest-3"), texts), "forest-links-3")
+    wide = similar(sorted_pairs(placed, NEAR, members=True).join(cand, ["a", "b"], "left_anti"), reps)
+    pairs = cand.select("a", "b").unionByName(wide.select("a", "b")).join(first.withColumn("done", F.lit(1)), ["a", "b"], "left")
+    held = saved(_comp_of(pairs, comps), "forest-3")
+    third = saved(family_links(families(held, comps, ids), texts), "forest-links-3")
     return _joined(comps, third) if third.limit(1).count() else comps
 
 
+def families(held: DataFrame, comps: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, comp, fam) of the ids in families: components that the pairs ``held`` (ca, cb, done) hold
+    together, unless those done are all there are between them."""
+    fams = saved(components(held.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(
+        F.col("id").alias("comp"), F.col("comp").alias("fam")), "forest-families")
+    members = ids.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(fams, "comp").select("id", "comp", "fam")
+    n = F.col("n")
+    cross = members.groupBy("fam", "comp").agg(F.count("*").alias("n")).groupBy("fam").agg(
+        ((F.sum("n") * F.sum("n") - F.sum(n * n)) / 2).alias("cross"))
+    done = held.where("done = 1").join(fams, F.col("ca") == F.col("comp")).groupBy("fam").agg(F.count("*").alias("done"))
+    open_ = cross.join(done, "fam", "left").where("done is null or done < cross").select("fam")
+    return saved(members.join(open_, "fam", "left_semi"), "forest-members")
+
+
+def _blocks(n, size):
+    """Blocks for so many members and bytes."""
+    return F.greatest(F.least(F.ceil(n / WHOLE), F.lit(SPREAD)), F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("long")
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    """Members (id, comp, fam, shingles), each once for every pair (i, j) of blocks of its family that its block
+    ``at`` is one of. The largest component's blocks come first and are not paired with each other."""
+    sizes = members.groupBy("fam", "comp").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("size"))
+    sizes = sizes.groupBy("fam").agg(F.max_by("comp", F.struct("n", "comp")).alias("top"), F.max("n").alias("n"), F.sum("n").alias("all"),
+                                     F.max_by("size", F.struct("n", "comp")).alias("size"), F.sum("size").alias("whole"))
+    big = sizes.where((F.col("all") > WHOLE) | (F.col("whole") > BLOCK_BYTES)).select(
+        "fam", "top", _blocks(F.col("n"), F.col("size")).alias("c"),
+        _blocks(F.col("all") - F.col("n"), F.col("whole") - F.col("size")).alias("o"))
+    rows = members.join(big, "fam", "left")
+    key = "pmod(xxhash64(id), {})"
+    rows = rows.withColumn("at", F.expr(f"case when top is null then 0 when comp = top then {key.format('c')} else c + {key.format('o')} end"))
+    pairs = """case when top is null then array(struct(0L as i, 0L as j))
+        when comp = top then transform(sequence(0L, o - 1), x -> struct(at as i, c + x as j))
+        else concat(transform(sequence(0L, c - 1), x -> struct(x as i, at as j)),
+                    transform(sequence(0L, o - 1), x -> struct(least(at, c + x) as i, greatest(at, c + x) as j))) end"""
+    return rows.withColumn("p", F.explode(F.expr(pairs))).select("fam", "p.i", "p.j", "at", "comp", "shingles")
+
+
+def shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Numbers of shingles that each of the sets x shares with each of y. Frequent shingles are
+    counted as products of 0/1 matrices, the others pair by pair."""
+    out = np.zeros((len(x), len(y)), np.int32)
+    names, sides = None, []
+    for sets in (x, y):
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        names = np.unique(flat) if names is None else np.intersect1d(names, flat)
+        sides.append((flat, row))
+    if not len(names):
+        return out
+    lists, n = [], []
+    for flat, row in sides:
+        at = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+        some = names[at] == flat
+        at, row = at[some], row[some]
+        order = np.argsort(at, kind="stable")
+        lists.append((at[order], row[order]))
+        n.append(np.bincount(at, minlength=len(names)))
+    often = n[0] * n[1] * 64 > len(x) * len(y)
+    places = np.cumsum(often) - 1
+    dense = [(places[at[often[at]]], row[often[at]]) for at, row in lists]
+    for k in range(0, int(often.sum()), 1024):
+        sheets = []
+        for (at, row), m in zip(dense, out.shape):
+            p, q = np.searchsorted(at, [k, k + 1024])
+            sheet = np.zeros((m, 1024), np.float32)
+            sheet[row[p:q], at[p:q] - k] = 1
+            sheets.append(sheet)
+        out += (sheets[0] @ sheets[1].T).astype(np.int32)
+    (at, row), (_, other) = lists
+    begin = np.cumsum(n[1]) - n[1]
+    at, row = at[~often[at]], row[~often[at]]
+    steps = np.cumsum(n[1][at])
+    i = 0
+    while i < len(at):
+        j = max(int(np.searchsorted(steps, (steps[i - 1] if i else 0) + (1 << 20), side="right")), i + 1)
+        m = n[1][at[i:j]]
+        to = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(begin[at[i:j]], m)
+        np.add.at(out, (np.repeat(row[i:j], m), other[to]), 1)
+        i = j
+    return out
+
+
+def _block_links(i: int, j: int, at: np.ndarray, comp: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links between components with a member in block i and one in block j, as a forest over the components."""
+    left, right = np.flatnonzero(at == i), np.flatnonzero(at == j)
+    if not len(left) or not len(right) or len(np.unique(comp)) < 2:
+        return [], []
+    x, y = [sets[k] for k in left], [sets[k] for k in right]
+    both, found = shared(x, y), []
+    n, m = (np.array([len(s) for s in z], np.int64) for z in (x, y))
+    for k in range(0, len(x), 256):
+        c = both[k: k + 256].astype(np.int64)
+        a, b = np.nonzero((c > 0) & (SIMILAR[1] * c >= SIMILAR[0] * (n[k: k + 256, None] + m - c)) & (comp[left[k: k + 256], None] != comp[right]))
+        pair = np.column_stack([comp[left[k + a]], comp[right[b]]])
+        found.append(np.unique(np.sort(pair, axis=1), axis=0))
+    root: dict[int, int] = {}
+
+    def top(z: int) -> int:
+        while root.get(z, z) != z:
+            root[z] = z = root.get(root[z], root[z])
+        return z
+
+    out: tuple[list[int], list[int]] = ([], [])
+    for a, b in np.concatenate(found).tolist():
+        s, t = top(a), top(b)
+        if s != t:
+            root[s] = t
+            out[0].append(a)
+            out[1].append(b)
+    return out
+
+
+def family_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): components of one family that hold members whose full sets reach the similarity. Links that join
+    nothing more within a pair of blocks are left out."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            buf, offs = text_buffer(b.column(3))
+            for i, j in slices(offs, 2 << 20):
+                flat, bounds = shingle_sets(buf[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
+                cells = pa.array([flat[p:q].tobytes() for p, q in zip(bounds[:-1], bounds[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i) for k in range(3)], cells], names=["id", "comp", "fam", "shingles"])
+
+    def links(t: pa.Table) -> pa.Table:
+        cells = t.column("shingles").to_pylist()
+        at, comp = t.column("at").to_numpy(), t.column("comp").to_numpy()
+        a, b = _block_links(t.column("i")[0].as_py(), t.column("j")[0].as_py(), at, comp, [np.frombuffer(c, np.uint64) for c in cells])
+        if t.nbytes > 1 << 20:
+            give_back()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    known = saved(members.join(texts, "id").select("id", "comp", "fam", "text").mapInArrow(
+        tidied(sets), "id long, comp long, fam long, shingles binary"), "forest-shingles")
+    return dealt(known).groupBy("fam", "i", "j").applyInArrow(links, "a long, b long")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     return tied_groups(docs).drop("tie")

@@ -812,6 +812,70 @@ def test_minhash_sorted_pairs_brute(spark):
         assert want | raw <= both and len(both) < len(want | raw) + 8 * 16 * near
 
 
+def _star(seed, n, words=100):
+    """A text and copies edited so that most are linked to the text alone."""
+    r = random.Random(seed)
+    base = _words(seed, words).split()
+    out = [base]
+    for k in range(1, n):
+        w = list(base)
+        for at in r.sample(range(words), r.choice([1, 2, 2, 3, 3])):
+            w[at] = f"edit{k}x{at}"
+        out.append(w)
+    return [" ".join(w) for w in out]
+
+
+def test_minhash_many_copies_of_one_text(spark):
+    """Copies whose only link is to one member of a large group, beside a group whose common text is missing."""
+    ship(spark)
+    texts = [*_star(70, 450), *_star(71, 90)[1:], *(_words(300 + k, 30) for k in range(20))]
+    rows = [(3 * i + 1, t) for i, t in enumerate(texts)]
+    random.Random(13).shuffle(rows)
+    got = sorted((tuple(x) for x in minhash_forest.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == _brute_groups(rows)
+
+
+def test_minhash_shared_counts():
+    r = np.random.default_rng(14)
+    for n, m, names, size in ((1, 1, 4, 3), (3, 4, 50, 20), (70, 60, 400, 100), (80, 90, 9000, 200)):
+        pool = r.integers(0, 1 << 62, names, dtype=np.uint64)
+        x, y = ([np.unique(r.choice(pool, r.integers(1, size))) for _ in range(k)] for k in (n, m))
+        want = [[len(np.intersect1d(a, b)) for b in y] for a in x]
+        assert minhash_forest.shared(x, y).tolist() == want
+
+
+@pytest.mark.parametrize("whole", [1000, 5])
+def test_minhash_family_blocks(spark, monkeypatch, whole):
+    """All pairs of a family between different components, however many blocks it is dealt over."""
+    ship(spark)
+    monkeypatch.setattr(minhash_forest, "WHOLE", whole)
+    monkeypatch.setattr(minhash_forest, "BLOCK_ROWS", 7)
+    r = random.Random(15)
+    texts = [*_star(72, 60), *_star(73, 25)]
+    member = [(i, r.choice([0, 0, 0, 1000 + i]), 0) if i < 60 else (i, i // 2 * 2, 60) for i in range(85)]
+    sets = [{tuple(t.split()[i: i + 5]) for i in range(96)} for t in texts]
+    label = {c: c for _, c, _ in member}
+
+    def top(c):
+        while label[c] != c:
+            c = label[c]
+        return c
+
+    for a in range(85):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                label[top(member[a][1])] = top(member[b][1])
+    groups = {}
+    for c in label:
+        groups.setdefault(top(c), set()).add(c)
+    members = spark.createDataFrame(member, "id long, comp long, fam long")
+    links = minhash_forest.family_links(members, spark.createDataFrame(list(enumerate(texts)), "id long, text string"))
+    joined = {}
+    for row in components.components(links).collect():
+        joined.setdefault(row.comp, set()).add(row.id)
+    assert sorted(map(sorted, joined.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
 def test_components_chain_and_star(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(5, x) for x in range(6, 30)] + [(1, 1), (None, 2)]
     got = {r.id: r.comp for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
