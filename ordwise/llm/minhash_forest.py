@@ -332,7 +332,7 @@ def families(held: DataFrame, comps: DataFrame, ids: DataFrame) -> DataFrame:
     cross = members.groupBy("fam", "comp").agg(F.count("*").alias("n")).groupBy("fam").agg(
         ((F.sum("n") * F.sum("n") - F.sum(n * n)) / 2).alias("cross"))
     done = held.where("done = 1").join(fams, F.col("ca") == F.col("comp")).groupBy("fam").agg(F.count("*").alias("done"))
-    open_ = cross.join(done, "fam", "left").where("done is null or done < cross").select("fam")
+    open_ = saved(cross.join(done, "fam", "left").where("done is null or done < cross").select("fam"), "forest-open-families")
     return saved(members.join(open_, "fam", "left_semi"), "forest-members")
 
 
@@ -350,7 +350,7 @@ def dealt(members: DataFrame) -> DataFrame:
     big = sizes.where((F.col("all") > WHOLE) | (F.col("whole") > BLOCK_BYTES)).select(
         "fam", "top", _blocks(F.col("n"), F.col("size")).alias("c"),
         _blocks(F.col("all") - F.col("n"), F.col("whole") - F.col("size")).alias("o"))
-    rows = members.join(big, "fam", "left")
+    rows = members.join(saved(big, "forest-blocks"), "fam", "left")  # written, so that a small one is broadcast and no family meets in a task
     key = "pmod(xxhash64(id), {})"
     rows = rows.withColumn("at", F.expr(f"case when top is null then 0 when comp = top then {key.format('c')} else c + {key.format('o')} end"))
     pairs = """case when top is null then array(struct(0L as i, 0L as j))
@@ -455,7 +455,7 @@ def family_links(members: DataFrame, texts: DataFrame) -> DataFrame:
 
     known = saved(members.join(texts, "id").select("id", "comp", "fam", "text").mapInArrow(
         tidied(sets), "id long, comp long, fam long, shingles binary"), "forest-shingles")
-    return dealt(known).groupBy("fam", "i", "j").applyInArrow(links, "a long, b long")
+    return dealt(known).repartition("fam", "i", "j").groupBy("fam", "i", "j").applyInArrow(links, "a long, b long")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:

@@ -870,6 +870,8 @@ def test_minhash_family_blocks(spark, monkeypatch, whole):
         groups.setdefault(top(c), set()).add(c)
     members = spark.createDataFrame(member, "id long, comp long, fam long")
     links = minhash_forest.family_links(members, spark.createDataFrame(list(enumerate(texts)), "id long, text string"))
+    exchanges = re.findall(r"hashpartitioning\((fam#[^)]*)\)", links._jdf.queryExecution().executedPlan().toString())
+    assert exchanges and all(re.match(r"fam#\d+L?, i#\d+L?, j#\d+L?, ", x) for x in exchanges), exchanges
     joined = {}
     for row in components.components(links).collect():
         joined.setdefault(row.comp, set()).add(row.id)
